@@ -1,0 +1,15 @@
+"""Exact trailing-hour count per name, one update per mention (placeholder)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from mentionlab.functions.times import millis
+
+WINDOW_SECONDS = 3600
+
+
+def admitted(ts: Column, now: Column, window_seconds: int = WINDOW_SECONDS) -> Column:
+    """A mention counts only while younger than the window (whole seconds, as the reference)."""
+    return F.floor((millis(now) - millis(ts)) / 1000) < F.lit(window_seconds)
