@@ -1 +1,175 @@
-"""Catalogue entries that go through files or streams (registered on import)."""
+"""Catalogue entries that go through files or streams.
+
+Each writes data derived from the driver tables with one Spark job into a fresh folder
+under the shared checkpoint root, reads it back with the reader under test (or runs a
+stream over it to completion with ``availableNow``) and returns the result frame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mentionlab.functions import times as TM
+from mentionlab.operators import topk
+from mentionlab.operators.mentions import mentions_from_gkg
+from mentionlab.plans import derived as D
+from mentionlab.plans import oracle as O
+from mentionlab.plans.catalog import SLIDING_SQL, TRAILING_SQL, query
+from mentionlab.session import scratch_path
+from mentionlab.sinks import write_daily_documents
+from mentionlab.sources.daily_json import read_daily_json
+from mentionlab.sources.gkg import read_gkg_csv, read_gkg_text
+from mentionlab.sources.sensor import read_sensor_csv
+from mentionlab.streaming.mentions import stream_mentions
+from mentionlab.streaming.sliding import sliding_counts_stream
+from mentionlab.streaming.sources import RECORD_SCHEMA, file_stream
+from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages, with_sequence
+from mentionlab.streaming.trailing import trailing_hour_stream
+
+_LINES_CTE = O.with_(O.ARTICLES, f"lines AS (SELECT record_key, rec_ts, {O.gkg_line_sql(O.LINE_COLS)} AS value FROM ank)")
+
+
+def _write_lines(spark: SparkSession, d: str, fmt: str = "text") -> str:
+    a = D.articles(D.table(spark, d, "events"))
+    path = scratch_path(spark, "gkg")
+    lines = D.gkg_lines(a)
+    if fmt == "text":
+        lines.select("value").write.text(path)
+    else:  # the article topic: key, whole line, record time
+        lines.select(F.col("record_key").alias("key"), "value",
+                     F.to_timestamp(F.substring("record_key", 1, 14), "yyyyMMddHHmmss").alias("timestamp")) \
+            .write.parquet(path)
+    return path
+
+
+def run_to_end(writer) -> None:
+    """Run a streaming write over everything available, then stop (raises on failure)."""
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+# ------------------------------------------------------------------ file readers
+@query("scan_gkg", _LINES_CTE.replace("lines AS", "unused AS") + "SELECT record_key AS record_id, epoch_us(rec_ts) AS ts_us, all_names FROM ank")
+def q_scan_gkg(spark, d):
+    df = read_gkg_csv(spark, _write_lines(spark, d))
+    return df.select(F.col("gkgrecordid").alias("record_id"), TM.micros(F.col("date")).alias("ts_us"),
+                     F.col("allNames").alias("all_names"))
+
+
+@query("scan_text_fields", O.with_(O.ARTICLES)
+       + "SELECT record_key, strftime(rec_ts, '%Y%m%d%H%M%S') AS date_text, all_names FROM ank")
+def q_scan_text_fields(spark, d):
+    return read_gkg_text(spark, _write_lines(spark, d))
+
+
+@query("scan_sensor", """SELECT event_type AS sensorname, epoch_us(date_trunc('minute', ts)) AS ts_us,
+  value AS numA, user_id AS numC, event_id AS numE FROM events""")
+def q_scan_sensor(spark, d):
+    ev = D.table(spark, d, "events")
+    line = F.concat_ws(",", F.col("event_type"), F.date_format("ts", "M/d/yy:H:mm"), F.col("value").cast("string"),
+                       (F.col("value") * 2).cast("string"), F.col("user_id").cast("string"),
+                       F.lit("0.5"), F.col("event_id").cast("string"), F.lit("1.0"))
+    path = scratch_path(spark, "sensor")
+    ev.select(line.alias("value")).write.text(path)
+    s = read_sensor_csv(spark, path)
+    return s.select("sensorname", TM.micros(F.col("timestamp")).alias("ts_us"), "numA", "numC", "numE")
+
+
+_TOPK_CTE = O.with_(O.ARTICLES, O.article_mentions(), O.counts_cte("am"), "t AS (" + O.topk_select("c") + ")")
+
+
+@query("read_daily_json", _TOPK_CTE + "SELECT date, rank, topic, count FROM t")
+def q_read_daily_json(spark, d):
+    top = topk.daily_topk(mentions_from_gkg(D.gkg_records(D.articles(D.table(spark, d, "events")))))
+    path = write_daily_documents(top, scratch_path(spark, "daily"))
+    return read_daily_json(spark, path)
+
+
+@query("daily_document", _TOPK_CTE + """SELECT strftime(date, '%Y-%m-%d') AS data,
+  to_json(struct_pack(data := strftime(date, '%Y-%m-%d'),
+                      result := list(struct_pack(topic := topic, count := count) ORDER BY rank))) AS document
+FROM t GROUP BY date""")
+def q_daily_document(spark, d):
+    top = topk.daily_topk(mentions_from_gkg(D.gkg_records(D.articles(D.table(spark, d, "events")))))
+    return topk.document_json(topk.daily_documents(top))
+
+
+# ------------------------------------------------------------------ streams
+@query("stream_source", _LINES_CTE + "SELECT record_key AS key, value FROM lines")
+def q_stream_source(spark, d):
+    src = _write_lines(spark, d, fmt="parquet")
+    out, ckpt = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
+    s = file_stream(spark, src, RECORD_SCHEMA).select("key", "value")
+    run_to_end(s.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out))
+    return spark.read.parquet(out)
+
+
+@query("stream_mentions", O.with_(O.ARTICLES, O.article_mentions("head")) + "SELECT record_id, date, topic FROM am")
+def q_stream_mentions(spark, d):
+    src = _write_lines(spark, d, fmt="parquet")
+    out, ckpt = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
+    m = stream_mentions(file_stream(spark, src, RECORD_SCHEMA)).select("record_id", "date", "topic")
+    run_to_end(m.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out))
+    return spark.read.parquet(out)
+
+
+def _event_stream_input(spark: SparkSession, d: str) -> str:
+    ev = D.table(spark, d, "events")
+    path = scratch_path(spark, "events")
+    ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"),
+              F.to_date("ts").alias("day")).write.partitionBy("day").parquet(path)
+    return path
+
+
+EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING, day DATE"
+
+
+def _trailing_run(spark: SparkSession, d: str) -> str:
+    src = _event_stream_input(spark, d)
+    out, ckpt = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
+    updates = trailing_hour_stream(file_stream(spark, src, EVENT_STREAM_SCHEMA))
+    run_to_end(updates.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out))
+    return out
+
+
+@query("stream_trailing_hour", TRAILING_SQL)
+def q_stream_trailing_hour(spark, d):
+    out = spark.read.parquet(_trailing_run(spark, d))
+    return out.filter(F.col("kind") == "arrival").select("event_id", "name", "count")
+
+
+@query("histogram_changelog", None)
+def q_histogram_changelog(spark, d):
+    return spark.read.parquet(_trailing_run(spark, d)).select("event_id", "name", "count", "us", "kind")
+
+
+def _top100_run(spark: SparkSession, d: str) -> str:
+    src = _event_stream_input(spark, d)
+    base, ckpt = scratch_path(spark, "top100"), scratch_path(spark, "ckpt")
+    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, EVENT_STREAM_SCHEMA)))
+    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base)).option("checkpointLocation", ckpt))
+    return base
+
+
+@query("delta_message", None)
+def q_delta_message(spark, d):
+    return messages(spark, _top100_run(spark, d))
+
+
+@query("snapshot_message", None)
+def q_snapshot_message(spark, d):
+    return latest_snapshot(spark, _top100_run(spark, d))
+
+
+@query("stream_sliding_histogram", "SELECT * FROM (" + SLIDING_SQL + """) WHERE ws + 3600000000 <=
+  (SELECT epoch_us(max(ts)) FROM events) - 3600000000""")
+def q_stream_sliding_histogram(spark, d):
+    src = _event_stream_input(spark, d)
+    out, ckpt = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
+    counts = sliding_counts_stream(file_stream(spark, src, EVENT_STREAM_SCHEMA), "1 hour", "15 minutes")
+    run_to_end(counts.writeStream.format("parquet").outputMode("append")
+               .option("checkpointLocation", ckpt).option("path", out))
+    return spark.read.parquet(out)

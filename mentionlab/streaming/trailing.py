@@ -1,15 +1,153 @@
-"""Exact trailing-hour count per name, one update per mention (placeholder)."""
+"""Exact trailing-hour count per name, one update per mention (``transformWithState``).
+
+State per name (RocksDB, checkpointed): a map ``micros -> multiplicity`` of the mentions
+still needed, and the newest time seen.  For each micro-batch the rows of a name are
+sorted and counted against state plus batch in one vectorised pass, so the result does
+not depend on the order inside a batch.  A mention at ``t`` gets the number of mentions
+of its name with time in ``(t - 1 hour, t]`` (D6, event time, not wall clock).
+
+* Late rows (W3): a row at or before ``newest - lateness`` is not logged; the current
+  count is emitted again (``kind = 'late'``).  Rows older than Spark's watermark are
+  dropped before they reach the processor; their number is in the query progress.
+* Expiry (W4): one event-time timer per name at the expiry of its oldest live mention;
+  when it fires the count at the watermark is emitted (``kind = 'expire'``) and old
+  entries leave the state.  A name with no live mention has its state cleared (D10).
+* Several mentions with one timestamp are a multiplicity, never a lost entry (D7).
+* ``resolution_us`` rounds times up to a grid, bounding state per name to
+  ``(window + lateness) / resolution`` entries for very hot names, at the cost of that
+  much time error.
+
+The processor is keyed by name, so one name's state lives in one task; the batch twin
+:func:`mentionlab.operators.histogram.trailing_counts` is skew-safe.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from mentionlab.functions.times import millis
+from mentionlab.functions.times import micros, millis
 
 WINDOW_SECONDS = 3600
+HOUR_US = WINDOW_SECONDS * 1_000_000
+OUTPUT_SCHEMA = "event_id LONG, name STRING, count LONG, us LONG, kind STRING"
 
 
 def admitted(ts: Column, now: Column, window_seconds: int = WINDOW_SECONDS) -> Column:
     """A mention counts only while younger than the window (whole seconds, as the reference)."""
     return F.floor((millis(now) - millis(ts)) / 1000) < F.lit(window_seconds)
+
+
+def _in_window(keys: np.ndarray, cum: np.ndarray, t: np.ndarray, width: int) -> np.ndarray:
+    """Multiplicity-weighted count of keys in ``(t - width, t]`` (``keys`` sorted, ``cum`` prefix sums)."""
+    hi = np.searchsorted(keys, t, side="right")
+    lo = np.searchsorted(keys, t - width, side="right")
+    return cum[hi] - cum[lo]
+
+
+class TrailingHourProcessor(StatefulProcessor):
+    def __init__(self, window_us: int = HOUR_US, lateness_us: int = HOUR_US, resolution_us: int = 1):
+        self.window_us = window_us
+        self.lateness_us = lateness_us
+        self.resolution_us = max(1, resolution_us)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.log = handle.getMapState("log", "us LONG", "n LONG")
+        self.newest = handle.getValueState("newest", "us LONG")
+
+    # ---------------------------------------------------------------- helpers
+    def _load(self) -> dict[int, int]:
+        return {int(k[0]): int(v[0]) for k, v in self.log.iterator()} if self.log.exists() else {}
+
+    def _store(self, before: dict[int, int], after: dict[int, int]) -> None:
+        for k in before.keys() - after.keys():
+            self.log.removeKey((k,))
+        for k, n in after.items():
+            if before.get(k) != n:
+                self.log.updateValue((k,), (n,))
+
+    def _rearm(self, live: dict[int, int]) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if live:
+            oldest = min(live)
+            self.handle.registerTimer(-((-(oldest + self.window_us)) // 1000))  # ceil to ms
+
+    def _count_at(self, live: dict[int, int], t: int) -> int:
+        return sum(n for k, n in live.items() if t - self.window_us < k <= t)
+
+    # ---------------------------------------------------------------- callbacks
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        name = key[0]
+        batch = pd.concat(list(rows), ignore_index=True)
+        if self.resolution_us > 1:
+            r = self.resolution_us
+            batch["us"] = -((-batch["us"]) // r) * r
+        before = self._load()
+        live = dict(before)
+        prev_newest = int(self.newest.get()[0]) if self.newest.exists() else None
+        us = batch["us"].to_numpy(dtype=np.int64)
+        late = np.zeros(len(batch), dtype=bool) if prev_newest is None else us <= prev_newest - self.lateness_us
+        counts = np.zeros(len(batch), dtype=np.int64)
+        fresh = us[~late]
+        if fresh.size:
+            uniq, mult = np.unique(fresh, return_counts=True)
+            for k, n in zip(uniq.tolist(), mult.tolist()):
+                live[k] = live.get(k, 0) + n
+            keys = np.array(sorted(live), dtype=np.int64)
+            cum = np.concatenate([[0], np.cumsum([live[k] for k in keys])])
+            counts[~late] = _in_window(keys, cum, fresh, self.window_us)
+        newest = prev_newest
+        if fresh.size:
+            newest = int(fresh.max()) if newest is None else max(newest, int(fresh.max()))
+        if late.any():
+            counts[late] = self._count_at(live, newest)
+        # entries no later row can count: before the newest minus window and lateness,
+        # or before the watermark minus the window
+        wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        horizon = max(newest - self.window_us - self.lateness_us, wm_us - self.window_us)
+        live = {k: n for k, n in live.items() if k > horizon}
+        self._store(before, live)
+        self.newest.update((newest,))
+        self._rearm(live)
+        kind = np.where(late, "late", "arrival")
+        yield pd.DataFrame({"event_id": batch["event_id"].astype("Int64"), "name": name,
+                            "count": counts, "us": us, "kind": kind})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        name = key[0]
+        wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        before = self._load()
+        live = {k: n for k, n in before.items() if k > wm_us - self.window_us}
+        count = sum(live.values())
+        if live:
+            self._store(before, live)
+            self._rearm(live)
+        else:
+            self.log.clear()
+            self.newest.clear()
+            self._rearm({})
+        yield pd.DataFrame({"event_id": pd.array([None], dtype="Int64"), "name": [name],
+                            "count": [count], "us": [wm_us], "kind": ["expire"]})
+
+    def close(self) -> None:
+        pass
+
+
+def trailing_hour_stream(mentions: DataFrame, ts_col: str = "ts", name_col: str = "name",
+                         id_col: str = "event_id", lateness: str = "1 hour",
+                         window_us: int = HOUR_US, lateness_us: int = HOUR_US,
+                         resolution_us: int = 1) -> DataFrame:
+    """Streaming ``(event_id, name, count, us, kind)``: an update per mention, late row and expiry."""
+    rows = (mentions.withWatermark(ts_col, lateness)
+            .select(F.col(id_col).cast("long").alias("event_id"), F.col(name_col).alias("name"),
+                    micros(F.col(ts_col)).alias("us"), F.col(ts_col)))
+    return rows.groupBy("name").transformWithStateInPandas(
+        statefulProcessor=TrailingHourProcessor(window_us, lateness_us, resolution_us),
+        outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="EventTime")
