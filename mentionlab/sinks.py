@@ -28,14 +28,19 @@ def keyed_records(df: DataFrame, key_col: str, ts_col: str | None = None) -> Dat
 
     A Kafka sink cannot set the record time, so it travels inside the value.
     """
-    cols = [c for c in df.columns]
-    value = F.to_json(F.struct(*cols))
-    out = df.select(F.col(key_col).cast("string").alias("key"), value.alias("value"))
+    value = F.to_json(F.struct(*df.columns))
+    cols = [F.col(key_col).cast("string").alias("key"), value.alias("value")]
     if ts_col:
-        out = out.withColumn("timestamp", df[ts_col])
-    return out
+        cols.append(F.col(ts_col).alias("timestamp"))
+    return df.select(*cols)
 
 
 def preview(df: DataFrame, n: int = 10) -> dict:
     """K7 for interactive use: count and first rows (the catalogue form is ``dataset_profile``)."""
     return {"rows": df.count(), "schema": df.schema.simpleString(), "head": df.take(n)}
+
+
+def histogram_updates_sink(updates: DataFrame) -> DataFrame:
+    """K4: histogram updates keyed by name, JSON ``{"name","count"}`` as the value."""
+    return updates.select(F.col("name").cast("string").alias("key"),
+                          F.to_json(F.struct("name", "count")).alias("value"))
