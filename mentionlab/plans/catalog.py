@@ -596,3 +596,22 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
     # streaming and file-backed entries register themselves on import
     from mentionlab.plans import catalog_io  # noqa: F401
     return CATALOG
+
+
+# ------------------------------------------------------------------ variants of the same operators
+@query("histogram_by_name", O.with_(O.DOC_TOPICS)
+       + "SELECT name, count, row_number() OVER (ORDER BY name) AS pos FROM doc_hist")
+def q_histogram_by_name(spark, d):
+    return histogram.sorted_histogram(_doc_hist(spark, d), by="name", descending=False)
+
+
+@query("combine_mean_pandas", "SELECT l_returnflag, sum(l_quantity) / count(l_quantity) AS mean FROM lineitem GROUP BY 1")
+def q_combine_mean_pandas(spark, d):
+    return basics.combine_mean_pandas(D.table(spark, d, "lineitem"), "l_returnflag", "l_quantity")
+
+
+@query("segment_times", """SELECT DISTINCT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M00') || '.gkg.csv' AS file_name,
+  epoch_us(time_bucket(INTERVAL 15 MINUTE, ts)) AS start_us FROM events""")
+def q_segment_times(spark, d):
+    names = _events(spark, d).select(TM.segment_name(TM.interval_start(F.col("ts"))).alias("file_name")).distinct()
+    return names.select("file_name", TM.micros(TM.segment_time(F.col("file_name"))).alias("start_us"))

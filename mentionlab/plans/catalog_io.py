@@ -173,3 +173,19 @@ def q_stream_sliding_histogram(spark, d):
     run_to_end(counts.writeStream.format("parquet").outputMode("append")
                .option("checkpointLocation", ckpt).option("path", out))
     return spark.read.parquet(out)
+
+
+@query("stream_apply_increments", """SELECT event_type AS name, CAST(sum(1 + CAST(floor(value) AS BIGINT) % 3) AS BIGINT) AS count
+FROM events GROUP BY 1""")
+def q_stream_apply_increments(spark, d):
+    from mentionlab.streaming.increments import ChangeVersions, fold_versions, running_totals
+    ev = D.table(spark, d, "events")
+    src = scratch_path(spark, "increments")
+    ev.select(F.col("event_type").alias("name"),
+              (F.lit(1) + F.pmod(F.floor("value").cast("bigint"), F.lit(3))).cast("int").alias("increment")) \
+        .write.parquet(src)
+    base, ckpt = scratch_path(spark, "totals"), scratch_path(spark, "ckpt")
+    totals = running_totals(file_stream(spark, src, "name STRING, increment INT"))
+    run_to_end(totals.writeStream.outputMode("update").foreachBatch(ChangeVersions(base))
+               .option("checkpointLocation", ckpt))
+    return fold_versions(spark, base)
