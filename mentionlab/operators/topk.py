@@ -102,8 +102,8 @@ def daily_documents(topk: DataFrame) -> DataFrame:
     return (topk.groupBy("date")
             .agg(entries.alias("_e"))
             .select(F.date_format("date", "yyyy-MM-dd").alias("data"),
-                    F.transform("_e", lambda e: F.struct(e["topic"].alias("topic"),
-                                                         e["count"].alias("count"))).alias("result")))
+                    F.arrays_zip(F.col("_e")["topic"].alias("topic"),
+                                 F.col("_e")["count"].alias("count")).alias("result")))
 
 
 def document_json(docs: DataFrame) -> DataFrame:

@@ -36,8 +36,7 @@ def articles(events: DataFrame) -> DataFrame:
     return grouped.agg(
         F.min("event_id").alias("record_id"),
         F.date_trunc("second", F.min("ts")).alias("rec_ts"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["item"]), ";")
-        .alias("all_names"),
+        F.array_join(F.sort_array(F.collect_list(item))["item"], ";").alias("all_names"),
         F.min_by("event_type", "event_id").alias("first_type"),
     ).drop("user_id", "_day", "_blk")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mentionlab.functions.text import drop_undecodable
+from mentionlab.functions.text import REPLACEMENT_CHAR, drop_undecodable
 from mentionlab.schemas import (DATE_INDEX, GKG_COLUMNS, GKG_DATE_FORMAT, GKG_SCHEMA,
                                 NAMES_INDEX, type_from_name)
 
@@ -56,13 +56,26 @@ def parse_text_lines(lines: DataFrame, value_col: str = "value",
     return lines.select(F.split(line, TAB).alias("fields"), java_width(line).alias("width"))
 
 
-def text_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Lines wide enough to hold ``allNames`` -> ``(record_key, date_text, all_names)``."""
-    parsed = parse_text_lines(lines, value_col)
-    return (parsed.filter(F.col("width") > NAMES_INDEX)
-            .select(F.get("fields", 0).alias("record_key"),
-                    F.get("fields", DATE_INDEX).alias("date_text"),
-                    F.get("fields", NAMES_INDEX).alias("all_names")))
+def has_field_from(fields: Column, index: int) -> Column:
+    """``java_width > index`` without a regex: some field at ``index`` or later is non-empty."""
+    tail = F.slice(fields, index + 1, F.greatest(F.size(fields) - F.lit(index), F.lit(0)))
+    return F.array_join(tail, "") != F.lit("")
+
+
+def text_records(lines: DataFrame, value_col: str = "value", clean_bytes: bool = True) -> DataFrame:
+    """Lines wide enough to hold ``allNames`` -> ``(record_key, date_text, all_names)``.
+
+    One split per line; the width rule and the byte cleanup touch only what is used.
+    """
+    fields = lines.select(F.split(F.col(value_col), TAB).alias("fields"))
+
+    def field(i: int) -> Column:
+        f = F.get("fields", i)
+        return F.replace(f, F.lit(REPLACEMENT_CHAR), F.lit("")) if clean_bytes else f
+
+    return (fields.filter(has_field_from(F.col("fields"), NAMES_INDEX))
+            .select(field(0).alias("record_key"), field(DATE_INDEX).alias("date_text"),
+                    field(NAMES_INDEX).alias("all_names")))
 
 
 def read_gkg_text(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
