@@ -19,3 +19,13 @@ def mentions_profile(mentions: DataFrame) -> DataFrame:
     )
     names = ["rows", "null_dates", "null_topics", "topics", "records", "first_date", "last_date"]
     return stats.unpivot([], names, "metric", "value")
+
+
+def with_row_count(df: DataFrame, name: str = "rows"):
+    """A4 without a second job: attach an observation; read it after the action that runs ``df``.
+
+    Returns ``(observed_df, observation)``; ``observation.get[name]`` is the row count.
+    """
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias(name)), obs

@@ -346,7 +346,7 @@ LAST_SEGMENT = "20240115000000"
 
 @query("incremental_segments", f"""SELECT event_id, seg FROM (
   SELECT event_id, strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M00') || '.gkg.csv' AS seg FROM events)
-WHERE seg > '{LAST_SEGMENT}'""")
+WHERE substr(seg, 1, 14) > '{LAST_SEGMENT}'""")
 def q_incremental_segments(spark, d):
     ev = _events(spark, d).select("event_id", TM.segment_name(TM.interval_start(F.col("ts"))).alias("seg"))
     return ev.filter(segments.newer_than(F.col("seg"), LAST_SEGMENT))

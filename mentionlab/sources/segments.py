@@ -31,8 +31,8 @@ def read_manifest(spark: SparkSession, path: str, n: int) -> DataFrame:
 
 
 def newer_than(names: Column, last: str = DEFAULT_LAST_SEGMENT) -> Column:
-    """Predicate of the incremental pick-up: names sort as times, so compare as text."""
-    return names > F.lit(last)
+    """Predicate of the incremental pick-up on the ``yyyyMMddHHmmss`` part (sorts as time)."""
+    return F.substring(names, 1, 14) > F.lit(last[:14])
 
 
 def read_new_segments(spark: SparkSession, base: str, last: str = DEFAULT_LAST_SEGMENT) -> DataFrame:
