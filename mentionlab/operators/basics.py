@@ -63,12 +63,12 @@ def cogroup_counts(left: DataFrame, right: DataFrame, key_left: str, key_right:
 
 
 def group_collect(df: DataFrame, key: str, value: str, max_items: int = 1024,
-                  sep: str = ",") -> DataFrame:
+                  sep: str = ",", max_rows: int | None = None) -> DataFrame:
     """M8: ``groupByKey`` with the values of a key in order, in parts of at most ``max_items``.
 
     A key holding a third of all rows becomes many bounded rows instead of one huge one.
     """
-    numbered = number_rows(df.select(key, value), [key], [F.col(value)], out="_i")
+    numbered = number_rows(df.select(key, value), [key], [F.col(value)], out="_i", max_rows=max_rows)
     part = F.floor(F.col("_i") / F.lit(max_items)).cast("bigint")
     items = F.sort_array(F.collect_list(F.struct(F.col("_i"), F.col(value).cast("string").alias("v"))))
     return (numbered.withColumn("part", part).groupBy(key, "part")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionlab.functions.times import micros
-from mentionlab.plans.ranking import number_rows
+from mentionlab.plans.ranking import largest_group, max_group_rows, number_rows
 
 HOUR_US = 3_600_000_000
 
@@ -26,9 +26,11 @@ def sort_orders(by: str = "count", descending: bool = True):
     raise ValueError("sort by 'count' or 'name'")
 
 
-def sorted_histogram(hist: DataFrame, by: str = "count", descending: bool = True) -> DataFrame:
-    """Every entry with its 1-based position; distributed numbering, no single-task window."""
-    return number_rows(hist, [], sort_orders(by, descending), out="pos", base=1)
+def sorted_histogram(hist: DataFrame, by: str = "count", descending: bool = True,
+                     max_rows: int | None = None) -> DataFrame:
+    """Every entry with its 1-based position; beyond one task's worth of entries the
+    numbering is distributed (range shuffle and offsets), never one unbounded window."""
+    return number_rows(hist, [], sort_orders(by, descending), out="pos", base=1, max_rows=max_rows)
 
 
 def first_n(hist: DataFrame, n: int = 10, by: str = "count", descending: bool = True) -> DataFrame:
@@ -55,8 +57,38 @@ def histogram_min(hist: DataFrame) -> DataFrame:
 
 
 def trailing_counts(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                    width_us: int = HOUR_US, bucket_us: int = 60_000_000) -> DataFrame:
-    """For every row, rows of the same key with time in ``(t - width, t]``.
+                    width_us: int = HOUR_US, max_rows: int | None = None) -> DataFrame:
+    """For every row, rows of the same key with time in ``(t - width, t]`` -> ``(id, key, count)``.
+
+    Checks the largest ``(key, window-width bucket)`` first: when it fits one task the
+    one-shuffle :func:`trailing_counts_context` runs, otherwise :func:`trailing_counts_split`.
+    """
+    b = F.floor(micros(F.col(ts_col)) / F.lit(width_us))
+    if largest_group(events.select(F.col(key_col), b.alias("_b")), [key_col, "_b"]) * 2 > \
+            max_group_rows(events.sparkSession, max_rows):
+        return trailing_counts_split(events, key_col, ts_col, id_col, width_us)
+    return trailing_counts_context(events, key_col, ts_col, id_col, width_us)
+
+
+def trailing_counts_context(events: DataFrame, key_col: str, ts_col: str, id_col: str,
+                            width_us: int = HOUR_US) -> DataFrame:
+    """T8 with one shuffle: rows grouped by ``(key, bucket of one window width)``; each bucket also
+    gets the previous bucket's rows as context, so a range window inside the bucket sees the
+    whole ``(t - width, t]``.  A group holds at most two window widths of one key.
+    """
+    base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
+                         micros(F.col(ts_col)).alias("_us")).filter(F.col("_us").isNotNull())
+    b = F.floor(F.col("_us") / F.lit(width_us)).cast("bigint")
+    own = base.select("*", b.alias("_b"), F.lit(True).alias("_own"))
+    ctx = base.select("*", (b + 1).alias("_b"), F.lit(False).alias("_own"))
+    w = Window.partitionBy("_key", "_b").orderBy("_us").rangeBetween(-(width_us - 1), 0)
+    counted = own.unionByName(ctx).withColumn("count", F.count(F.lit(1)).over(w))
+    return counted.filter("_own").select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count")
+
+
+def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col: str,
+                          width_us: int = HOUR_US, bucket_us: int = 60_000_000) -> DataFrame:
+    """T8 for keys too hot for :func:`trailing_counts_context`.
 
     Computed as ``C(t) - C(t - width)`` with ``C(x)`` the number of rows of the key at or
     before ``x``.  ``C`` is a running count inside ``(key, time bucket)`` plus the rows of

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -39,9 +41,11 @@ def hot_frame(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "id LONG, g STRING, v INT")
 
 
-def test_number_rows_matches_row_number(spark):
+@pytest.mark.parametrize("max_rows", [100, None])
+def test_number_rows_matches_row_number(spark, max_rows):
     df = hot_frame(spark).repartition(7)
-    ours = number_rows(df, ["g"], [F.col("v").desc(), F.col("id")], out="pos", size_col="n", base=1)
+    ours = number_rows(df, ["g"], [F.col("v").desc(), F.col("id")], out="pos", size_col="n", base=1,
+                       max_rows=max_rows)
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))
     ref = df.withColumn("pos", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("g")))
     a = sorted((r.id, r.pos, r.n) for r in ours.collect())
@@ -49,9 +53,10 @@ def test_number_rows_matches_row_number(spark):
     assert a == b
 
 
-def test_number_rows_global(spark):
+@pytest.mark.parametrize("max_rows", [100, None])
+def test_number_rows_global(spark, max_rows):
     df = hot_frame(spark, 1000)
-    ours = number_rows(df, [], [F.col("v"), F.col("id")], base=1)
+    ours = number_rows(df, [], [F.col("v"), F.col("id")], base=1, max_rows=max_rows)
     ref = df.withColumn("pos", F.row_number().over(Window.orderBy("v", "id")))
     assert sorted((r.id, r.pos) for r in ours.collect()) == sorted((r.id, r.pos) for r in ref.collect())
 
@@ -62,9 +67,14 @@ def test_trailing_counts_matches_range_window(spark):
     rows = [(i, rnd.choice(["a", "a", "a", "b", "c"]), base + rnd.randint(0, 4 * 3600)) for i in range(2000)]
     rows += [(5000, "a", base + 100), (5001, "a", base + 100), (5002, "a", base + 100 + 3600)]
     df = spark.createDataFrame(rows, "id LONG, k STRING, s LONG").withColumn("ts", F.col("s").cast("timestamp"))
-    fast = histogram.trailing_counts(df, "k", "ts", "id", bucket_us=600_000_000)
-    simple = histogram.trailing_counts_simple(df, "k", "ts", "id")
-    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, simple.collect()))
+    simple = sorted(map(tuple, histogram.trailing_counts_simple(df, "k", "ts", "id").collect()))
+    split = histogram.trailing_counts_split(df, "k", "ts", "id", bucket_us=600_000_000)
+    assert sorted(map(tuple, split.collect())) == simple
+    context = histogram.trailing_counts_context(df, "k", "ts", "id")
+    assert sorted(map(tuple, context.collect())) == simple
+    for max_rows in (10, None):  # the checked entry point picks either form
+        auto = histogram.trailing_counts(df, "k", "ts", "id", max_rows=max_rows)
+        assert sorted(map(tuple, auto.collect())) == simple
 
 
 def test_topk_ties_break_by_topic(spark):
