@@ -30,7 +30,8 @@ def sorted_histogram(hist: DataFrame, by: str = "count", descending: bool = True
                      max_rows: int | None = None) -> DataFrame:
     """Every entry with its 1-based position; beyond one task's worth of entries the
     numbering is distributed (range shuffle and offsets), never one unbounded window."""
-    return number_rows(hist, [], sort_orders(by, descending), out="pos", base=1, max_rows=max_rows)
+    return number_rows(hist, [], sort_orders(by, descending), out="pos", base=1, max_rows=max_rows,
+                       reuse_input=True)
 
 
 def first_n(hist: DataFrame, n: int = 10, by: str = "count", descending: bool = True) -> DataFrame:

@@ -65,14 +65,17 @@ def _as_col(c) -> Column:
 
 def number_rows(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column | str],
                 out: str = "pos", size_col: str | None = None, base: int = 0,
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, reuse_input: bool = False) -> DataFrame:
     """Position of every row inside its group under ``order`` (ties broken by the order keys).
 
     ``order`` must make rows unique within a group for the numbers to be deterministic.
     ``size_col`` adds the group size.  Numbers start at ``base``.  When the largest group
     has at most ``max_rows`` rows (checked first), one window does it; otherwise
-    :func:`number_rows_split` spreads the groups over many tasks.
+    :func:`number_rows_split` spreads the groups over many tasks.  ``reuse_input``
+    materialises a costly input once, so the check and the numbering do not both compute it.
     """
+    if reuse_input:
+        df = stable(df)
     limit = max_group_rows(df.sparkSession, max_rows)
     if largest_group(df, group_cols) > limit:
         return number_rows_split(df, group_cols, order, out, size_col, base)
