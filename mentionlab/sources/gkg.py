@@ -144,3 +144,21 @@ def schema_from_headers(spark: SparkSession, path: str) -> T.StructType:
     fields = [T.StructField(r["name"].strip(), type_from_name(r["type"]),
                             (r["mode"] or "NULLABLE").strip().upper() != "REQUIRED") for r in rows]
     return T.StructType(fields)
+
+
+# ---------------------------------------------------------------- one-time conversion
+def convert_to_parquet(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write typed records as Parquet partitioned by day: later scans read two columns and
+    prune days by directory instead of tokenising every CSV line again.
+
+    The ``rebalance`` hint groups rows by day so a day is not scattered over thousands of
+    small files, and lets AQE split a hot day's partition over several writers.
+    """
+    day = F.to_date("date")
+    (records.withColumn("day", day)
+     .hint("rebalance", "day")
+     .write.mode(mode).partitionBy("day").parquet(path))
+
+
+def read_gkg_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

@@ -150,3 +150,15 @@ def test_daily_documents_round_trip(spark, workdir):
         ("2015-02-18", 1, "B", 7), ("2015-02-18", 2, "A", 5), ("2015-02-19", 1, "A", 1)]
     run = write_json_run(top, workdir + "/result", stamp=1)
     assert spark.read.json(run).count() == 3
+
+
+def test_convert_to_parquet_prunes_days(spark, workdir):
+    from mentionlab.sources.gkg import convert_to_parquet, read_gkg_parquet
+    df = read_gkg_csv(spark, write_lines(workdir + "/gkg", EDGE_LINES))
+    convert_to_parquet(df, workdir + "/pq")
+    back = read_gkg_parquet(spark, workdir + "/pq")
+    one_day = back.filter(F.col("day") == F.lit("2015-02-19").cast("date")).select("date", "allNames")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan
+    assert sorted(r.record_id for r in mentions_from_gkg(back).collect()) == \
+        sorted(r.record_id for r in mentions_from_gkg(df).collect())
