@@ -69,3 +69,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the checkpoint root for written tables and stream state."""
     root = checkpoint_root(spark).rstrip("/")
     return "/".join([root, "mentionlab", uuid.uuid4().hex, *parts])
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Stateful processors with several state variables need the RocksDB state store.
+
+    Set on the session before a new streaming query starts (the choice is then kept in the
+    query's checkpoint); a no-op when the session already uses it.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)

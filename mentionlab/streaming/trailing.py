@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from mentionlab.functions.times import micros, millis
+from mentionlab.session import use_rocksdb_state
 
 WINDOW_SECONDS = 3600
 HOUR_US = WINDOW_SECONDS * 1_000_000
@@ -145,6 +146,7 @@ def trailing_hour_stream(mentions: DataFrame, ts_col: str = "ts", name_col: str
                          window_us: int = HOUR_US, lateness_us: int = HOUR_US,
                          resolution_us: int = 1) -> DataFrame:
     """Streaming ``(event_id, name, count, us, kind)``: an update per mention, late row and expiry."""
+    use_rocksdb_state(mentions.sparkSession)
     rows = (mentions.withWatermark(ts_col, lateness)
             .select(F.col(id_col).cast("long").alias("event_id"), F.col(name_col).alias("name"),
                     micros(F.col(ts_col)).alias("us"), F.col(ts_col)))

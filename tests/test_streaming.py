@@ -104,3 +104,11 @@ def test_sliding_stream_equals_batch_for_closed_windows(spark, workdir):
     wm_us = int((T0 + pd.Timedelta(seconds=59 * 400 - 3600)).value // 1000)
     closed = {tuple(r) for r in batch.filter(F.col("ws") + 3_600_000_000 <= wm_us).collect()}
     assert streamed == closed and streamed
+
+
+def test_stream_sets_rocksdb_on_a_plain_session(spark, workdir):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    write_batch(workdir + "/in", 0, [(1, 0.0, "a")])
+    trailing_hour_stream(file_stream(spark, workdir + "/in", SCHEMA))
+    assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
