@@ -119,12 +119,12 @@ def q_stream_mentions(spark, d):
 def _event_stream_input(spark: SparkSession, d: str) -> str:
     ev = D.table(spark, d, "events")
     path = scratch_path(spark, "events")
-    ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"),
-              F.to_date("ts").alias("day")).write.partitionBy("day").parquet(path)
+    ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name")) \
+        .write.parquet(path)
     return path
 
 
-EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING, day DATE"
+EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
 
 
 def _trailing_run(spark: SparkSession, d: str) -> str:
