@@ -80,8 +80,3 @@ def document_topics(documents: DataFrame) -> DataFrame:
     """``(doc_id, date, topic)`` for every capitalised word of every document."""
     return topics_from_text(documents.withColumn("date", doc_day(F.col("doc_id"))), "text",
                             keep=["doc_id", "date"])
-
-
-def doc_mentions(documents: DataFrame) -> DataFrame:
-    t = document_topics(documents)
-    return t.select(F.col("doc_id").cast("string").alias("record_id"), "date", "topic")

@@ -49,3 +49,17 @@ def test_streaming_increments(spark, workdir):
         .option("checkpointLocation", ckpt)
     run_to_end(q)
     assert sorted(map(tuple, spark.sql("SELECT * FROM totals_t").collect())) == [("n1", 3), ("n2", 3)]
+
+
+def test_library_helpers(spark):
+    from mentionlab.operators.topk import approx_article_counts, article_counts
+    from mentionlab.sources.gkg import parse_text_lines
+    from mentionlab.streaming.increments import poll_trigger
+    from mentionlab.streaming.sources import kafka_sink_options
+    m = spark.createDataFrame([("r1", "2015-02-18", "A"), ("r1", "2015-02-18", "A"), ("r2", "2015-02-18", "A")],
+                              "record_id STRING, d STRING, topic STRING").withColumn("date", F.to_date("d"))
+    assert approx_article_counts(m).first().articles == article_counts(m).first().articles == 2
+    lines = spark.createDataFrame([("a\tb\t\t",), ("",)], "value STRING")
+    assert sorted((r.width, len(r.fields)) for r in parse_text_lines(lines).collect()) == [(1, 1), (2, 4)]
+    assert kafka_sink_options("h:9092", "t")["topic"] == "t"
+    assert poll_trigger(spark.readStream.format("rate").load().writeStream) is not None
