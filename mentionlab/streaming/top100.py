@@ -1,10 +1,11 @@
 """W7-W9, K5, K6 on a stream: keep the live histogram, its exact top 100, and change messages.
 
 ``foreachBatch`` gets the histogram updates of one micro-batch.  It keeps the live
-histogram as a versioned Parquet table (one version per batch id, overwritten on
-replay, so a restarted batch gives the same result), takes the exact top 100 of the new
-version, compares it with the previous top 100 and writes one JSON message with the
-changes (count 0 = removed).  Nothing passes through the driver: every step is a
+histogram as a Parquet table in two alternating slots: batch ``n`` reads slot
+``(n - 1) % 2`` and overwrites slot ``n % 2``.  A replayed batch reads the same input and
+writes the same output, and storage stays at two copies however long the stream runs.
+It then takes the exact top 100 of the new version, compares it with the previous top
+100 and writes one JSON message with the changes (count 0 = removed).  Nothing passes through the driver: every step is a
 DataFrame job, and only the top 100 (bounded) is collected into one message row.
 """
 
@@ -27,10 +28,14 @@ class Top100Writer:
     def path(self, table: str, batch_id: int) -> str:
         return f"{self.base}/{table}/batch={batch_id}"
 
+    def slot(self, batch_id: int) -> str:
+        return f"{self.base}/current/slot={batch_id % 2}"
+
     def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame:
         if batch_id == 0:
             return spark.createDataFrame([], "name STRING, count BIGINT")
-        return spark.read.parquet(self.path("current", batch_id - 1))
+        prev = spark.read.parquet(self.slot(batch_id - 1))
+        return prev.filter(F.col("batch_id") == batch_id - 1).select("name", "count")
 
     def __call__(self, updates: DataFrame, batch_id: int) -> None:
         spark = updates.sparkSession
@@ -39,8 +44,8 @@ class Top100Writer:
         merged = (prev.join(latest, "name", "full_outer")
                   .select("name", F.coalesce("_new", "count").cast("bigint").alias("count"))
                   .filter(F.col("count") > 0))
-        merged.write.mode("overwrite").parquet(self.path("current", batch_id))
-        current = spark.read.parquet(self.path("current", batch_id))
+        merged.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self.slot(batch_id))
+        current = spark.read.parquet(self.slot(batch_id)).select("name", "count")
         diff = top_changes(prev, current, self.n)
         msg = change_message(diff).filter(F.col("entries") > 0).withColumn("batch_id", F.lit(batch_id))
         msg.write.mode("overwrite").parquet(self.path("messages", batch_id))

@@ -112,3 +112,14 @@ def test_stream_sets_rocksdb_on_a_plain_session(spark, workdir):
     write_batch(workdir + "/in", 0, [(1, 0.0, "a")])
     trailing_hour_stream(file_stream(spark, workdir + "/in", SCHEMA))
     assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
+
+
+def test_top100_keeps_two_slots(spark, workdir):
+    src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
+    for i in range(4):
+        write_batch(src, i, [(10 * i + 1, 100.0 * i, f"n{i}"), (10 * i + 2, 100.0 * i + 1, "x")])
+    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, SCHEMA, max_files_per_trigger=1)))
+    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base)).option("checkpointLocation", ckpt))
+    assert sorted(os.listdir(base + "/current")) == ["slot=0", "slot=1"]
+    snap = json.loads(latest_snapshot(spark, base).first().message)
+    assert {e["name"]: e["count"] for e in snap} == {"n0": 1, "n1": 1, "n2": 1, "n3": 1, "x": 4}
