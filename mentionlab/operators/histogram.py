@@ -11,6 +11,11 @@ from mentionlab.plans.ranking import largest_group, max_group_rows, number_rows
 HOUR_US = 3_600_000_000
 
 
+def _bucket(us, width_us: int):
+    """``floor(us / width)`` in exact integer arithmetic (also for times before 1970)."""
+    return ((us - F.pmod(us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
+
+
 def totals(mentions: DataFrame, name_col: str = "topic") -> DataFrame:
     """Histogram ``(name, count)`` over all mentions."""
     return mentions.groupBy(F.col(name_col).alias("name")).agg(F.count(F.lit(1)).alias("count"))
@@ -64,7 +69,7 @@ def trailing_counts(events: DataFrame, key_col: str, ts_col: str, id_col: str,
     Checks the largest ``(key, window-width bucket)`` first: when it fits one task the
     one-shuffle :func:`trailing_counts_context` runs, otherwise :func:`trailing_counts_split`.
     """
-    b = F.floor(micros(F.col(ts_col)) / F.lit(width_us))
+    b = _bucket(micros(F.col(ts_col)), width_us)
     if largest_group(events.select(F.col(key_col), b.alias("_b")), [key_col, "_b"]) * 2 > \
             max_group_rows(events.sparkSession, max_rows):
         return trailing_counts_split(events, key_col, ts_col, id_col, width_us)
@@ -79,11 +84,13 @@ def trailing_counts_context(events: DataFrame, key_col: str, ts_col: str, id_col
     """
     base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
                          micros(F.col(ts_col)).alias("_us")).filter(F.col("_us").isNotNull())
-    b = F.floor(F.col("_us") / F.lit(width_us)).cast("bigint")
-    own = base.select("*", b.alias("_b"), F.lit(True).alias("_own"))
-    ctx = base.select("*", (b + 1).alias("_b"), F.lit(False).alias("_own"))
+    b = _bucket(F.col("_us"), width_us)
+    # one scan: every row once as itself and once as context of the next bucket
+    copies = F.explode(F.array(F.struct(b.alias("_b"), F.lit(True).alias("_own")),
+                               F.struct((b + 1).alias("_b"), F.lit(False).alias("_own"))))
+    both = base.select("_id", "_key", "_us", copies.alias("_c")).select("_id", "_key", "_us", "_c._b", "_c._own")
     w = Window.partitionBy("_key", "_b").orderBy("_us").rangeBetween(-(width_us - 1), 0)
-    counted = own.unionByName(ctx).withColumn("count", F.count(F.lit(1)).over(w))
+    counted = both.withColumn("count", F.count(F.lit(1)).over(w))
     return counted.filter("_own").select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count")
 
 
@@ -98,12 +105,12 @@ def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col:
     """
     base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
                          micros(F.col(ts_col)).alias("_us")).filter(F.col("_us").isNotNull())
-    probes = base.select("_id", "_key", F.col("_us").alias("_x"), F.lit(1).alias("_data"),
-                         F.lit(1).alias("_sign"))
-    probes = probes.unionByName(
-        base.select("_id", "_key", (F.col("_us") - F.lit(width_us)).alias("_x"),
-                    F.lit(0).alias("_data"), F.lit(-1).alias("_sign")))
-    probes = probes.withColumn("_b", F.floor(F.col("_x") / F.lit(bucket_us)).cast("bigint"))
+    # one scan: each row probes C at its own time (and counts as data) and at t - width
+    probe = F.explode(F.array(
+        F.struct(F.col("_us").alias("_x"), F.lit(1).alias("_data"), F.lit(1).alias("_sign")),
+        F.struct((F.col("_us") - F.lit(width_us)).alias("_x"), F.lit(0).alias("_data"), F.lit(-1).alias("_sign"))))
+    probes = base.select("_id", "_key", probe.alias("_p")).select("_id", "_key", "_p._x", "_p._data", "_p._sign")
+    probes = probes.withColumn("_b", _bucket(F.col("_x"), bucket_us))
     # rows of the key strictly before each bucket
     per_bucket = probes.groupBy("_key", "_b").agg(F.sum("_data").alias("_n"))
     before = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -66,6 +66,7 @@ def test_trailing_counts_matches_range_window(spark):
     base = 1_700_000_000
     rows = [(i, rnd.choice(["a", "a", "a", "b", "c"]), base + rnd.randint(0, 4 * 3600)) for i in range(2000)]
     rows += [(5000, "a", base + 100), (5001, "a", base + 100), (5002, "a", base + 100 + 3600)]
+    rows += [(6000, "d", -100), (6001, "d", -3700), (6002, "d", 10), (6003, "d", -3600)]  # before 1970
     df = spark.createDataFrame(rows, "id LONG, k STRING, s LONG").withColumn("ts", F.col("s").cast("timestamp"))
     simple = sorted(map(tuple, histogram.trailing_counts_simple(df, "k", "ts", "id").collect()))
     split = histogram.trailing_counts_split(df, "k", "ts", "id", bucket_us=600_000_000)
