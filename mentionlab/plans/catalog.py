@@ -19,6 +19,7 @@ from mentionlab.operators.mentions import (explode_items, mentions_from_events,
                                            mentions_from_text, project_records)
 from mentionlab.plans import derived as D
 from mentionlab.plans import oracle as O
+from mentionlab.plans.ranking import stable
 from mentionlab.sources import segments
 from mentionlab.sources.gkg import java_width, text_records, tier_counts
 from mentionlab.sources.letters import letters_from
@@ -485,8 +486,13 @@ WHERE c.name IS NULL OR p.name IS NULL OR p.count <> c.count"""
 @query("top100_changes", _TOPCHANGE_SQL)
 def q_top100_changes(spark, d):
     t = D.document_topics(D.table(spark, d, "documents"))
-    prev = histogram.totals(t.filter(F.col("date") < F.lit("2015-02-24").cast("date")))
-    cur = histogram.totals(t)
+    # both snapshots from one pass over the texts; the per-name table is materialised once
+    # so the two branches do not each run the regex
+    both = stable(t.groupBy(F.col("topic").alias("name")).agg(
+        F.count_if(F.col("date") < F.lit("2015-02-24").cast("date")).alias("_prev"),
+        F.count(F.lit(1)).alias("_cur")))
+    prev = both.filter(F.col("_prev") > 0).select("name", F.col("_prev").alias("count"))
+    cur = both.select("name", F.col("_cur").alias("count"))
     return changes.top_changes(prev, cur, 100)
 
 
