@@ -153,3 +153,14 @@ def trailing_hour_stream(mentions: DataFrame, ts_col: str = "ts", name_col: str
     return rows.groupBy("name").transformWithStateInPandas(
         statefulProcessor=TrailingHourProcessor(window_us, lateness_us, resolution_us),
         outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="EventTime")
+
+
+def rows_dropped_by_watermark(query, updates: DataFrame) -> int:
+    """Mentions Spark dropped before the processor (older than the previous batch's watermark).
+
+    Every row that reaches the processor yields one ``arrival`` or ``late`` update, so the
+    dropped rows are the query's input rows minus those updates (``updates`` = the sink's rows).
+    """
+    seen = sum(int(p.numInputRows) for p in query.recentProgress)
+    delivered = updates.filter(F.col("kind").isin("arrival", "late")).count()
+    return seen - delivered

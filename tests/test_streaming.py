@@ -58,6 +58,22 @@ BATCHES = [
 ]
 
 
+def test_late_rows_are_counted_as_dropped(spark, workdir):
+    from mentionlab.streaming.trailing import rows_dropped_by_watermark
+    src, out, ckpt = workdir + "/in", workdir + "/out", workdir + "/ckpt"
+    write_batch(src, 0, [(1, 10000.0, "a")])
+    write_batch(src, 1, [(2, 100.0, "a"), (3, 10001.0, "a")])  # late, still delivered: not counted
+    write_batch(src, 2, [(4, 200.0, "a")])  # older than the previous batch's watermark: dropped
+    s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
+    q = trailing_hour_stream(s).writeStream.format("parquet").option("checkpointLocation", ckpt) \
+        .option("path", out).trigger(availableNow=True).start()
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    assert rows_dropped_by_watermark(q, res) == 1
+    kinds = {r.event_id: (r.kind, r["count"]) for r in res.filter("event_id IS NOT NULL").collect()}
+    assert kinds == {1: ("arrival", 1), 2: ("late", 2), 3: ("arrival", 2)}
+
+
 def test_trailing_hour_cases_and_restart(spark, workdir):
     src, out, ckpt = workdir + "/in", workdir + "/out", workdir + "/ckpt"
     for i, b in enumerate(BATCHES[:3]):
