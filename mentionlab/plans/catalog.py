@@ -135,7 +135,7 @@ def q_date_extent(spark, d):
 
 _SPINE_SQL = O.with_(
     O.ARTICLES, O.article_mentions(),
-    "c AS (SELECT date, topic, count(*) AS count FROM am WHERE isodow(date) < 6 GROUP BY 1, 2)",
+    "c AS (SELECT date, topic, count(*) AS count FROM am GROUP BY 1, 2)",
     "t AS (" + O.topk_select("c") + ")",
     "days AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM t)",
     "slots AS (SELECT date, unnest(range(1, 11)) AS rank FROM days)",
@@ -145,8 +145,9 @@ FROM slots s LEFT JOIN t ON s.date = t.date AND s.rank = t.rank"""
 
 @query("date_spine_topics", _SPINE_SQL)
 def q_date_spine_topics(spark, d):
-    weekdays = _article_mentions(spark, d).filter(F.dayofweek("date").between(2, 6))
-    return topk.spine_topics(topk.daily_topk(weekdays))
+    # every day of the span gets ten label rows; ranks past a day's topics (and days
+    # without mentions) read ''
+    return topk.spine_topics(topk.daily_topk(_article_mentions(spark, d)))
 
 
 # ------------------------------------------------------------------ projections and filters
@@ -573,11 +574,13 @@ def q_distinct_topics(spark, d):
 
 
 @query("topics_both_days", O.with_(O.DOC_TOPICS)
-       + "SELECT topic FROM dt WHERE date = DATE '2015-02-18' INTERSECT SELECT topic FROM dt WHERE date = DATE '2015-02-19'")
+       + "SELECT topic FROM dt WHERE date < DATE '2015-02-21' INTERSECT SELECT topic FROM dt WHERE date >= DATE '2015-02-21'")
 def q_topics_both_days(spark, d):
     t = D.document_topics(D.table(spark, d, "documents"))
-    a = t.filter(F.col("date") == F.lit("2015-02-18").cast("date"))
-    b = t.filter(F.col("date") == F.lit("2015-02-19").cast("date"))
+    # topics seen both before and from 2015-02-21: the two periods cover every document
+    split = F.lit("2015-02-21").cast("date")
+    a = t.filter(F.col("date") < split)
+    b = t.filter(F.col("date") >= split)
     return basics.common_values(a, b, "topic")
 
 
