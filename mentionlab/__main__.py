@@ -87,7 +87,7 @@ def main(argv=None) -> None:
     c.set_defaults(fn=run_convert)
     h = sub.add_parser("histogram", help="streaming trailing-hour histogram and top-100 messages")
     h.add_argument("--kafka", help="bootstrap servers; without it --input is a Parquet folder")
-    h.add_argument("--topic", default="gdelt")
+    h.add_argument("--topic", required=False, default="articles")
     h.add_argument("--input")
     h.add_argument("--output", required=True)
     h.add_argument("--checkpoint", required=True)
