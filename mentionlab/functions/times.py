@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Segment length in minutes, segment file suffix and name format, record key
+# time format, the seed key of an empty topic and the seed segment of the pick-up.
 SEGMENT_MINUTES = 15
 SEGMENT_SUFFIX = ".gkg.csv"
 SEGMENT_NAME_FORMAT = "yyyyMMddHHmm00"
