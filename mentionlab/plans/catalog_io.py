@@ -52,7 +52,7 @@ def run_to_end(writer) -> None:
 
 
 # ------------------------------------------------------------------ file readers
-@query("scan_gkg", _LINES_CTE.replace("lines AS", "unused AS") + "SELECT record_key AS record_id, epoch_us(rec_ts) AS ts_us, all_names FROM ank")
+@query("scan_gkg", O.with_(O.ARTICLES) + "SELECT record_key AS record_id, epoch_us(rec_ts) AS ts_us, all_names FROM ank")
 def q_scan_gkg(spark, d):
     df = read_gkg_csv(spark, _write_lines(spark, d))
     return df.select(F.col("gkgrecordid").alias("record_id"), TM.micros(F.col("date")).alias("ts_us"),
