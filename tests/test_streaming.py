@@ -139,3 +139,16 @@ def test_top100_keeps_two_slots(spark, workdir):
     assert sorted(os.listdir(base + "/current")) == ["slot=0", "slot=1"]
     snap = json.loads(latest_snapshot(spark, base).first().message)
     assert {e["name"]: e["count"] for e in snap} == {"n0": 1, "n1": 1, "n2": 1, "n3": 1, "x": 4}
+
+
+def test_resolution_rounds_times_up(spark, workdir):
+    src, out, ckpt = workdir + "/in", workdir + "/out", workdir + "/ckpt"
+    # with a 10 s grid, 0.5 s and 9 s share the 10 s slot; 3609 s rounds to 3610 s, which
+    # excludes the 10 s slot: (3610 - 3600, 3610]
+    write_batch(src, 0, [(1, 0.5, "a"), (2, 9.0, "a"), (3, 3609.0, "a"), (4, 3611.0, "a")])
+    s = file_stream(spark, src, SCHEMA)
+    q = trailing_hour_stream(s, resolution_us=10_000_000).writeStream.format("parquet") \
+        .option("checkpointLocation", ckpt).option("path", out)
+    run_to_end(q)
+    got = {r.event_id: r["count"] for r in spark.read.parquet(out).filter("kind = 'arrival'").collect()}
+    assert got == {1: 2, 2: 2, 3: 1, 4: 2}
