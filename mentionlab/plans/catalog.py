@@ -360,8 +360,9 @@ w AS (SELECT count_if(ts >= t0 AND ts < t0 + INTERVAL 15 MINUTE) AS small,
              count_if(ts >= t0 AND ts < t0 + INTERVAL 7 DAY) AS large,
              count_if(ts >= t0 AND ts < t0 + INTERVAL 14 DAY) AS xlarge,
              count_if(ts IS NOT NULL) AS "full" FROM events, s)
-SELECT 'small' AS tier, small AS n FROM w UNION ALL SELECT 'medium', medium FROM w
-UNION ALL SELECT 'large', large FROM w UNION ALL SELECT 'xlarge', xlarge FROM w UNION ALL SELECT 'full', "full" FROM w"""
+SELECT 'small' AS tier, CAST(small AS BIGINT) AS n FROM w UNION ALL SELECT 'medium', CAST(medium AS BIGINT) FROM w
+UNION ALL SELECT 'large', CAST(large AS BIGINT) FROM w UNION ALL SELECT 'xlarge', CAST(xlarge AS BIGINT) FROM w
+UNION ALL SELECT 'full', CAST("full" AS BIGINT) FROM w"""
 
 
 @query("scan_tiers", _TIER_SQL)

@@ -89,8 +89,8 @@ def q_read_daily_json(spark, d):
 
 
 @query("daily_document", _TOPK_CTE + """SELECT strftime(date, '%Y-%m-%d') AS data,
-  to_json(struct_pack(data := strftime(date, '%Y-%m-%d'),
-                      result := list(struct_pack(topic := topic, count := count) ORDER BY rank))) AS document
+  CAST(to_json(struct_pack(data := strftime(date, '%Y-%m-%d'),
+                      result := list(struct_pack(topic := topic, count := count) ORDER BY rank))) AS VARCHAR) AS document
 FROM t GROUP BY date""")
 def q_daily_document(spark, d):
     top = topk.daily_topk(mentions_from_gkg(D.gkg_records(D.articles(D.table(spark, d, "events")))))
