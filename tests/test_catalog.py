@@ -7,6 +7,8 @@ import __spark_entry__ as E
 from tools.compare import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +35,9 @@ def test_every_query_has_a_builder():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
+    rel = duck.sql(E.oracle_sql()[name])
+    types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields} == types
     res = duck.execute(E.oracle_sql()[name])
     dcols = [c[0] for c in res.description]
     assert sorted(scols) == sorted(dcols)
