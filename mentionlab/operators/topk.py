@@ -54,6 +54,12 @@ def daily_topk(mentions: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     return rank_topics(mention_counts(mentions), k).select("date", "topic", "count", "rank")
 
 
+def daily_topk_articles(mentions: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+    """T1 in article mode (A8): a topic counts once per article that names it."""
+    counts = article_counts(mentions).withColumnRenamed("articles", "count")
+    return rank_topics(counts, k).select("date", "topic", "count", "rank")
+
+
 def exclude_topics(counts: DataFrame, stoplist: DataFrame, topic_col: str = "topic",
                    max_stoplist_rows: int = 1_000_000) -> DataFrame:
     """Anti-join with a stoplist; broadcast only below the checked size bound."""

@@ -105,6 +105,13 @@ def q_article_counts(spark, d):
     return topk.article_counts(_article_mentions(spark, d))
 
 
+@query("daily_topk_articles", O.with_(O.ARTICLES, O.article_mentions(),
+                                     "c AS (SELECT date, topic, count(DISTINCT record_id) AS count FROM am GROUP BY 1, 2)")
+       + O.topk_select("c"))
+def q_daily_topk_articles(spark, d):
+    return topk.daily_topk_articles(_article_mentions(spark, d))
+
+
 # ------------------------------------------------------------------ stoplist, pivot, extent, spine
 STOPLIST = ["error"]
 
