@@ -59,6 +59,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             # the context appends a run folder; keep our files beside it
             root = os.path.dirname(current.rstrip("/"))
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints, written tables and stream state go there)")
+        # local mode only (tests, a laptop): driver and executors share this machine
         root = tempfile.mkdtemp(prefix="mentionlab-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
