@@ -47,3 +47,16 @@ def last_keys(df: DataFrame, group_col: str, key_col: str, offset_col: str,
     """Key of the newest record per partition; the seed key when a partition has none."""
     return df.groupBy(group_col).agg(
         F.coalesce(F.max_by(key_col, offset_col), F.lit(default)).alias("last_key"))
+
+
+def segment_lines(spark: SparkSession, paths) -> DataFrame:
+    """Raw lines with their segment (file name), segment start and position.
+
+    Text files carry no line numbers, so the order comes from the record key suffix
+    (``yyyyMMddHHmmss-N``); feed the result to ``operators.replay``.
+    """
+    from mentionlab.functions.times import segment_time
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("segment"))
+    key = F.substring_index(F.col("value"), "\t", 1)
+    return lines.select("segment", segment_time(F.col("segment")).alias("seg_start"), key.alias("record_key"),
+                        F.substring_index(key, "-", -1).try_cast("bigint").alias("seq"), "value")

@@ -46,3 +46,19 @@ def test_observed_count(spark):
     df, obs = with_row_count(spark.range(123))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 123
+
+
+def test_segment_lines_spread_and_schedule(spark, workdir):
+    from mentionlab.operators.replay import replay_schedule, spread_timestamps
+    from mentionlab.sources.segments import segment_lines
+    base = workdir + "/seg"
+    write_segment(base, "20150218230000.gkg.csv", [(f"20150218230000-{i}", "A,1") for i in (2, 0, 1)])
+    write_segment(base, "20150218231500.gkg.csv", [(f"20150218231500-{i}", "B,1") for i in (0, 1)])
+    lines = segment_lines(spark, base)
+    spread = spread_timestamps(lines, "segment", F.col("seg_start"), "seq").collect()
+    start = int(dt.datetime(2015, 2, 18, 23, 0, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    got = {r.record_key: r.ms - start for r in spread}
+    assert got == {"20150218230000-0": 0, "20150218230000-1": 300000, "20150218230000-2": 600000,
+                   "20150218231500-0": 900000, "20150218231500-1": 1350000}
+    sched = {r.record_key: r.send_second for r in replay_schedule(lines, "segment", "seq").collect()}
+    assert sched["20150218230000-2"] == 600 and sched["20150218231500-1"] == 450
