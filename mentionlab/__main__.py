@@ -3,6 +3,8 @@
 * ``topk``: daily top-k topics from records (``--format csv`` typed reader, ``text`` split
   path, or ``parquet`` after ``convert``); ``--tier`` picks a size tier by path glob.
 * ``convert``: records to day-partitioned Parquet.
+* ``replay``: segment files to ``key, value, timestamp`` records, times spread evenly over
+  each segment (to Parquet or Kafka).
 * ``histogram``: the streaming trailing-hour histogram with top-100 change messages,
   from a Kafka topic or a folder of ``key, value, timestamp`` Parquet files.
 """
@@ -58,7 +60,7 @@ def run_histogram(args) -> None:
         records = file_stream(spark, args.input, RECORD_SCHEMA, max_files_per_trigger=args.max_per_trigger)
     m = stream_mentions(records).select(F.col("record_id").alias("event_id_text"), "ts",
                                         F.col("topic").alias("name"))
-    # record keys are text; number the mentions by their record time and position
+    # record keys are text; label each mention by a hash of key, name and time
     m = m.withColumn("event_id", F.xxhash64("event_id_text", "name", "ts"))
     updates = with_sequence(trailing_hour_stream(m, resolution_us=args.resolution_us))
     writer = updates.writeStream.foreachBatch(Top100Writer(args.output)) \
@@ -68,6 +70,18 @@ def run_histogram(args) -> None:
     q.awaitTermination()
 
 
+def run_replay(args) -> None:
+    from mentionlab.operators.replay import spread_timestamps
+    from mentionlab.sinks import write_keyed
+    from mentionlab.sources.segments import segment_lines
+    spark = _session()
+    lines = segment_lines(spark, args.input)
+    spread = spread_timestamps(lines, "segment", F.col("seg_start"), "seq")
+    records = spread.select(F.col("record_key").alias("key"), "value",
+                            F.timestamp_millis("ms").alias("timestamp"))
+    write_keyed(records, args.output, args.kafka, args.topic)
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="mentionlab")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -85,6 +99,12 @@ def main(argv=None) -> None:
     c.add_argument("--input", required=True)
     c.add_argument("--output", required=True)
     c.set_defaults(fn=run_convert)
+    r = sub.add_parser("replay", help="segment files -> key, value, timestamp records spread over each segment")
+    r.add_argument("--input", required=True)
+    r.add_argument("--output", help="Parquet folder (without --kafka)")
+    r.add_argument("--kafka", help="bootstrap servers")
+    r.add_argument("--topic", default="articles")
+    r.set_defaults(fn=run_replay)
     h = sub.add_parser("histogram", help="streaming trailing-hour histogram and top-100 messages")
     h.add_argument("--kafka", help="bootstrap servers; without it --input is a Parquet folder")
     h.add_argument("--topic", required=False, default="articles")

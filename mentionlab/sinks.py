@@ -44,3 +44,19 @@ def histogram_updates_sink(updates: DataFrame) -> DataFrame:
     """K4: histogram updates keyed by name, JSON ``{"name","count"}`` as the value."""
     return updates.select(F.col("name").cast("string").alias("key"),
                           F.to_json(F.struct("name", "count")).alias("value"))
+
+
+def write_keyed(records: DataFrame, path: str | None = None, kafka: str | None = None,
+                topic: str = "articles") -> None:
+    """K3: ``key, value, timestamp`` records to a Parquet folder or a Kafka topic.
+
+    Kafka assigns its own record time, so there the time also travels as a header.
+    """
+    if kafka:
+        out = records.select("key", "value", F.array(F.struct(
+            F.lit("ts").alias("key"), F.col("timestamp").cast("string").cast("binary").alias("value")))
+            .alias("headers"))
+        out.write.format("kafka").option("kafka.bootstrap.servers", kafka).option("topic", topic) \
+            .option("includeHeaders", "true").save()
+    else:
+        records.write.mode("errorifexists").parquet(path)

@@ -62,12 +62,13 @@ def has_field_from(fields: Column, index: int) -> Column:
     return F.array_join(tail, "") != F.lit("")
 
 
-def text_records(lines: DataFrame, value_col: str = "value", clean_bytes: bool = True) -> DataFrame:
-    """Lines wide enough to hold ``allNames`` -> ``(record_key, date_text, all_names)``.
+def text_records(lines: DataFrame, value_col: str = "value", clean_bytes: bool = True,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """Lines wide enough to hold ``allNames`` -> ``(record_key, date_text, all_names, *keep)``.
 
     One split per line; the width rule and the byte cleanup touch only what is used.
     """
-    fields = lines.select(F.split(F.col(value_col), TAB).alias("fields"))
+    fields = lines.select(F.split(F.col(value_col), TAB).alias("fields"), *keep)
 
     def field(i: int) -> Column:
         f = F.get("fields", i)
@@ -75,7 +76,7 @@ def text_records(lines: DataFrame, value_col: str = "value", clean_bytes: bool =
 
     return (fields.filter(has_field_from(F.col("fields"), NAMES_INDEX))
             .select(field(0).alias("record_key"), field(DATE_INDEX).alias("date_text"),
-                    field(NAMES_INDEX).alias("all_names")))
+                    field(NAMES_INDEX).alias("all_names"), *keep))
 
 
 def read_gkg_text(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
