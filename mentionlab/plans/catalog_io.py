@@ -189,3 +189,13 @@ def q_stream_apply_increments(spark, d):
     run_to_end(totals.writeStream.outputMode("update").foreachBatch(ChangeVersions(base))
                .option("checkpointLocation", ckpt))
     return fold_versions(spark, base)
+
+
+@query("stream_trailing_hour_batches", TRAILING_SQL)
+def q_stream_trailing_hour_batches(spark, d):
+    from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
+    src = _event_stream_input(spark, d)
+    base, ckpt = scratch_path(spark, "trailing_batches"), scratch_path(spark, "ckpt")
+    s = file_stream(spark, src, EVENT_STREAM_SCHEMA)
+    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(base)).option("checkpointLocation", ckpt))
+    return read_updates(spark, base).filter(F.col("kind") == "arrival").select("event_id", "name", "count")

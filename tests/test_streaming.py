@@ -1,6 +1,8 @@
 """Stream cases for the trailing-hour state: order, ties, window edges, lateness, expiry, restart."""
 
 import json
+
+import pytest
 import os
 
 import pandas as pd
@@ -152,3 +154,20 @@ def test_resolution_rounds_times_up(spark, workdir):
     run_to_end(q)
     got = {r.event_id: r["count"] for r in spark.read.parquet(out).filter("kind = 'arrival'").collect()}
     assert got == {1: 2, 2: 2, 3: 1, 4: 2}
+
+
+@pytest.mark.parametrize("max_rows", [None, 2])
+def test_microbatch_form_matches_keyed_form(spark, workdir, max_rows):
+    from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
+    src, base, ckpt = workdir + "/in", workdir + "/mb", workdir + "/ckpt"
+    for i, b in enumerate(BATCHES):
+        write_batch(src, i, b)
+    s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
+    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(base, max_rows=max_rows))
+               .option("checkpointLocation", ckpt))
+    res = read_updates(spark, base)
+    arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
+    assert arrivals == brute_force(BATCHES, dropped={10})
+    late = {r.event_id: r["count"] for r in res.filter("kind = 'late'").collect()}
+    assert late == {10: 2}  # a@100 is late: a's count at 8000 s holds a@5000 and a@7000
+    assert any(r.name == "b" and r["count"] == 0 for r in res.filter("kind = 'expire'").collect())
