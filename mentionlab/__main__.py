@@ -26,11 +26,13 @@ def run_topk(args) -> None:
     from mentionlab.operators.mentions import mentions_from_gkg, mentions_from_text
     from mentionlab.operators.topk import daily_topk
     from mentionlab.sinks import write_daily_documents, write_json_run
-    from mentionlab.sources.gkg import read_gkg_csv, read_gkg_parquet, read_gkg_text, tier_paths
+    from mentionlab.sources.gkg import (read_gkg_csv, read_gkg_parquet, read_gkg_text,
+                                        record_schema_from_headers, tier_paths)
     spark = _session()
     paths = tier_paths(args.input, args.tier, args.first_segment) if args.tier else args.input
     if args.format == "csv":
-        mentions = mentions_from_gkg(read_gkg_csv(spark, paths), args.name_rule)
+        schema = record_schema_from_headers(spark, args.schema) if args.schema else None
+        mentions = mentions_from_gkg(read_gkg_csv(spark, paths, schema), args.name_rule)
     elif args.format == "text":
         mentions = mentions_from_text(read_gkg_text(spark, paths), args.name_rule)
     else:
@@ -93,6 +95,7 @@ def main(argv=None) -> None:
     t.add_argument("--first-segment", default="20150218230000")
     t.add_argument("--name-rule", choices=["last_offset", "all_offsets", "head"], default="last_offset")
     t.add_argument("--k", type=int, default=10)
+    t.add_argument("--schema", help="headers file (name TAB type TAB mode) for the csv reader")
     t.add_argument("--documents", action="store_true", help="write one {data, result} document per day")
     t.set_defaults(fn=run_topk)
     c = sub.add_parser("convert", help="records to day-partitioned Parquet")

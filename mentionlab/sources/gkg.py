@@ -25,9 +25,10 @@ from mentionlab.schemas import (DATE_INDEX, GKG_COLUMNS, GKG_DATE_FORMAT, GKG_SC
 TAB = "\t"
 
 
-def read_gkg_csv(spark: SparkSession, paths: str | Iterable[str], **options) -> DataFrame:
+def read_gkg_csv(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType | None = None,
+                 **options) -> DataFrame:
     """Typed reader; bad dates and short rows give nulls (PERMISSIVE)."""
-    reader = (spark.read.schema(GKG_SCHEMA)
+    reader = (spark.read.schema(schema or GKG_SCHEMA)
               .option("sep", TAB)
               .option("header", "false")
               .option("quote", "")
@@ -147,6 +148,16 @@ def schema_from_headers(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType(fields)
 
 
+def record_schema_from_headers(spark: SparkSession, path: str) -> T.StructType:
+    """Schema file -> reader schema; the ``date`` column is read as TIMESTAMP (it holds times)
+    whatever the file says, and the result must have the 27 record columns in order."""
+    fields = [T.StructField(f.name, T.TimestampType(), f.nullable) if f.name == "date" else f
+              for f in schema_from_headers(spark, path).fields]
+    if [f.name for f in fields] != GKG_COLUMNS:
+        raise ValueError("schema file does not describe the 27 record columns in order")
+    return T.StructType(fields)
+
+
 # ---------------------------------------------------------------- one-time conversion
 def convert_to_parquet(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write typed records as Parquet partitioned by day: later scans read two columns and

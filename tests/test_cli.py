@@ -12,7 +12,13 @@ from tests.test_sources import EDGE_LINES, gkg_row, write_lines
 
 def test_topk_csv_text_and_parquet(spark, workdir):
     src = write_lines(workdir + "/gkg", EDGE_LINES)
-    main(["topk", "--input", src, "--output", workdir + "/csv", "--format", "csv"])
+    headers = workdir + "/headers.csv"
+    from mentionlab.schemas import GKG_COLUMNS
+    with open(headers, "w") as f:
+        for c in GKG_COLUMNS:
+            t = "TIMESTAMP" if c == "date" else ("INTEGER" if c == "sourceCollectionIdentifier" else "STRING")
+            f.write(f"{c}\t{t}\tNULLABLE\t\n")
+    main(["topk", "--input", src, "--output", workdir + "/csv", "--format", "csv", "--schema", headers])
     runs = os.listdir(workdir + "/csv")
     assert len(runs) == 1
     top = spark.read.json(f"{workdir}/csv/{runs[0]}")

@@ -126,6 +126,13 @@ def test_schema_from_headers(spark, workdir):
             t = "TIMESTAMP" if c == "date" else ("INTEGER" if c == "sourceCollectionIdentifier" else "STRING")
             f.write(f"{c}\t{t}\tNULLABLE\t\n")
     assert schema_from_headers(spark, path) == GKG_SCHEMA
+    # a file that calls the date column DATE still reads it as TIMESTAMP
+    with open(path.replace(".csv", "_date.csv"), "w") as f:
+        for c in GKG_COLUMNS:
+            t = "DATE" if c == "date" else ("INTEGER" if c == "sourceCollectionIdentifier" else "STRING")
+            f.write(f"{c}\t{t}\tNULLABLE\t\n")
+    from mentionlab.sources.gkg import record_schema_from_headers
+    assert record_schema_from_headers(spark, path.replace(".csv", "_date.csv")) == GKG_SCHEMA
 
 
 def test_manifest_first_n(spark, workdir):
