@@ -171,3 +171,21 @@ def test_microbatch_form_matches_keyed_form(spark, workdir, max_rows):
     late = {r.event_id: r["count"] for r in res.filter("kind = 'late'").collect()}
     assert late == {10: 2}  # a@100 is late: a's count at 8000 s holds a@5000 and a@7000
     assert any(r.name == "b" and r["count"] == 0 for r in res.filter("kind = 'expire'").collect())
+
+
+def test_applied_messages_equal_snapshot(spark, workdir):
+    src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
+    for i, b in enumerate(BATCHES):
+        write_batch(src, i, b)
+    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, SCHEMA, max_files_per_trigger=1)))
+    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base, n=2)).option("checkpointLocation", ckpt))
+    state = {}
+    for m in messages(spark, base).orderBy("batch_id").collect():
+        for e in json.loads(m.message):
+            if e["count"] == 0:
+                state.pop(e["name"], None)
+            else:
+                state[e["name"]] = e["count"]
+    snap = json.loads(latest_snapshot(spark, base).first().message)
+    assert state == {e["name"]: e["count"] for e in snap}
+    assert len(snap) <= 2
