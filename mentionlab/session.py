@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# commit only the changes of each batch instead of uploading state snapshots every batch
+CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -30,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        CHANGELOG_KEY: "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -84,3 +87,5 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+    if spark.conf.get(CHANGELOG_KEY, None) is None:
+        spark.conf.set(CHANGELOG_KEY, "true")
