@@ -63,39 +63,44 @@ def histogram_min(hist: DataFrame) -> DataFrame:
 
 
 def trailing_counts(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                    width_us: int = HOUR_US, max_rows: int | None = None) -> DataFrame:
-    """For every row, rows of the same key with time in ``(t - width, t]`` -> ``(id, key, count)``.
+                    width_us: int = HOUR_US, max_rows: int | None = None,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """For every row, rows of the same key with time in ``(t - width, t]``.
 
-    Checks the largest ``(key, window-width bucket)`` first: when it fits one task the
-    one-shuffle :func:`trailing_counts_context` runs, otherwise :func:`trailing_counts_split`.
+    Output ``(id, key, count, *keep)``.  Checks the largest ``(key, window-width bucket)``
+    first: when it fits one task the one-shuffle :func:`trailing_counts_context` runs,
+    otherwise :func:`trailing_counts_split`.
     """
     b = _bucket(micros(F.col(ts_col)), width_us)
     if largest_group(events.select(F.col(key_col), b.alias("_b")), [key_col, "_b"]) * 2 > \
             max_group_rows(events.sparkSession, max_rows):
-        return trailing_counts_split(events, key_col, ts_col, id_col, width_us)
-    return trailing_counts_context(events, key_col, ts_col, id_col, width_us)
+        return trailing_counts_split(events, key_col, ts_col, id_col, width_us, keep=keep)
+    return trailing_counts_context(events, key_col, ts_col, id_col, width_us, keep=keep)
 
 
 def trailing_counts_context(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                            width_us: int = HOUR_US) -> DataFrame:
+                            width_us: int = HOUR_US, keep: tuple[str, ...] = ()) -> DataFrame:
     """T8 with one shuffle: rows grouped by ``(key, bucket of one window width)``; each bucket also
     gets the previous bucket's rows as context, so a range window inside the bucket sees the
     whole ``(t - width, t]``.  A group holds at most two window widths of one key.
     """
     base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
-                         micros(F.col(ts_col)).alias("_us")).filter(F.col("_us").isNotNull())
+                         micros(F.col(ts_col)).alias("_us"), *keep).filter(F.col("_us").isNotNull())
     b = _bucket(F.col("_us"), width_us)
     # one scan: every row once as itself and once as context of the next bucket
     copies = F.explode(F.array(F.struct(b.alias("_b"), F.lit(True).alias("_own")),
                                F.struct((b + 1).alias("_b"), F.lit(False).alias("_own"))))
-    both = base.select("_id", "_key", "_us", copies.alias("_c")).select("_id", "_key", "_us", "_c._b", "_c._own")
+    both = base.select("_id", "_key", "_us", *keep, copies.alias("_c")) \
+        .select("_id", "_key", "_us", *keep, "_c._b", "_c._own")
     w = Window.partitionBy("_key", "_b").orderBy("_us").rangeBetween(-(width_us - 1), 0)
     counted = both.withColumn("count", F.count(F.lit(1)).over(w))
-    return counted.filter("_own").select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count")
+    return counted.filter("_own").select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count",
+                                         *keep)
 
 
 def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                          width_us: int = HOUR_US, bucket_us: int = 60_000_000) -> DataFrame:
+                          width_us: int = HOUR_US, bucket_us: int = 60_000_000,
+                          keep: tuple[str, ...] = ()) -> DataFrame:
     """T8 for keys too hot for :func:`trailing_counts_context`.
 
     Computed as ``C(t) - C(t - width)`` with ``C(x)`` the number of rows of the key at or
@@ -104,12 +109,13 @@ def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col:
     all mentions is spread over its time buckets.  Output: ``(id, key, count)``.
     """
     base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
-                         micros(F.col(ts_col)).alias("_us")).filter(F.col("_us").isNotNull())
+                         micros(F.col(ts_col)).alias("_us"), *keep).filter(F.col("_us").isNotNull())
     # one scan: each row probes C at its own time (and counts as data) and at t - width
     probe = F.explode(F.array(
         F.struct(F.col("_us").alias("_x"), F.lit(1).alias("_data"), F.lit(1).alias("_sign")),
         F.struct((F.col("_us") - F.lit(width_us)).alias("_x"), F.lit(0).alias("_data"), F.lit(-1).alias("_sign"))))
-    probes = base.select("_id", "_key", probe.alias("_p")).select("_id", "_key", "_p._x", "_p._data", "_p._sign")
+    probes = base.select("_id", "_key", *keep, probe.alias("_p")) \
+        .select("_id", "_key", *keep, "_p._x", "_p._data", "_p._sign")
     probes = probes.withColumn("_b", _bucket(F.col("_x"), bucket_us))
     # rows of the key strictly before each bucket
     per_bucket = probes.groupBy("_key", "_b").agg(F.sum("_data").alias("_n"))
@@ -119,9 +125,10 @@ def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col:
     inside = Window.partitionBy("_key", "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
     local = probes.withColumn("_le", F.sum("_data").over(inside))
     at = local.join(offsets, ["_key", "_b"]).select(
-        "_id", "_key", (F.col("_sign") * (F.col("_off") + F.col("_le"))).alias("_c"))
-    return at.groupBy("_id", "_key").agg(F.sum("_c").cast("bigint").alias("count")) \
-        .select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count")
+        "_id", "_key", *keep, (F.col("_sign") * (F.col("_off") + F.col("_le"))).alias("_c"))
+    return at.groupBy("_id", "_key").agg(F.sum("_c").cast("bigint").alias("count"),
+                                         *[F.first(k).alias(k) for k in keep]) \
+        .select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count", *keep)
 
 
 def trailing_counts_simple(events: DataFrame, key_col: str, ts_col: str, id_col: str,

@@ -51,10 +51,10 @@ class TrailingHourBatches:
             fresh, dropped = rows.filter(~late), rows.filter(late)
         else:
             fresh, dropped = rows, rows.limit(0)
-        combined = recent.withColumn("_own", F.lit(False)).unionByName(fresh.withColumn("_own", F.lit(True)))
+        combined = recent.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
         counts = trailing_counts(combined.withColumn("ts", F.timestamp_micros("us")), "name", "ts", "event_id",
-                                 self.window_us, self.max_rows)
-        own = fresh.select("event_id", "name", "us").join(counts, ["event_id", "name"])
+                                 self.window_us, self.max_rows, keep=("us", "_new"))
+        own = counts.filter("_new")
         newest = combined.agg(F.max("us")).first()[0]
         updates = own.select("event_id", "name", "count", "us", F.lit("arrival").alias("kind"))
         if newest is not None:
@@ -78,7 +78,7 @@ class TrailingHourBatches:
         else:
             keep = combined
         updates.write.mode("overwrite").parquet(f"{self.base}/updates/batch={batch_id}")
-        keep.drop("_own").withColumn("batch_id", F.lit(batch_id).cast("long")) \
+        keep.drop("_new").withColumn("batch_id", F.lit(batch_id).cast("long")) \
             .write.mode("overwrite").parquet(self.slot(batch_id))
 
 
