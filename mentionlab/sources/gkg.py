@@ -87,9 +87,24 @@ def read_gkg_text(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
 
 
 def gkg_line(cols: dict[str, Column]) -> Column:
-    """Build one 27-column tab-separated line; columns not given are empty."""
-    return F.concat_ws(TAB, *[F.coalesce(cols[c].cast("string"), F.lit("")) if c in cols
-                              else F.lit("") for c in GKG_COLUMNS])
+    """Build one 27-column tab-separated line; columns not given are empty.
+
+    Runs of separators and empty columns become one literal, so a line is a single
+    ``concat`` of the given columns and a few constants.
+    """
+    parts: list = []
+    for i, c in enumerate(GKG_COLUMNS):
+        if i:
+            parts.append(TAB)
+        if c in cols:
+            parts.append(F.coalesce(cols[c].cast("string"), F.lit("")))
+    merged: list = []
+    for p in parts:
+        if isinstance(p, str) and merged and isinstance(merged[-1], str):
+            merged[-1] += p
+        else:
+            merged.append(p)
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in merged])
 
 
 # ---------------------------------------------------------------- S3: size tiers
