@@ -38,7 +38,10 @@ def run_topk(args) -> None:
     else:
         mentions = mentions_from_gkg(read_gkg_parquet(spark, args.input), args.name_rule)
     top = daily_topk(mentions, args.k)
-    if args.documents:
+    if args.reference_shape:
+        from mentionlab.operators.topk import top_ten_rows
+        write_json_run(top_ten_rows(top), args.output)
+    elif args.documents:
         write_daily_documents(top, args.output, mode="errorifexists")
     else:
         write_json_run(top, args.output)
@@ -96,6 +99,8 @@ def main(argv=None) -> None:
     t.add_argument("--name-rule", choices=["last_offset", "all_offsets", "head"], default="last_offset")
     t.add_argument("--k", type=int, default=10)
     t.add_argument("--schema", help="headers file (name TAB type TAB mode) for the csv reader")
+    t.add_argument("--reference-shape", action="store_true",
+                   help="write rows as {date, topTenTopics: [{_1, _2}]} for existing readers")
     t.add_argument("--documents", action="store_true", help="write one {data, result} document per day")
     t.set_defaults(fn=run_topk)
     c = sub.add_parser("convert", help="records to day-partitioned Parquet")

@@ -112,6 +112,16 @@ def daily_documents(topk: DataFrame) -> DataFrame:
                                  F.col("_e")["count"].alias("count")).alias("result")))
 
 
+def top_ten_rows(topk: DataFrame) -> DataFrame:
+    """The reference's committed result shape, for existing readers:
+    ``(date TIMESTAMP, topTenTopics ARRAY<STRUCT<_1 STRING, _2 INT>>)`` in rank order."""
+    entries = F.sort_array(F.collect_list(F.struct("rank", "topic", "count")))
+    return (topk.groupBy("date").agg(entries.alias("_e"))
+            .select(F.col("date").cast("timestamp").alias("date"),
+                    F.arrays_zip(F.col("_e")["topic"].alias("_1"),
+                                 F.col("_e")["count"].cast("array<int>").alias("_2")).alias("topTenTopics")))
+
+
 def document_json(docs: DataFrame) -> DataFrame:
     """Daily documents as JSON text, one line per day."""
     return docs.select("data", F.to_json(F.struct("data", "result")).alias("document"))

@@ -169,3 +169,13 @@ def test_convert_to_parquet_prunes_days(spark, workdir):
     assert "PartitionFilters" in plan and "day" in plan
     assert sorted(r.record_id for r in mentions_from_gkg(back).collect()) == \
         sorted(r.record_id for r in mentions_from_gkg(df).collect())
+
+
+def test_top_ten_rows_shape(spark):
+    from mentionlab.operators.topk import rank_topics, top_ten_rows
+    rows = [("2015-02-18", "A", 5), ("2015-02-18", "B", 7)]
+    counts = spark.createDataFrame(rows, "d STRING, topic STRING, count LONG").select(
+        F.to_date("d").alias("date"), "topic", "count")
+    out = top_ten_rows(rank_topics(counts).select("date", "topic", "count", "rank"))
+    assert out.schema.simpleString() == "struct<date:timestamp,topTenTopics:array<struct<_1:string,_2:int>>>"
+    assert out.toJSON().first() == '{"date":"2015-02-18T00:00:00.000Z","topTenTopics":[{"_1":"B","_2":7},{"_1":"A","_2":5}]}'
