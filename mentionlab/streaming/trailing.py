@@ -160,6 +160,9 @@ def rows_dropped_by_watermark(query, updates: DataFrame) -> int:
 
     Every row that reaches the processor yields one ``arrival`` or ``late`` update, so the
     dropped rows are the query's input rows minus those updates (``updates`` = the sink's rows).
+    ``recentProgress`` keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
+    batches, so this is for bounded runs (``availableNow``) or a listener that sums
+    ``numInputRows`` as batches complete.
     """
     seen = sum(int(p.numInputRows) for p in query.recentProgress)
     delivered = updates.filter(F.col("kind").isin("arrival", "late")).count()
