@@ -189,3 +189,32 @@ def test_applied_messages_equal_snapshot(spark, workdir):
     snap = json.loads(latest_snapshot(spark, base).first().message)
     assert state == {e["name"]: e["count"] for e in snap}
     assert len(snap) <= 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+STEPS = st.lists(st.lists(st.tuples(st.sampled_from(["a", "a", "b"]), st.integers(0, 2400)), min_size=1, max_size=8),
+                 min_size=1, max_size=4)
+
+
+@settings(max_examples=3, deadline=None)
+@given(STEPS)
+def test_keyed_stream_matches_brute_force(spark, steps):
+    import random
+    import tempfile
+    work = tempfile.mkdtemp(prefix="mentionlab-prop-")
+    batches, t0, eid = [], 0.0, 0
+    for step in steps:  # batch k covers [t0, t0 + 2400 s): in order across batches
+        rows = []
+        for name, off in step:
+            eid += 1
+            rows.append((eid, t0 + off, name))
+        random.Random(eid).shuffle(rows)
+        batches.append(rows)
+        t0 += 2400.0
+    for i, b in enumerate(batches):
+        write_batch(work + "/in", i, b)
+    res = run(spark, work + "/in", work + "/out", work + "/ckpt")
+    arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
+    assert arrivals == brute_force(batches)
