@@ -45,6 +45,12 @@ class TrailingHourBatches:
         recent = self._recent(spark, batch_id)
         rows = batch.select(F.col("event_id").cast("long").alias("event_id"), F.col("name"),
                             micros(F.col("ts")).alias("us")).filter(F.col("us").isNotNull())
+        if rows.isEmpty():  # nothing new: carry the kept mentions to this batch's slot
+            recent.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
+                .parquet(self.slot(batch_id))
+            spark.createDataFrame([], "event_id LONG, name STRING, count LONG, us LONG, kind STRING") \
+                .write.mode("overwrite").parquet(f"{self.base}/updates/batch={batch_id}")
+            return
         prev_newest = recent.agg(F.max("us")).first()[0]
         if prev_newest is not None:
             late = F.col("us") <= F.lit(prev_newest - self.lateness_us)
