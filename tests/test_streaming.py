@@ -218,3 +218,29 @@ def test_keyed_stream_matches_brute_force(spark, steps):
     res = run(spark, work + "/in", work + "/out", work + "/ckpt")
     arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
     assert arrivals == brute_force(batches)
+
+
+@settings(max_examples=2, deadline=None)
+@given(STEPS)
+def test_microbatch_stream_matches_brute_force(spark, steps):
+    import random
+    import tempfile
+    from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
+    work = tempfile.mkdtemp(prefix="mentionlab-prop-")
+    batches, t0, eid = [], 0.0, 0
+    for step in steps:
+        rows = []
+        for name, off in step:
+            eid += 1
+            rows.append((eid, t0 + off, name))
+        random.Random(eid).shuffle(rows)
+        batches.append(rows)
+        t0 += 2400.0
+    for i, b in enumerate(batches):
+        write_batch(work + "/in", i, b)
+    s = file_stream(spark, work + "/in", SCHEMA, max_files_per_trigger=1)
+    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(work + "/mb", max_rows=3))
+               .option("checkpointLocation", work + "/ckpt"))
+    res = read_updates(spark, work + "/mb")
+    arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
+    assert arrivals == brute_force(batches)
