@@ -49,9 +49,11 @@ def minute_key(key: Column) -> Column:
 def parse_record_key(key: Column) -> Column:
     """``"a-b"`` to ``struct(a BIGINT, b BIGINT)``; ``(0, 0)`` unless exactly two numeric parts."""
     parts = F.split(key, "-")
-    a = parts.getItem(0).try_cast("bigint")
-    b = F.get(parts, 1).try_cast("bigint")
-    ok = (F.size(parts) == 2) & a.isNotNull() & b.isNotNull()
+    pa, pb = parts.getItem(0), F.get(parts, 1)
+    a, b = pa.try_cast("bigint"), pb.try_cast("bigint")
+    # whole-number text only (no spaces), as a strict long parser accepts; overflow gives null
+    number = r"^\+?[0-9]+$"
+    ok = (F.size(parts) == 2) & pa.rlike(number) & pb.rlike(number) & a.isNotNull() & b.isNotNull()
     zero = F.lit(0).cast("bigint")
     return F.struct(F.when(ok, a).otherwise(zero).alias("a"), F.when(ok, b).otherwise(zero).alias("b"))
 

@@ -291,10 +291,12 @@ _RAWKEY = ("CAST(event_id AS VARCHAR) || '-' || CASE event_type WHEN 'error' THE
 
 
 @query("parse_record_key", f"""WITH k AS (SELECT event_id, {_RAWKEY} AS key FROM events),
-p AS (SELECT event_id, TRY_CAST(split_part(key, '-', 1) AS BIGINT) AS a0, TRY_CAST(split_part(key, '-', 2) AS BIGINT) AS b0,
-             len(string_split(key, '-')) AS parts FROM k)
-SELECT event_id, CASE WHEN parts = 2 AND a0 IS NOT NULL AND b0 IS NOT NULL THEN a0 ELSE 0 END AS a,
-       CASE WHEN parts = 2 AND a0 IS NOT NULL AND b0 IS NOT NULL THEN b0 ELSE 0 END AS b FROM p""")
+p AS (SELECT event_id, split_part(key, '-', 1) AS pa, split_part(key, '-', 2) AS pb,
+             len(string_split(key, '-')) AS parts FROM k),
+q AS (SELECT event_id, parts, TRY_CAST(pa AS BIGINT) AS a0, TRY_CAST(pb AS BIGINT) AS b0,
+             regexp_matches(pa, '^\\+?[0-9]+$') AND regexp_matches(pb, '^\\+?[0-9]+$') AS digits FROM p)
+SELECT event_id, CASE WHEN parts = 2 AND digits AND a0 IS NOT NULL AND b0 IS NOT NULL THEN a0 ELSE 0 END AS a,
+       CASE WHEN parts = 2 AND digits AND a0 IS NOT NULL AND b0 IS NOT NULL THEN b0 ELSE 0 END AS b FROM q""")
 def q_parse_record_key(spark, d):
     ev = _events(spark, d)
     uid = F.col("user_id").cast("string")

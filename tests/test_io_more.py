@@ -63,3 +63,12 @@ def test_library_helpers(spark):
     assert sorted((r.width, len(r.fields)) for r in parse_text_lines(lines).collect()) == [(1, 1), (2, 4)]
     assert kafka_sink_options("h:9092", "t")["topic"] == "t"
     assert poll_trigger(spark.readStream.format("rate").load().writeStream) is not None
+
+
+def test_parse_record_key_is_strict(spark):
+    from mentionlab.functions.times import parse_record_key
+    keys = ["12-34", "+1-2", " 1-2", "12-", "-5", "1-2-3", "x-1", "99999999999999999999-1", "7-08"]
+    df = spark.createDataFrame([(k,) for k in keys], "key STRING").select("key", parse_record_key(F.col("key")).alias("p"))
+    got = {r.key: (r.p.a, r.p.b) for r in df.collect()}
+    assert got == {"12-34": (12, 34), "+1-2": (1, 2), " 1-2": (0, 0), "12-": (0, 0), "-5": (0, 0),
+                   "1-2-3": (0, 0), "x-1": (0, 0), "99999999999999999999-1": (0, 0), "7-08": (7, 8)}
