@@ -10,8 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mentionlab.llm.bit_sliced import top_k
 from mentionlab.llm.common import table
 from mentionlab.llm.decontaminate import decontaminate
+from mentionlab.llm.licenses import license_scan
 from mentionlab.llm.line_dedup import line_dedup
 from mentionlab.llm.mixing import mix_sizes
 from mentionlab.llm.token_counts import token_counts
@@ -24,6 +26,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("spans")).drop("spans")
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -44,12 +55,27 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_license_scan": op3_license_scan,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLES = {
+    "op4_exact_top_k": r"""
+WITH q AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, a.v AS qv, b.vec_id, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""",
     "op5_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
