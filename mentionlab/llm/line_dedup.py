@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlab.llm.common import ASCII_SPACE, ascii_lower, null_safe
+from mentionlab.llm.common import ASCII_SPACE, ascii_lower, null_safe, written
 
 
 def lines_of(text: Column) -> Column:
@@ -45,9 +45,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("_id", "_text", "_pos", F.unhex(F.md5("_key")).alias("_hash")))
 
     holders = keyed.select("_hash", first_of.alias("_doc")).distinct()
-    repeated = (holders.groupBy("_hash").agg(F.count(F.lit(1)).alias("_docs"), F.min("_doc").alias("_first"))
+    # written out, so that both sides of the join are shuffles and AQE can split a hot hash
+    repeated = written(holders.groupBy("_hash").agg(F.count(F.lit(1)).alias("_docs"), F.min("_doc").alias("_first"))
                 .filter(F.col("_docs") >= min_docs)
-                .select("_hash", F.col("_first.id").alias("_keeper")))
+                .select("_hash", F.col("_first.id").alias("_keeper")), "repeated_lines")
 
     dropped = (keyed.join(repeated, "_hash")
                .filter(~F.col("_id").eqNullSafe(F.col("_keeper")))

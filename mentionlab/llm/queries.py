@@ -16,7 +16,9 @@ from mentionlab.llm.decontaminate import decontaminate
 from mentionlab.llm.licenses import license_scan
 from mentionlab.llm.line_dedup import line_dedup
 from mentionlab.llm.mixing import mix_sizes
+from mentionlab.llm.quality import THRESHOLD, fit_quality, held_out, quality_scores
 from mentionlab.llm.token_counts import token_counts
+from mentionlab.llm.warc import round_trip
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -53,13 +55,28 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "valid")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = quality_scores(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_license_scan": op3_license_scan,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
