@@ -60,6 +60,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_broadcast(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Hints a broadcast of ``df``, a written table of one number a row, up to ``rows`` rows
+    (a few MB); a longer one is left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def emit(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

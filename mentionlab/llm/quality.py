@@ -182,9 +182,10 @@ class Network:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                label_col: str = "quality", rows: int = ROWS, row_bytes: int = ROW_BYTES) -> Network:
+                label_id: str = "doc_id", label_col: str = "quality", rows: int = ROWS,
+                row_bytes: int = ROW_BYTES) -> Network:
     """A network fitted on at most ``rows`` labelled texts of at most ``row_bytes`` bytes."""
-    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).filter(
+    known = labels.select(F.col(label_id).alias("_id"), F.col(label_col).cast("int").alias("_label")).filter(
         F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
     chosen = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))

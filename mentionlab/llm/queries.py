@@ -15,8 +15,10 @@ from mentionlab.llm.common import table
 from mentionlab.llm.decontaminate import decontaminate
 from mentionlab.llm.licenses import license_scan
 from mentionlab.llm.line_dedup import line_dedup
+from mentionlab.llm.minhash import near_duplicates
 from mentionlab.llm.mixing import mix_sizes
 from mentionlab.llm.quality import THRESHOLD, fit_quality, held_out, quality_scores
+from mentionlab.llm.spans import span_dedup
 from mentionlab.llm.token_counts import token_counts
 from mentionlab.llm.warc import round_trip
 
@@ -28,6 +30,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"))
     return found.withColumn("n_spans", F.size("spans")).drop("spans")
@@ -60,6 +66,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "valid")
 
 
+def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = span_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.withColumn("repeated", F.col("n_removed") > 0)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -70,12 +81,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_license_scan": op3_license_scan,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_decontaminate": op8_decontaminate,
+    "op9_span_dedup": op9_span_dedup,
     "op10_quality": op10_quality,
 }
 

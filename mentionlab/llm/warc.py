@@ -4,8 +4,8 @@ Writing: of the records with equal payloads (by SHA-256) of at least ``min_revis
 the one with the smallest page id is a response and the others are revisits that name it.  A
 response holds an HTTP message with a chunked body; a block longer than ``segment`` bytes is
 cut into a first record and continuation records.  Spark's text writer stores one record per
-row with the record end as line separator, so archives can be anywhere Spark writes, and no
-file holds more than ``per_file`` records of bounded size.
+row with the record end as line separator and zips each file, so archives can be anywhere
+Spark writes, and no file holds more than ``per_file`` records of bounded size.
 
 Reading: each file is parsed by its content lengths; continuation records are grouped by the
 identifier of their origin, ordered by segment number, and the total length is verified
@@ -21,6 +21,7 @@ segments are incomplete or whose length, framing or digest is wrong is returned
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -66,6 +67,7 @@ def pieces(data: bytes, size: int) -> list[bytes]:
         end = min(start + size, len(data))
         while end < len(data) and data[end] & 0xC0 == 0x80:
             end -= 1
+        end = end if end > start else min(start + size, len(data))
         out.append(data[start:end])
         start = end
     return out
@@ -143,7 +145,7 @@ def write_archives(typed: DataFrame, path: str, segment: int = SEGMENT, per_file
     read = typed.select("page_id", F.monotonically_increasing_id().alias("serial"), "url",
                         F.col("payload").cast("binary").alias("payload"), "digest", "first")
     (read.mapInArrow(_records(segment), "value string").write.option("lineSep", END)
-     .option("maxRecordsPerFile", per_file).mode("errorifexists").text(path))
+     .option("maxRecordsPerFile", per_file).option("compression", "gzip").mode("errorifexists").text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -173,7 +175,8 @@ def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(0):
             rows = []
-            for f, block in parse(content.as_py()):
+            data = content.as_py()
+            for f, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
                 rows.append((f.get("warc-segment-origin-id", f["warc-record-id"]), number and int(number),
                              total and int(total), f["warc-type"], _unuri(f.get("warc-target-uri")),
