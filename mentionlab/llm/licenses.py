@@ -121,7 +121,8 @@ PLAIN = [
     (1, 0.40, "copyright", "copyright", r"copyright"),
     (3, 0.90, "permission-grant", "permission", r"permission is hereby granted free of charge to any person"),
     (3, 0.90, "redistribution", "redistribution", r"redistribution and use in source and binary forms"),
-    (2, 0.70, "warranty", "warranty", r"without (?:any )?warrant(?:y|ies)(?: of any kind| or conditions of any kind)?"),
+    (2, 0.70, "warranty", "warranty", r"without (?:any )?warranty(?: of any kind)?"),
+    (2, 0.70, "warranty", "warranties", r"without (?:any )?warranties(?: or conditions of any kind| of any kind)?"),
     (3, 0.90, "proprietary", "confidential", r"proprietary and confidential|confidential and proprietary"),
     (2, 0.80, "free-software", "redistribute", r"free software you can redistribute it and or modify"),
 ]
@@ -155,8 +156,8 @@ def rules() -> tuple[Rule, ...]:
             key = own or (url.split()[0] if "{url}" in context else keyword)
             if label.startswith("cc-") and not own and "{url}" not in context:
                 # the name is written out or abbreviated: a rule for each, with its own keyword
-                for key, form in (("cc", name.replace("(?:cc", "(?:cc", 1)), ("creative", name)):
-                    out.append(Rule(priority, weight, label, key, _whole_words(context.format(name=form))))
+                for key in ("cc", "creative"):
+                    out.append(Rule(priority, weight, label, key, _whole_words(context.format(name=name))))
                 continue
             out.append(Rule(priority, weight, label, key,
                             _whole_words(context.format(name=f"(?:{name})", spdx=spdx, url=url))))

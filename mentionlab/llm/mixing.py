@@ -54,10 +54,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_cop
     whole = by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     level = ((F.lit(share) * F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
              / F.sum("weight").over(onward))
-    per = per.withColumn("level", level).withColumn("full", F.col("cap") <= F.col("level") * F.col("weight"))
-    # the level at the first source that is not full holds for it and all after it
-    final = F.min(F.when(~F.col("full"), F.col("level"))).over(whole)
-    target = F.when(F.col("full"), F.col("cap").cast("double")).otherwise(final * F.col("weight"))
+    per = per.withColumn("level", level).withColumn("nth", F.row_number().over(by_ratio))
+    # the first source that is not full ends the full ones, and its level holds from there on
+    per = per.withColumn("stop", F.min(F.when(F.col("cap") > F.col("level") * F.col("weight"), F.col("nth"))).over(whole))
+    final = F.max(F.when(F.col("nth") == F.col("stop"), F.col("level"))).over(whole)
+    target = F.when(F.col("nth") >= F.col("stop"), final * F.col("weight")).otherwise(F.col("cap").cast("double"))
     return per.select("source", "source_size", target.alias("target"))
 
 

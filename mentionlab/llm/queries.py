@@ -133,16 +133,15 @@ WITH RECURSIVE docs AS (
   FROM docs GROUP BY source
 ), src AS (
   SELECT source, source_size, 3 * source_size AS cap, [5.0, 2.0, 1.0][1 + rk % 3]::DOUBLE AS weight FROM per
-), lev AS (
-  SELECT *, (1.0::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (
-               ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-            / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
-                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-  FROM src
+), brk AS (
+  SELECT a.cap / a.weight AS r, sum(least(b.cap, a.cap / a.weight * b.weight)) AS filled,
+         (sum(b.source_size)::DOUBLE - coalesce(sum(b.cap) FILTER (b.cap / b.weight < a.cap / a.weight), 0))
+         / sum(b.weight) FILTER (b.cap / b.weight >= a.cap / a.weight) AS level
+  FROM src a, src b GROUP BY a.source, a.cap / a.weight
 ), tgt AS (
-  SELECT source, source_size, CASE WHEN cap <= level * weight THEN cap::DOUBLE ELSE weight * (
-           SELECT min(level) FROM lev WHERE cap > level * weight) END AS target
-  FROM lev
+  SELECT source, source_size, coalesce(least(cap, weight * (
+           SELECT arg_min(level, r) FROM brk WHERE filled >= (SELECT sum(source_size) FROM src))), cap)::DOUBLE AS target
+  FROM src
 ), placed AS (
   SELECT doc_id, size, t.source_size, target,
          CASE WHEN t.source_size > 0 THEN target / t.source_size ELSE 0 END AS rate,
