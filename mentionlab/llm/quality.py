@@ -5,8 +5,8 @@ whether it ends a run repeating the bytes 1 to ``LAGS`` places before.  Learned
 over chunks of ``2 * HALF`` bytes that start every ``HALF`` bytes, so the chunks overlap and
 cover the whole text; each filter's response is max-pooled over all chunks, and a small dense
 layer combines the maxima into one probability.  Long texts are worked off in bounded blocks
-with a running maximum, so memory doesn't grow with the length, and a text's score never
-hangs on the rows beside it.
+with a running maximum, so memory doesn't grow with the length; zeros between texts keep a
+text's score apart from the rows beside it.
 
 Fitting takes a bounded sample of labelled rows: at most ``rows`` of them, chosen by a hash of
 the id, with texts of at most ``row_bytes`` bytes, so at most ``rows * row_bytes`` bytes reach
@@ -127,8 +127,8 @@ class Network:
             return np.full(len(texts), 1.0 if self.fixed is None else self.fixed)
         data, starts, count = layout(texts)
         pool, _ = self.pooled(data, starts, count)
-        # row by row: the sums of a batched product may hang on the batch's shape
-        return np.array([self.head(row[None])[2][0] for row in pool])
+        # products of another batch may differ in the last bits of a float; six digits don't
+        return np.round(self.head(pool)[2], 6)
 
     def gradients(self, texts: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
         data, starts, count = layout(texts)
