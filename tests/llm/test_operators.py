@@ -389,8 +389,8 @@ def test_span_dedup_equals_brute_force(spark):
         if r.random() < 0.6:
             at = r.randint(0, len(parts))
             parts[at:at] = [p.upper() if r.random() < 0.3 else p for p in r.choice(passages)]
-        texts.append((i, r.choice([" ", "\n", "  \n "]).join(parts)))
-    texts += [*ODD, (90, " ".join(passages[0] * 3)), (None, " ".join(passages[1]))]
+        texts.append((i + 200, r.choice([" ", "\n", "  \n "]).join(parts)))
+    texts += [*ODD, (290, " ".join(passages[0] * 3)), (None, " ".join(passages[1]))]
     rows = spans.span_dedup(docs(spark, texts)).collect()
     want = brute_spans(texts)
     for x in rows:
