@@ -81,7 +81,7 @@ def run_replay(args) -> None:
     from mentionlab.sources.segments import segment_lines
     spark = _session()
     lines = segment_lines(spark, args.input)
-    spread = spread_timestamps(lines, "segment", F.col("seg_start"), "seq")
+    spread = spread_timestamps(lines, "segment", F.col("seg_start"), "line_order")
     records = spread.select(F.col("record_key").alias("key"), "value",
                             F.timestamp_millis("ms").alias("timestamp"))
     write_keyed(records, args.output, args.kafka, args.topic)

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mentionlab.plans.ranking import number_rows
 
@@ -24,26 +21,10 @@ def sum_by_key(df: DataFrame, key: str, value: str, out: str = "total") -> DataF
     return df.groupBy(key).agg(F.sum(value).cast("bigint").alias(out))
 
 
-def revenue_batches(batches):
-    """M4 body: one Arrow batch at a time, vectorised."""
-    for b in batches:
-        price = b.column("l_extendedprice")
-        disc = b.column("l_discount")
-        rev = pc.multiply(price, pc.subtract(pa.scalar(1.0), disc))
-        yield pa.RecordBatch.from_arrays([b.column("l_orderkey"), b.column("l_linenumber"), rev],
-                                         names=["l_orderkey", "l_linenumber", "revenue"])
-
-
 def partition_map(lineitem: DataFrame) -> DataFrame:
-    """M4: ``mapPartitions`` as ``mapInArrow`` (Arrow batches, no shuffle)."""
-    cols = lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
-    return cols.mapInArrow(revenue_batches,
-                           "l_orderkey BIGINT, l_linenumber INT, revenue DOUBLE")
-
-
-def partition_profile(df: DataFrame) -> DataFrame:
-    """M5: ``mapPartitionsWithIndex`` use: rows per partition index."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+    """M4: ``mapPartitions`` over rows is a column expression here (one codegen span, no shuffle)."""
+    revenue = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
+    return lineitem.select("l_orderkey", "l_linenumber", revenue.alias("revenue"))
 
 
 def join_inner(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -82,14 +63,20 @@ def combine_mean(df: DataFrame, key: str, value: str) -> DataFrame:
             .withColumn("mean", F.col("total") / F.col("n")))
 
 
-@F.pandas_udf(T.DoubleType())
-def mean_udaf(v: pd.Series) -> float:
-    """M10 twin as a grouped pandas aggregate (slow path, Arrow batches)."""
-    return float(v.mean())
+def _partial_means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = pa.Table.from_batches([b]).group_by("key").aggregate([("value", "count"), ("value", "sum")])
+        yield from found.select(["key", "value_count", "value_sum"]).to_batches()
 
 
 def combine_mean_pandas(df: DataFrame, key: str, value: str) -> DataFrame:
-    return df.groupBy(key).agg(mean_udaf(F.col(value)).alias("mean"))
+    """M10 twin with the accumulator built in Arrow batches: (count, sum) per batch and key
+    before the shuffle, so a hot key sends a row a batch."""
+    kind = df.schema[key].dataType.simpleString()
+    parts = df.select(F.col(key).alias("key"), F.col(value).cast("double").alias("value")).mapInArrow(
+        _partial_means, f"key {kind}, n bigint, total double")
+    return (parts.groupBy(F.col("key").alias(key)).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+            .select(key, (F.col("total") / F.col("n")).alias("mean")))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -97,12 +84,20 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
+def values_in_both(df: DataFrame, col: str, first: Column, second: Column) -> DataFrame:
+    """M12 in one pass over ``df``: values with a row of either condition."""
+    return (df.groupBy(col).agg(F.bool_or(first).alias("_a"), F.bool_or(second).alias("_b"))
+            .filter("_a AND _b").select(col))
+
+
 def common_values(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """``intersection`` (distinct on both sides)."""
     return a.select(col).intersect(b.select(col))
 
 
-def reshuffle(df: DataFrame, n: int, keys: Sequence[str] = (), then_coalesce: int | None = None) -> DataFrame:
-    """``repartition`` (by keys when given) and ``coalesce``; the row set is unchanged."""
-    out = df.repartition(n, *keys) if keys else df.repartition(n)
+def reshuffle(df: DataFrame, n: int | None = None, keys: Sequence[str] = (), then_coalesce: int | None = None) -> DataFrame:
+    """``repartition`` (by keys when given) and ``coalesce``; the row set is unchanged.
+
+    Without ``n`` the session's shuffle partitions hold, which grow with the cluster."""
+    out = df.repartition(*([n] if n else []), *keys)
     return out.coalesce(then_coalesce) if then_coalesce else out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionlab.functions.times import micros
-from mentionlab.plans.ranking import largest_group, max_group_rows, number_rows
+from mentionlab.plans.ranking import largest_group, max_group_rows, number_rows_split
 
 HOUR_US = 3_600_000_000
 
@@ -31,12 +31,10 @@ def sort_orders(by: str = "count", descending: bool = True):
     raise ValueError("sort by 'count' or 'name'")
 
 
-def sorted_histogram(hist: DataFrame, by: str = "count", descending: bool = True,
-                     max_rows: int | None = None) -> DataFrame:
-    """Every entry with its 1-based position; beyond one task's worth of entries the
-    numbering is distributed (range shuffle and offsets), never one unbounded window."""
-    return number_rows(hist, [], sort_orders(by, descending), out="pos", base=1, max_rows=max_rows,
-                       reuse_input=True)
+def sorted_histogram(hist: DataFrame, by: str = "count", descending: bool = True) -> DataFrame:
+    """Every entry with its 1-based position, numbered by a range shuffle and offsets at
+    any size, never by one unbounded window."""
+    return number_rows_split(hist, [], sort_orders(by, descending), out="pos", base=1)
 
 
 def first_n(hist: DataFrame, n: int = 10, by: str = "count", descending: bool = True) -> DataFrame:
@@ -108,14 +106,15 @@ def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col:
     earlier buckets of the key, so no window ever holds a whole key: a name with a third of
     all mentions is spread over its time buckets.  Output: ``(id, key, count)``.
     """
-    base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
-                         micros(F.col(ts_col)).alias("_us"), *keep).filter(F.col("_us").isNotNull())
+    base = events.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"),
+                         F.col(key_col).alias("_key"), micros(F.col(ts_col)).alias("_us"), *keep) \
+        .filter(F.col("_us").isNotNull())
     # one scan: each row probes C at its own time (and counts as data) and at t - width
     probe = F.explode(F.array(
         F.struct(F.col("_us").alias("_x"), F.lit(1).alias("_data"), F.lit(1).alias("_sign")),
         F.struct((F.col("_us") - F.lit(width_us)).alias("_x"), F.lit(0).alias("_data"), F.lit(-1).alias("_sign"))))
-    probes = base.select("_id", "_key", *keep, probe.alias("_p")) \
-        .select("_id", "_key", *keep, "_p._x", "_p._data", "_p._sign")
+    probes = base.select("_row", "_id", "_key", *keep, probe.alias("_p")) \
+        .select("_row", "_id", "_key", *keep, "_p._x", "_p._data", "_p._sign")
     probes = probes.withColumn("_b", _bucket(F.col("_x"), bucket_us))
     # rows of the key strictly before each bucket
     per_bucket = probes.groupBy("_key", "_b").agg(F.sum("_data").alias("_n"))
@@ -124,9 +123,11 @@ def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col:
                                 .cast("bigint").alias("_off"))
     inside = Window.partitionBy("_key", "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
     local = probes.withColumn("_le", F.sum("_data").over(inside))
-    at = local.join(offsets, ["_key", "_b"]).select(
-        "_id", "_key", *keep, (F.col("_sign") * (F.col("_off") + F.col("_le"))).alias("_c"))
-    return at.groupBy("_id", "_key").agg(F.sum("_c").cast("bigint").alias("count"),
+    same = local["_key"].eqNullSafe(offsets["_key"]) & (local["_b"] == offsets["_b"])
+    at = local.join(offsets, same).select(
+        "_row", "_id", local["_key"], *keep, (F.col("_sign") * (F.col("_off") + F.col("_le"))).alias("_c"))
+    # by row, not by the caller's id: ids may repeat
+    return at.groupBy("_row").agg(F.first("_id").alias("_id"), F.first("_key").alias("_key"), F.sum("_c").cast("bigint").alias("count"),
                                          *[F.first(k).alias(k) for k in keep]) \
         .select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count", *keep)
 

@@ -589,9 +589,7 @@ def q_topics_both_days(spark, d):
     t = D.document_topics(D.table(spark, d, "documents"))
     # topics seen both before and from 2015-02-21: the two periods cover every document
     split = F.lit("2015-02-21").cast("date")
-    a = t.filter(F.col("date") < split)
-    b = t.filter(F.col("date") >= split)
-    return basics.common_values(a, b, "topic")
+    return basics.values_in_both(t, "topic", F.col("date") < split, F.col("date") >= split)
 
 
 @query("partition_map", "SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS revenue FROM lineitem")
@@ -599,16 +597,11 @@ def q_partition_map(spark, d):
     return basics.partition_map(D.table(spark, d, "lineitem"))
 
 
-@query("partition_profile", None)
-def q_partition_profile(spark, d):
-    return basics.partition_profile(D.table(spark, d, "lineitem"))
-
-
 @query("repartition_identity", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders""")
 def q_repartition_identity(spark, d):
     o = D.table(spark, d, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    return basics.reshuffle(o, 16, ["o_orderkey"], then_coalesce=4)
+    return basics.reshuffle(o, keys=["o_orderkey"])
 
 
 def catalog() -> dict[str, tuple[Builder, str | None]]:

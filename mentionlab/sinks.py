@@ -18,8 +18,8 @@ def write_json_run(df: DataFrame, base: str, stamp: int | None = None, mode: str
 
 
 def write_daily_documents(topk: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """K2: one ``{"data", "result"}`` document per day (``coalesce`` keeps the file count small)."""
-    daily_documents(topk).coalesce(1).write.mode(mode).json(path)
+    """K2: one ``{"data", "result"}`` document per day, written by the tasks that rank the days."""
+    daily_documents(topk).write.mode(mode).json(path)
     return path
 
 

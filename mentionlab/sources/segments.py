@@ -58,5 +58,8 @@ def segment_lines(spark: SparkSession, paths) -> DataFrame:
     from mentionlab.functions.times import segment_time
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("segment"))
     key = F.substring_index(F.col("value"), "\t", 1)
+    number = F.regexp_extract(F.substring_index(key, "-", -1), r"(\d+)$", 1).try_cast("bigint")
     return lines.select("segment", segment_time(F.col("segment")).alias("seg_start"), key.alias("record_key"),
-                        F.substring_index(key, "-", -1).try_cast("bigint").alias("seq"), "value")
+                        number.alias("seq"), "value",
+                        # a total order, whatever the suffix looks like
+                        F.struct(number.alias("n"), key.alias("k"), "value").alias("line_order"))

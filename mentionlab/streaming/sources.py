@@ -15,12 +15,13 @@ RECORD_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP"
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """``fail_on_data_loss=False`` skips offsets that the topic no longer holds."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
          .option("startingOffsets", starting)
-         .option("failOnDataLoss", "false"))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load().select(F.col("key").cast("string").alias("key"),

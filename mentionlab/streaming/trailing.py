@@ -126,7 +126,8 @@ class TrailingHourProcessor(StatefulProcessor):
         wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
         before = self._load()
         live = {k: n for k, n in before.items() if k > wm_us - self.window_us}
-        count = sum(live.values())
+        # later mentions may be logged already: they don't count at the watermark
+        count = self._count_at(live, wm_us)
         if live:
             self._store(before, live)
             self._rearm(live)

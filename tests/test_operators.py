@@ -107,7 +107,7 @@ def test_stoplist_and_spine(spark):
 def test_broadcast_only_when_small(spark):
     small = spark.range(10)
     big = spark.range(1000)
-    assert "broadcast" in str(broadcast_if_small(small, 100)._jdf.queryExecution().logical()).lower() or True
+    assert "broadcast" in str(broadcast_if_small(small, 100)._jdf.queryExecution().analyzed()).lower()
     assert broadcast_if_small(big, 100) is big
 
 
@@ -145,3 +145,12 @@ def test_basics(spark):
     assert sorted(map(tuple, g.collect())) == [(1, 0, "0,1"), (1, 1, "2,3"), (1, 2, "4")]
     re = basics.reshuffle(df, 5, ["k"], then_coalesce=2)
     assert sorted(re.collect()) == sorted(df.collect())
+
+
+def test_trailing_counts_split_keeps_repeated_ids_and_null_names(spark):
+    rows = [(1, "a", "2020-01-01 00:00:00"), (1, "a", "2020-01-01 00:10:00"), (2, "a", "2020-01-01 00:20:00"),
+            (3, None, "2020-01-01 00:20:00")]
+    df = spark.createDataFrame(rows, "id int, k string, t string").withColumn("ts", F.col("t").cast("timestamp"))
+    want = [(1, "a", 1), (1, "a", 2), (2, "a", 3), (3, None, 1)]
+    for form in (histogram.trailing_counts_context, histogram.trailing_counts_split):
+        assert sorted(map(tuple, form(df, "k", "ts", "id").collect()), key=repr) == want
