@@ -7,7 +7,7 @@ whole number that its part of the sum crosses.  Because neighbours in the order
 the same size, the words taken stay within about one (largest) document of the target.
 
 A source may hold a third of all rows, so its prefix sum is not one window: rows are spread
-by ``number_rows_split`` (range shuffle, local numbers, a small table of offsets).  Only
+by ``number_rows`` (range shuffle, local numbers, a small table of offsets).  Only
 (source, id, size) rows travel there, not texts.
 
 Defined cases: null or empty texts have size 0 and take part in the order; the null source
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionlab.llm.common import null_safe, written
-from mentionlab.plans.ranking import number_rows_split
+from mentionlab.plans.ranking import number_rows
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
@@ -72,7 +72,7 @@ def copies(sizes: DataFrame, order: Sequence[str], weights: Sequence[float] = WE
            max_copies: int = MAX_COPIES, seed: int = 7) -> DataFrame:
     """``sizes`` (source, size and the ``order`` columns) with source_size, target, copies."""
     targets = source_targets(sizes, weights, max_copies)
-    placed = number_rows_split(sizes, ["source"], ["size", *order], out="place", base=1)
+    placed = number_rows(sizes, ["source"], ["size", *order], out="place", base=1)
     joined = placed.join(targets, null_safe(placed, targets, ["source"])).select(
         placed["*"], targets["source_size"], targets["target"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
