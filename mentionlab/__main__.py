@@ -6,7 +6,9 @@
 * ``replay``: segment files to ``key, value, timestamp`` records, times spread evenly over
   each segment (to Parquet or Kafka).
 * ``histogram``: the streaming trailing-hour histogram with top-100 change messages,
-  from a Kafka topic or a folder of ``key, value, timestamp`` Parquet files.
+  from a Kafka topic or a folder of ``key, value, timestamp`` Parquet files; ``--publish``
+  writes its keyed updates.
+* ``top100``: the top-100 messages from such published updates.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ def run_topk(args) -> None:
     from mentionlab.sources.gkg import (read_gkg_csv, read_gkg_parquet, read_gkg_text,
                                         record_schema_from_headers, tier_paths)
     spark = _session()
+    if args.tier and args.format == "parquet":
+        raise SystemExit("--tier names segment files: it goes with --format csv or text")
     paths = tier_paths(args.input, args.tier, args.first_segment) if args.tier else args.input
     if args.format == "csv":
         schema = record_schema_from_headers(spark, args.schema) if args.schema else None
@@ -53,11 +57,19 @@ def run_convert(args) -> None:
     convert_to_parquet(read_gkg_csv(spark, args.input), args.output)
 
 
+def _run_stream(writer, args) -> None:
+    from mentionlab.streaming.increments import poll_trigger
+    writer = writer.option("checkpointLocation", args.checkpoint)
+    q = (writer.trigger(availableNow=True) if args.once else poll_trigger(writer, args.every)).start()
+    q.awaitTermination()
+
+
 def run_histogram(args) -> None:
+    from mentionlab.sinks import publish_updates
     from mentionlab.streaming.mentions import stream_mentions
     from mentionlab.streaming.sources import RECORD_SCHEMA, file_stream, kafka_stream
-    from mentionlab.streaming.top100 import Top100Writer, with_sequence
-    from mentionlab.streaming.trailing import trailing_hour_stream
+    from mentionlab.streaming.top100 import Top100Writer
+    from mentionlab.streaming.trailing_batches import TrailingHourBatches
     spark = _session()
     if args.kafka:
         records = kafka_stream(spark, args.kafka, args.topic, max_offsets_per_trigger=args.max_per_trigger)
@@ -67,12 +79,27 @@ def run_histogram(args) -> None:
                                         F.col("topic").alias("name"))
     # record keys are text; label each mention by a hash of key, name and time
     m = m.withColumn("event_id", F.xxhash64("event_id_text", "name", "ts"))
-    updates = with_sequence(trailing_hour_stream(m, resolution_us=args.resolution_us))
-    writer = updates.writeStream.foreachBatch(Top100Writer(args.output)) \
-        .option("checkpointLocation", args.checkpoint)
-    writer = writer.trigger(availableNow=True) if args.once else writer.trigger(processingTime=args.every)
-    q = writer.start()
-    q.awaitTermination()
+    top = Top100Writer(args.output)
+
+    def then(updates, batch_id):
+        top(updates, batch_id)
+        if args.publish or args.publish_topic:
+            publish_updates(updates, batch_id, args.publish, args.kafka if args.publish_topic else None,
+                            args.publish_topic)
+
+    _run_stream(m.writeStream.foreachBatch(TrailingHourBatches(f"{args.output}/trailing", then=then)), args)
+
+
+def run_top100(args) -> None:
+    from mentionlab.sinks import published_updates
+    from mentionlab.streaming.sources import file_stream, kafka_stream
+    from mentionlab.streaming.top100 import Top100Writer
+    spark = _session()
+    if args.kafka:
+        records = kafka_stream(spark, args.kafka, args.topic, starting="earliest")
+    else:
+        records = file_stream(spark, f"{args.input.rstrip('/')}/batch=*", "key STRING, value STRING")
+    _run_stream(published_updates(records).writeStream.foreachBatch(Top100Writer(args.output)), args)
 
 
 def run_replay(args) -> None:
@@ -94,7 +121,7 @@ def main(argv=None) -> None:
     t.add_argument("--input", required=True)
     t.add_argument("--output", required=True)
     t.add_argument("--format", choices=["csv", "text", "parquet"], default="csv")
-    t.add_argument("--tier", choices=["small", "medium", "large", "xlarge", "full"])
+    t.add_argument("--tier", choices=["small", "medium", "large", "xlarge", "full", "local"])
     t.add_argument("--first-segment", default="20150218230000")
     t.add_argument("--name-rule", choices=["last_offset", "all_offsets", "head"], default="last_offset")
     t.add_argument("--k", type=int, default=10)
@@ -120,10 +147,20 @@ def main(argv=None) -> None:
     h.add_argument("--output", required=True)
     h.add_argument("--checkpoint", required=True)
     h.add_argument("--max-per-trigger", type=int)
-    h.add_argument("--resolution-us", type=int, default=1)
+    h.add_argument("--publish", help="folder for keyed updates, a row per name and batch")
+    h.add_argument("--publish-topic", help="Kafka topic for keyed updates (with --kafka)")
     h.add_argument("--every", default="1 second")
     h.add_argument("--once", action="store_true", help="process what is there and stop")
     h.set_defaults(fn=run_histogram)
+    c = sub.add_parser("top100", help="top-100 messages from published histogram updates")
+    c.add_argument("--kafka", help="bootstrap servers; without it --input is the folder of --publish")
+    c.add_argument("--topic", default="histogram")
+    c.add_argument("--input")
+    c.add_argument("--output", required=True)
+    c.add_argument("--checkpoint", required=True)
+    c.add_argument("--every", default="1 second")
+    c.add_argument("--once", action="store_true", help="process what is there and stop")
+    c.set_defaults(fn=run_top100)
     args = p.parse_args(argv)
     args.fn(args)
 

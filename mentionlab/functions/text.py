@@ -13,5 +13,5 @@ def format_row(*cols: Column, sep: str = " ") -> Column:
 
 
 def drop_undecodable(text: Column) -> Column:
-    """Remove the replacement character the UTF-8 decoder puts for malformed bytes."""
-    return F.regexp_replace(text, REPLACEMENT_CHAR, "")
+    """Remove bytes that aren't UTF-8, whether the reader kept them or put the replacement character."""
+    return F.replace(F.make_valid_utf8(text), F.lit(REPLACEMENT_CHAR), F.lit(""))

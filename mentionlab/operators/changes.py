@@ -22,7 +22,9 @@ def top_changes(previous: DataFrame, current: DataFrame, n: int = TOP_N) -> Data
     """
     prev = top_entries(previous, n).select("name", F.col("count").alias("_old"))
     cur = top_entries(current, n).select("name", F.col("count").alias("_new"))
-    both = prev.join(cur, "name", "full_outer")
+    cur = cur.withColumnRenamed("name", "_name")
+    both = prev.join(cur, F.col("name").eqNullSafe(F.col("_name")), "full_outer") \
+        .withColumn("name", F.coalesce("name", "_name"))
     changed = F.col("_new").isNotNull() & (F.col("_old").isNull() | (F.col("_old") != F.col("_new")))
     gone = F.col("_new").isNull()
     return both.filter(changed | gone).select(

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionlab.functions.times import micros
-from mentionlab.plans.ranking import largest_group, max_group_rows, number_rows_split
+from mentionlab.plans.ranking import number_rows
 
 HOUR_US = 3_600_000_000
+MINUTE_US = 60_000_000
 
 
 def _bucket(us, width_us: int):
@@ -34,7 +35,7 @@ def sort_orders(by: str = "count", descending: bool = True):
 def sorted_histogram(hist: DataFrame, by: str = "count", descending: bool = True) -> DataFrame:
     """Every entry with its 1-based position, numbered by a range shuffle and offsets at
     any size, never by one unbounded window."""
-    return number_rows_split(hist, [], sort_orders(by, descending), out="pos", base=1)
+    return number_rows(hist, [], sort_orders(by, descending), out="pos", base=1)
 
 
 def first_n(hist: DataFrame, n: int = 10, by: str = "count", descending: bool = True) -> DataFrame:
@@ -61,79 +62,39 @@ def histogram_min(hist: DataFrame) -> DataFrame:
 
 
 def trailing_counts(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                    width_us: int = HOUR_US, max_rows: int | None = None,
+                    width_us: int = HOUR_US, bucket_us: int = MINUTE_US,
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """For every row, rows of the same key with time in ``(t - width, t]``.
+    """For every row with a time, rows of the same key with time in ``(t - width, t]``.
 
-    Output ``(id, key, count, *keep)``.  Checks the largest ``(key, window-width bucket)``
-    first: when it fits one task the one-shuffle :func:`trailing_counts_context` runs,
-    otherwise :func:`trailing_counts_split`.
-    """
-    b = _bucket(micros(F.col(ts_col)), width_us)
-    if largest_group(events.select(F.col(key_col), b.alias("_b")), [key_col, "_b"]) * 2 > \
-            max_group_rows(events.sparkSession, max_rows):
-        return trailing_counts_split(events, key_col, ts_col, id_col, width_us, keep=keep)
-    return trailing_counts_context(events, key_col, ts_col, id_col, width_us, keep=keep)
-
-
-def trailing_counts_context(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                            width_us: int = HOUR_US, keep: tuple[str, ...] = ()) -> DataFrame:
-    """T8 with one shuffle: rows grouped by ``(key, bucket of one window width)``; each bucket also
-    gets the previous bucket's rows as context, so a range window inside the bucket sees the
-    whole ``(t - width, t]``.  A group holds at most two window widths of one key.
+    Output ``(id, key, count, *keep)``, a row per input row (repeated ids and null keys
+    included).  One form for all sizes.  Time is cut into buckets (a minute; a divisor of
+    the width), and the rows before ``t`` in the window are
+
+    * the whole buckets from the one of ``t - width`` up to the one before ``t``: partial
+      counts per (key, bucket), combined on the map side and summed over a bounded range;
+    * plus the rows of ``t``'s own bucket up to ``t``, less those of the oldest bucket that
+      are ``width`` or more older: both in one running sum per (key, bucket), in which the
+      older rows stand ``width`` later than they are.
+
+    A window thus holds two buckets of one key, never a whole key or hour; rows are
+    shuffled once (twice their number), and the join with the partial counts reuses that.
     """
-    base = events.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"),
+    if width_us % bucket_us:
+        raise ValueError("the bucket must divide the window")
+    span = width_us // bucket_us
+    # a struct groups and joins null keys like any other
+    base = events.select(F.col(id_col).alias("_id"), F.struct(F.col(key_col).alias("k")).alias("_key"),
                          micros(F.col(ts_col)).alias("_us"), *keep).filter(F.col("_us").isNotNull())
-    b = _bucket(F.col("_us"), width_us)
-    # one scan: every row once as itself and once as context of the next bucket
-    copies = F.explode(F.array(F.struct(b.alias("_b"), F.lit(True).alias("_own")),
-                               F.struct((b + 1).alias("_b"), F.lit(False).alias("_own"))))
-    both = base.select("_id", "_key", "_us", *keep, copies.alias("_c")) \
-        .select("_id", "_key", "_us", *keep, "_c._b", "_c._own")
-    w = Window.partitionBy("_key", "_b").orderBy("_us").rangeBetween(-(width_us - 1), 0)
-    counted = both.withColumn("count", F.count(F.lit(1)).over(w))
-    return counted.filter("_own").select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count",
-                                         *keep)
-
-
-def trailing_counts_split(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                          width_us: int = HOUR_US, bucket_us: int = 60_000_000,
-                          keep: tuple[str, ...] = ()) -> DataFrame:
-    """T8 for keys too hot for :func:`trailing_counts_context`.
-
-    Computed as ``C(t) - C(t - width)`` with ``C(x)`` the number of rows of the key at or
-    before ``x``.  ``C`` is a running count inside ``(key, time bucket)`` plus the rows of
-    earlier buckets of the key, so no window ever holds a whole key: a name with a third of
-    all mentions is spread over its time buckets.  Output: ``(id, key, count)``.
-    """
-    base = events.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"),
-                         F.col(key_col).alias("_key"), micros(F.col(ts_col)).alias("_us"), *keep) \
-        .filter(F.col("_us").isNotNull())
-    # one scan: each row probes C at its own time (and counts as data) and at t - width
-    probe = F.explode(F.array(
-        F.struct(F.col("_us").alias("_x"), F.lit(1).alias("_data"), F.lit(1).alias("_sign")),
-        F.struct((F.col("_us") - F.lit(width_us)).alias("_x"), F.lit(0).alias("_data"), F.lit(-1).alias("_sign"))))
-    probes = base.select("_row", "_id", "_key", *keep, probe.alias("_p")) \
-        .select("_row", "_id", "_key", *keep, "_p._x", "_p._data", "_p._sign")
-    probes = probes.withColumn("_b", _bucket(F.col("_x"), bucket_us))
-    # rows of the key strictly before each bucket
-    per_bucket = probes.groupBy("_key", "_b").agg(F.sum("_data").alias("_n"))
-    before = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("_key", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0))
-                                .cast("bigint").alias("_off"))
-    inside = Window.partitionBy("_key", "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
-    local = probes.withColumn("_le", F.sum("_data").over(inside))
-    same = local["_key"].eqNullSafe(offsets["_key"]) & (local["_b"] == offsets["_b"])
-    at = local.join(offsets, same).select(
-        "_row", "_id", local["_key"], *keep, (F.col("_sign") * (F.col("_off") + F.col("_le"))).alias("_c"))
-    # by row, not by the caller's id: ids may repeat
-    return at.groupBy("_row").agg(F.first("_id").alias("_id"), F.first("_key").alias("_key"), F.sum("_c").cast("bigint").alias("count"),
-                                         *[F.first(k).alias(k) for k in keep]) \
-        .select(F.col("_id").alias(id_col), F.col("_key").alias(key_col), "count", *keep)
-
-
-def trailing_counts_simple(events: DataFrame, key_col: str, ts_col: str, id_col: str,
-                           width_us: int = HOUR_US) -> DataFrame:
-    """T8 written as one range window per key (reference form for small data and tests)."""
-    w = Window.partitionBy(key_col).orderBy(micros(F.col(ts_col))).rangeBetween(-(width_us - 1), 0)
-    return events.select(id_col, key_col, F.count(F.lit(1)).over(w).alias("count"))
+    per_bucket = base.groupBy("_key", _bucket(F.col("_us"), bucket_us).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    older = Window.partitionBy("_key").orderBy("_b").rangeBetween(-span, -1)
+    partial = per_bucket.select("_key", "_b", F.coalesce(F.sum("_n").over(older), F.lit(0)).alias("_before"))
+    # one scan: every row as itself, and as one that leaves the window a width later
+    copies = F.explode(F.array(F.struct(F.col("_us").alias("_x"), F.lit(1).alias("_sign")),
+                               F.struct((F.col("_us") + F.lit(width_us)).alias("_x"), F.lit(-1).alias("_sign"))))
+    both = base.select("_id", "_key", *keep, copies.alias("_c")) \
+        .select("_id", "_key", *keep, "_c._x", "_c._sign", _bucket(F.col("_c._x"), bucket_us).alias("_b"))
+    running = Window.partitionBy("_key", "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
+    own = both.withColumn("_in", F.sum("_sign").over(running)).filter("_sign = 1")
+    return own.join(partial, ["_key", "_b"]).select(
+        F.col("_id").alias(id_col), F.col("_key.k").alias(key_col),
+        (F.col("_before") + F.col("_in")).cast("bigint").alias("count"), *keep)

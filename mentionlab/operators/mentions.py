@@ -56,8 +56,10 @@ def mentions_from_gkg(df: DataFrame, name_rule: str = "last_offset") -> DataFram
 
 
 def text_records_to_records(text: DataFrame) -> DataFrame:
-    """Text path (S2) -> ``(record_id, ts, all_names)``; a bad date drops the record."""
-    ts = F.try_to_timestamp(F.substring("date_text", 1, 14), F.lit(RECORD_KEY_FORMAT))
+    """Text path (S2) -> ``(record_id, ts, all_names)``.  The day is the first eight digits of the
+    date; a date with a day but no readable time counts from the day's start, one without drops the record."""
+    ts = F.coalesce(F.try_to_timestamp(F.substring("date_text", 1, 14), F.lit(RECORD_KEY_FORMAT)),
+                    F.try_to_timestamp(F.substring("date_text", 1, 8), F.lit("yyyyMMdd")))
     return text.select(F.col("record_key").alias("record_id"), ts.alias("ts"), "all_names")
 
 

@@ -363,15 +363,14 @@ def q_incremental_segments(spark, d):
     return ev.filter(segments.newer_than(F.col("seg"), LAST_SEGMENT))
 
 
-_TIER_SQL = """WITH s AS (SELECT min(ts) AS t0 FROM events),
-w AS (SELECT count_if(ts >= t0 AND ts < t0 + INTERVAL 15 MINUTE) AS small,
-             count_if(ts >= t0 AND ts < t0 + INTERVAL 1 DAY) AS medium,
-             count_if(ts >= t0 AND ts < t0 + INTERVAL 7 DAY) AS large,
-             count_if(ts >= t0 AND ts < t0 + INTERVAL 14 DAY) AS xlarge,
-             count_if(ts IS NOT NULL) AS "full" FROM events, s)
-SELECT 'small' AS tier, CAST(small AS BIGINT) AS n FROM w UNION ALL SELECT 'medium', CAST(medium AS BIGINT) FROM w
-UNION ALL SELECT 'large', CAST(large AS BIGINT) FROM w UNION ALL SELECT 'xlarge', CAST(xlarge AS BIGINT) FROM w
-UNION ALL SELECT 'full', CAST("full" AS BIGINT) FROM w"""
+_TIER_SQL = """WITH s AS (SELECT min(ts) AS t0 FROM events)
+SELECT t.tier, count(*) FILTER (CASE t.tier
+    WHEN 'small' THEN time_bucket(INTERVAL 15 MINUTE, ts) = time_bucket(INTERVAL 15 MINUTE, t0)
+    WHEN 'medium' THEN date_trunc('month', ts) = date_trunc('month', t0)
+    WHEN 'large' THEN year(ts) = year(t0) AND month(ts) <= 6
+    WHEN 'xlarge' THEN year(ts) = year(t0)
+    ELSE ts IS NOT NULL END) AS n
+FROM events, s, (VALUES ('small'), ('medium'), ('large'), ('xlarge'), ('full'), ('local')) t(tier) GROUP BY t.tier"""
 
 
 @query("scan_tiers", _TIER_SQL)

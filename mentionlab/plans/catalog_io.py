@@ -12,20 +12,23 @@ from pyspark.sql import functions as F
 
 from mentionlab.functions import times as TM
 from mentionlab.operators import topk
-from mentionlab.operators.mentions import mentions_from_gkg
+from mentionlab.operators.mentions import mentions_from_events, mentions_from_gkg
 from mentionlab.plans import derived as D
 from mentionlab.plans import oracle as O
 from mentionlab.plans.catalog import SLIDING_SQL, TRAILING_SQL, query
+from mentionlab.schemas import MENTION_SCHEMA, require_columns
 from mentionlab.session import scratch_path
-from mentionlab.sinks import write_daily_documents
+from mentionlab.sinks import write_daily_documents, write_json_run
 from mentionlab.sources.daily_json import read_daily_json
-from mentionlab.sources.gkg import read_gkg_csv, read_gkg_text
+from mentionlab.sources.gkg import gkg_line, read_gkg_csv, read_gkg_text
 from mentionlab.sources.sensor import read_sensor_csv
+from mentionlab.streaming.increments import CurrentTable, running_totals
 from mentionlab.streaming.mentions import stream_mentions
 from mentionlab.streaming.sliding import sliding_counts_stream
 from mentionlab.streaming.sources import RECORD_SCHEMA, file_stream
-from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages, with_sequence
+from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages
 from mentionlab.streaming.trailing import trailing_hour_stream
+from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
 
 _LINES_CTE = O.with_(O.ARTICLES, f"lines AS (SELECT record_key, rec_ts, {O.gkg_line_sql(O.LINE_COLS)} AS value FROM ank)")
 
@@ -116,86 +119,148 @@ def q_stream_mentions(spark, d):
     return spark.read.parquet(out)
 
 
-def _event_stream_input(spark: SparkSession, d: str) -> str:
-    ev = D.table(spark, d, "events")
-    path = scratch_path(spark, "events")
-    ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name")) \
-        .write.parquet(path)
-    return path
+EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
+SLICES = 4
 
 
-EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
+def _run_slices(spark: SparkSession, ev: DataFrame, schema: str, writer) -> None:
+    """Feeds ``ev`` (with ``_us``) to a stream in time order: each of four equal time slices is
+    one run from the checkpoint, and thus a micro-batch of as many files as it needs."""
+    src, ckpt = scratch_path(spark, "slices"), scratch_path(spark, "ckpt")
+    lo, hi = ev.agg(F.min("_us"), F.max("_us")).first()
+    number = F.expr(f"(_us - {lo or 0}L) * {SLICES} div {(hi or 0) - (lo or 0) + 1}L")
+    for k in range(SLICES):
+        ev.filter(number == k).drop("_us").write.mode("append").parquet(src)
+        run_to_end(writer(file_stream(spark, src, schema)).option("checkpointLocation", ckpt))
 
 
-def _trailing_run(spark: SparkSession, d: str) -> str:
-    src = _event_stream_input(spark, d)
-    out, ckpt = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
-    updates = trailing_hour_stream(file_stream(spark, src, EVENT_STREAM_SCHEMA))
-    run_to_end(updates.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out))
-    return out
+def _event_mentions(spark: SparkSession, d: str) -> DataFrame:
+    ev = D.table(spark, d, "events")
+    return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"),
+                     TM.micros(F.col("ts").cast("timestamp")).alias("_us"))
 
 
 @query("stream_trailing_hour", TRAILING_SQL)
 def q_stream_trailing_hour(spark, d):
-    out = spark.read.parquet(_trailing_run(spark, d))
-    return out.filter(F.col("kind") == "arrival").select("event_id", "name", "count")
+    out = scratch_path(spark, "out")
+    _run_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
+                lambda s: trailing_hour_stream(s).writeStream.format("parquet").option("path", out))
+    return spark.read.parquet(out).filter(F.col("kind") == "arrival").select("event_id", "name", "count")
 
 
-@query("histogram_changelog", None)
+def _batches_run(spark: SparkSession, d: str, then=None) -> DataFrame:
+    base = scratch_path(spark, "trailing_batches")
+    sink = TrailingHourBatches(base, then=then)
+    _run_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA, lambda s: s.writeStream.foreachBatch(sink))
+    return read_updates(spark, base)
+
+
+@query("stream_trailing_hour_batches", TRAILING_SQL)
+def q_stream_trailing_hour_batches(spark, d):
+    return _batches_run(spark, d).filter(F.col("kind") == "arrival").select("event_id", "name", "count")
+
+
+# the slices of _run_slices, stream time after each, and every name's count in the hour that ends there
+_CLOCK_SQL = f"""WITH b AS (SELECT event_id, event_type AS name, epoch_us(ts) AS us FROM events),
+s AS (SELECT min(us) AS lo, max(us) AS hi FROM b),
+r AS (SELECT b.*, (us - lo) * {SLICES} // (hi - lo + 1) AS batch FROM b, s),
+clock AS (SELECT batch, max(us) AS now, lag(max(us)) OVER (ORDER BY batch) AS before FROM r GROUP BY batch),
+closing AS (SELECT c.batch, c.now, r.name, count(*) FILTER (r.us > c.now - 3600000000) AS count,
+    bool_or(r.us <= c.now - 3600000000 AND (r.batch = c.batch OR r.us > c.before - 3600000000)) AS gone
+  FROM clock c JOIN r ON r.batch <= c.batch GROUP BY 1, 2, 3),
+changelog AS (SELECT event_id, name, count(*) OVER (
+    PARTITION BY name ORDER BY us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) AS count, us, 'arrival' AS kind FROM r
+  UNION ALL SELECT NULL, name, count, now, 'expire' FROM closing WHERE gone),
+live AS (SELECT batch, name, count FROM closing WHERE count > 0
+  QUALIFY row_number() OVER (PARTITION BY batch ORDER BY count DESC, name) <= 100)
+"""
+_MESSAGE_SQL = """CAST(to_json(list(struct_pack(name := name, count := count) ORDER BY name)) AS VARCHAR) AS message,
+  count(*) AS entries"""
+
+
+@query("histogram_changelog", _CLOCK_SQL + "SELECT event_id, name, count, us, kind FROM changelog")
 def q_histogram_changelog(spark, d):
-    return spark.read.parquet(_trailing_run(spark, d)).select("event_id", "name", "count", "us", "kind")
+    return _batches_run(spark, d).select("event_id", "name", "count", "us", "kind")
+
+
+@query("changelog_least", _CLOCK_SQL + "SELECT kind, min(count) AS least, count(*) AS updates FROM changelog GROUP BY kind")
+def q_changelog_least(spark, d):
+    """No update of the histogram is below zero."""
+    return _batches_run(spark, d).groupBy("kind").agg(F.min("count").alias("least"),
+                                                      F.count(F.lit(1)).alias("updates"))
 
 
 def _top100_run(spark: SparkSession, d: str) -> str:
-    src = _event_stream_input(spark, d)
-    base, ckpt = scratch_path(spark, "top100"), scratch_path(spark, "ckpt")
-    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, EVENT_STREAM_SCHEMA)))
-    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base)).option("checkpointLocation", ckpt))
+    base = scratch_path(spark, "top100")
+    _batches_run(spark, d, then=Top100Writer(base))
     return base
 
 
-@query("delta_message", None)
+@query("delta_message", _CLOCK_SQL + f""", changes AS (
+  SELECT coalesce(c.batch, p.batch + 1) AS batch, coalesce(c.name, p.name) AS name, coalesce(c.count, 0) AS count
+  FROM live c FULL JOIN live p ON c.batch = p.batch + 1 AND c.name = p.name
+  WHERE c.count IS DISTINCT FROM p.count)
+SELECT batch AS batch_id, {_MESSAGE_SQL} FROM changes WHERE batch < {SLICES} GROUP BY batch""")
 def q_delta_message(spark, d):
     return messages(spark, _top100_run(spark, d))
 
 
-@query("snapshot_message", None)
+@query("snapshot_message", _CLOCK_SQL + f"""SELECT batch AS batch_id, {_MESSAGE_SQL}
+FROM live WHERE batch = (SELECT max(batch) FROM clock) GROUP BY batch""")
 def q_snapshot_message(spark, d):
     return latest_snapshot(spark, _top100_run(spark, d))
 
 
-@query("stream_sliding_histogram", "SELECT * FROM (" + SLIDING_SQL + """) WHERE ws + 3600000000 <=
-  (SELECT epoch_us(max(ts)) FROM events) - 3600000000""")
+@query("stream_sliding_histogram", SLIDING_SQL)
 def q_stream_sliding_histogram(spark, d):
-    src = _event_stream_input(spark, d)
-    out, ckpt = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
-    counts = sliding_counts_stream(file_stream(spark, src, EVENT_STREAM_SCHEMA), "1 hour", "15 minutes")
-    run_to_end(counts.writeStream.format("parquet").outputMode("append")
-               .option("checkpointLocation", ckpt).option("path", out))
-    return spark.read.parquet(out)
+    # update mode: windows still open are in the table too
+    table = CurrentTable(scratch_path(spark, "sliding"), "ws LONG, name STRING, count LONG", ["ws", "name"])
+    _run_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
+                lambda s: sliding_counts_stream(s, "1 hour", "15 minutes").writeStream.outputMode("update")
+                .foreachBatch(table))
+    return table.current(spark)
 
 
 @query("stream_apply_increments", """SELECT event_type AS name, CAST(sum(1 + CAST(floor(value) AS BIGINT) % 3) AS BIGINT) AS count
 FROM events GROUP BY 1""")
 def q_stream_apply_increments(spark, d):
-    from mentionlab.streaming.increments import ChangeVersions, fold_versions, running_totals
     ev = D.table(spark, d, "events")
-    src = scratch_path(spark, "increments")
-    ev.select(F.col("event_type").alias("name"),
-              (F.lit(1) + F.pmod(F.floor("value").cast("bigint"), F.lit(3))).cast("int").alias("increment")) \
-        .write.parquet(src)
-    base, ckpt = scratch_path(spark, "totals"), scratch_path(spark, "ckpt")
-    totals = running_totals(file_stream(spark, src, "name STRING, increment INT"))
-    run_to_end(totals.writeStream.outputMode("update").foreachBatch(ChangeVersions(base))
-               .option("checkpointLocation", ckpt))
-    return fold_versions(spark, base)
+    inc = ev.select(F.col("event_type").alias("name"),
+                    (F.lit(1) + F.pmod(F.floor("value").cast("bigint"), F.lit(3))).cast("int").alias("increment"),
+                    TM.micros(F.col("ts").cast("timestamp")).alias("_us"))
+    table = CurrentTable(scratch_path(spark, "totals"), "name STRING, count LONG", ["name"])
+    _run_slices(spark, inc, "name STRING, increment INT",
+                lambda s: running_totals(s).writeStream.outputMode("update").foreachBatch(table))
+    return table.current(spark)
+
+
+# ------------------------------------------------------------------ files written and read again
+@query("read_bad_bytes", "SELECT event_id, event_type || ',' || CAST(user_id AS VARCHAR) AS item FROM events")
+def q_read_bad_bytes(spark, d):
+    """Bytes that aren't UTF-8 (in every third user's names) disappear, the rest of the line stays."""
+    ev = D.table(spark, d, "events")
+    bad = F.when(F.col("user_id") % 3 == 0, F.unhex(F.lit("FFC3"))).otherwise(F.unhex(F.lit("")))
+    item = F.concat(bad, F.concat_ws(",", "event_type", F.col("user_id").cast("string")).cast("binary"), bad)
+    cols = {"gkgrecordid": F.col("event_id").cast("string"), "date": F.date_format("ts", "yyyyMMddHHmmss"),
+            "allNames": item.cast("string")}
+    path = scratch_path(spark, "bad_bytes")
+    ev.select(gkg_line(cols).alias("value")).write.text(path)
+    return read_gkg_text(spark, path).select(F.col("record_key").cast("bigint").alias("event_id"),
+                                             F.col("all_names").alias("item"))
+
+
+@query("run_stamped_json", _TOPK_CTE + "SELECT date, topic, count, rank FROM t")
+def q_run_stamped_json(spark, d):
+    """K1: a run written as JSON lines under its stamp and read back."""
+    top = topk.daily_topk(mentions_from_gkg(D.gkg_records(D.articles(D.table(spark, d, "events")))))
+    path = write_json_run(top.select("date", "topic", "count", "rank"), scratch_path(spark, "runs"))
+    return spark.read.schema("date DATE, topic STRING, count LONG, rank INT").json(path) \
+        .withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query("stream_trailing_hour_batches", TRAILING_SQL)
-def q_stream_trailing_hour_batches(spark, d):
-    from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
-    src = _event_stream_input(spark, d)
-    base, ckpt = scratch_path(spark, "trailing_batches"), scratch_path(spark, "ckpt")
-    s = file_stream(spark, src, EVENT_STREAM_SCHEMA)
-    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(base)).option("checkpointLocation", ckpt))
-    return read_updates(spark, base).filter(F.col("kind") == "arrival").select("event_id", "name", "count")
+@query("typed_view", """SELECT CAST(event_id AS VARCHAR) AS record_id, epoch_us(ts) AS ts_us, CAST(ts AS DATE) AS date,
+  event_type AS topic FROM events""")
+def q_typed_view(spark, d):
+    """P5: the contract columns of a table with others beside them, checked by name and type."""
+    wide = mentions_from_events(D.table(spark, d, "events")).withColumn("extra", F.lit(1))
+    return require_columns(wide, MENTION_SCHEMA).select("record_id", TM.micros(F.col("ts")).alias("ts_us"), "date", "topic")

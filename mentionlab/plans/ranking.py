@@ -1,11 +1,9 @@
 """Skew-safe building blocks.
 
-* :func:`number_rows` numbers rows inside groups (or over the whole frame).  It first
-  measures the largest group (one aggregation).  Groups that fit one task get a plain
-  window; otherwise :func:`number_rows_split` never moves a group into one task: a range
-  shuffle spreads even a group holding a third of all rows over many partitions, each
-  partition numbers its rows locally, and a small table of per-partition offsets (one row
-  per group and partition) fixes the numbers up.
+* :func:`number_rows` numbers rows inside groups (or over the whole frame) at any size,
+  never moving a group into one task: a range shuffle spreads even a group holding a third
+  of all rows over many partitions, each partition numbers its rows locally, and a small
+  table of per-partition offsets (one row per group and partition) fixes the numbers up.
 * :func:`broadcast_if_small` broadcasts a side only after proving its size bound,
   otherwise leaves the join to a shuffle (and AQE).
 * :func:`stable` cuts lineage with a reliable checkpoint in the shared checkpoint folder.
@@ -21,26 +19,6 @@ from pyspark.sql import functions as F
 from mentionlab.session import checkpoint_root
 
 _PID_SHIFT = 33  # monotonically_increasing_id puts the partition index in the upper 31 bits
-# A window holds one whole group in one task; above this many rows a group is split instead.
-DEFAULT_MAX_GROUP_ROWS = 4_000_000
-MAX_GROUP_ROWS_CONF = "mentionlab.maxGroupRows"
-
-
-def max_group_rows(spark, value: int | None = None) -> int:
-    if value is not None:
-        return value
-    try:
-        return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    except Exception:  # noqa: BLE001
-        return DEFAULT_MAX_GROUP_ROWS
-
-
-def largest_group(df: DataFrame, group_cols: Sequence) -> int:
-    """Rows of the largest group (one partial-then-final aggregation, one number back)."""
-    if not group_cols:
-        return df.count()
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -64,31 +42,14 @@ def _as_col(c) -> Column:
 
 
 def number_rows(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column | str],
-                out: str = "pos", size_col: str | None = None, base: int = 0,
-                max_rows: int | None = None, reuse_input: bool = False) -> DataFrame:
+                out: str = "pos", size_col: str | None = None, base: int = 0) -> DataFrame:
     """Position of every row inside its group under ``order`` (ties broken by the order keys).
 
     ``order`` must make rows unique within a group for the numbers to be deterministic.
-    ``size_col`` adds the group size.  Numbers start at ``base``.  When the largest group
-    has at most ``max_rows`` rows (checked first), one window does it; otherwise
-    :func:`number_rows_split` spreads the groups over many tasks.  ``reuse_input``
-    materialises a costly input once, so the check and the numbering do not both compute it.
+    ``size_col`` adds the group size.  Numbers start at ``base``; without group columns the
+    whole frame is numbered.  The numbered rows are written once (see :func:`stable`), as
+    their partition numbers must not change in a rerun.
     """
-    if reuse_input:
-        df = stable(df)
-    limit = max_group_rows(df.sparkSession, max_rows)
-    if largest_group(df, group_cols) > limit:
-        return number_rows_split(df, group_cols, order, out, size_col, base)
-    w = Window.partitionBy(*group_cols).orderBy(*[_as_col(o) for o in order])
-    res = df.withColumn(out, (F.row_number().over(w) - 1 + F.lit(base)).cast("bigint"))
-    if size_col:
-        res = res.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)))
-    return res
-
-
-def number_rows_split(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column | str],
-                      out: str = "pos", size_col: str | None = None, base: int = 0) -> DataFrame:
-    """:func:`number_rows` for groups too large for one task: range shuffle, local numbers, offsets."""
     groups = [F.col(g) for g in group_cols]
     keys = [*groups, *[_as_col(o) for o in order]]
     numbered = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)

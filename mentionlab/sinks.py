@@ -40,10 +40,24 @@ def preview(df: DataFrame, n: int = 10) -> dict:
     return {"rows": df.count(), "schema": df.schema.simpleString(), "head": df.take(n)}
 
 
-def histogram_updates_sink(updates: DataFrame) -> DataFrame:
-    """K4: histogram updates keyed by name, JSON ``{"name","count"}`` as the value."""
-    return updates.select(F.col("name").cast("string").alias("key"),
-                          F.to_json(F.struct("name", "count")).alias("value"))
+def publish_updates(updates: DataFrame, batch_id: int, path: str | None = None, kafka: str | None = None,
+                    topic: str = "histogram") -> None:
+    """K4: the last update of each name of a batch (W8), keyed by name, JSON
+    ``{"name","count","us","batch"}`` as the value; to ``path/batch=<id>`` or a Kafka topic."""
+    last = updates.groupBy("name").agg(F.max_by(F.struct("count", "us"), F.struct(
+        "us", F.col("event_id").isNull().alias("closing"))).alias("_last")) \
+        .select("name", "_last.count", "_last.us", F.lit(batch_id).cast("long").alias("batch"))
+    keyed = last.select(F.col("name").alias("key"), F.to_json(F.struct("name", "count", "us", "batch")).alias("value"))
+    if kafka:
+        keyed.write.format("kafka").option("kafka.bootstrap.servers", kafka).option("topic", topic).save()
+    else:
+        keyed.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+
+def published_updates(records: DataFrame) -> DataFrame:
+    """Published ``(key, value)`` records -> updates for the top-100 writer; unreadable values are left out."""
+    parsed = records.select(F.from_json("value", "name STRING, count LONG, us LONG, batch LONG").alias("u")).select("u.*")
+    return parsed.filter(F.col("count").isNotNull()).withColumn("event_id", F.lit(None).cast("long"))
 
 
 def write_keyed(records: DataFrame, path: str | None = None, kafka: str | None = None,

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mentionlab.functions.text import REPLACEMENT_CHAR, drop_undecodable
+from mentionlab.functions.text import drop_undecodable
+from mentionlab.functions.times import SEGMENT_MINUTES
 from mentionlab.schemas import (DATE_INDEX, GKG_COLUMNS, GKG_DATE_FORMAT, GKG_SCHEMA,
                                 NAMES_INDEX, type_from_name)
 
@@ -73,7 +74,7 @@ def text_records(lines: DataFrame, value_col: str = "value", clean_bytes: bool =
 
     def field(i: int) -> Column:
         f = F.get("fields", i)
-        return F.replace(f, F.lit(REPLACEMENT_CHAR), F.lit("")) if clean_bytes else f
+        return drop_undecodable(f) if clean_bytes else f
 
     return (fields.filter(has_field_from(F.col("fields"), NAMES_INDEX))
             .select(field(0).alias("record_key"), field(DATE_INDEX).alias("date_text"),
@@ -108,19 +109,37 @@ def gkg_line(cols: dict[str, Column]) -> Column:
 
 
 # ---------------------------------------------------------------- S3: size tiers
-# Tier names of the reference's input sizes, smallest first.
-TIER_NAMES = ["small", "medium", "large", "xlarge", "full"]
-# Our tiers are nested time ranges from the first segment on: one segment, one day,
-# one week, two weeks, everything.
-TIER_SPANS = {"small": "15 minutes", "medium": "1 day", "large": "7 days",
-              "xlarge": "14 days", "full": None}
+# Tier names of the reference's input sizes, smallest first, and what each
+# reads from its first segment on: one segment, the month, January to June, the year, everything.
+# "local" is everything of a local folder.
+TIERS = {"small": "segment", "medium": "month", "large": "half", "xlarge": "year", "full": "all", "local": "all"}
+TIER_NAMES = list(TIERS)
+
+
+def _tier_span(tier: str) -> str:
+    if tier not in TIERS:
+        raise ValueError(f"unknown tier {tier!r}; one of {TIER_NAMES}")
+    return TIERS[tier]
+
+
+def _segment_no(ts: Column) -> Column:
+    us = F.unix_micros(ts.cast("timestamp"))
+    width = F.lit(SEGMENT_MINUTES * 60_000_000)
+    return us - F.pmod(us, width)
 
 
 def tier_filter(ts: Column, start: Column, tier: str) -> Column:
-    span = TIER_SPANS[tier]
-    if span is None:
-        return ts.isNotNull()
-    return (ts >= start) & (ts < start + F.expr(f"INTERVAL {span}"))
+    """Rows of a tier by their time; ``start`` lies in the first segment."""
+    span = _tier_span(tier)
+    if span == "segment":
+        return _segment_no(ts) == _segment_no(start)
+    if span == "month":
+        return F.trunc(ts, "month") == F.trunc(start, "month")
+    if span == "half":
+        return (F.year(ts) == F.year(start)) & (F.month(ts) <= 6)
+    if span == "year":
+        return F.year(ts) == F.year(start)
+    return ts.isNotNull()
 
 
 def tier_counts(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -136,41 +155,44 @@ def tier_paths(base: str, tier: str, first_segment: str) -> list[str]:
 
     Reading by glob lets the file listing do the pruning, as in the reference.
     """
-    if tier == "small":
-        return [f"{base}/{first_segment}.gkg.csv"]
-    if tier == "medium":
-        return [f"{base}/{first_segment[:8]}*.gkg.csv"]
-    if tier == "large":
-        return [f"{base}/{first_segment[:6]}*.gkg.csv"]
-    if tier == "xlarge":
-        return [f"{base}/{first_segment[:4]}*.gkg.csv"]
-    return [f"{base}/*.gkg.csv"]
+    span = _tier_span(tier)
+    year, month = first_segment[:4], first_segment[4:6]
+    names = {"segment": first_segment, "month": f"{year}{month}*", "half": f"{year}0[1-6]*", "year": f"{year}*",
+             "all": "*"}
+    return [f"{base}/{names[span]}.gkg.csv"]
 
 
 # ---------------------------------------------------------------- S5: schema as data
+MAX_SCHEMA_LINES = 1000
+
+
 def schema_from_headers(spark: SparkSession, path: str) -> T.StructType:
     """Fold a ``name TAB type TAB mode TAB`` file into a StructType.
 
-    A schema description is a few dozen lines, so it is read to the driver; data is not.
+    A schema description is a few dozen lines, so it is read to the driver; data is not, and
+    a file of more than ``MAX_SCHEMA_LINES`` raises.
     """
     rows = (spark.read.option("sep", TAB).option("header", "false")
             .schema("name STRING, type STRING, mode STRING, rest STRING")
             .csv(path).filter(F.col("name").isNotNull())
             .withColumn("_pos", F.monotonically_increasing_id())
-            .orderBy("_pos").collect())
+            .orderBy("_pos").limit(MAX_SCHEMA_LINES + 1).collect())
+    if len(rows) > MAX_SCHEMA_LINES:
+        raise ValueError(f"{path} is no schema file: more than {MAX_SCHEMA_LINES} lines")
     fields = [T.StructField(r["name"].strip(), type_from_name(r["type"]),
                             (r["mode"] or "NULLABLE").strip().upper() != "REQUIRED") for r in rows]
     return T.StructType(fields)
 
 
 def record_schema_from_headers(spark: SparkSession, path: str) -> T.StructType:
-    """Schema file -> reader schema; the ``date`` column is read as TIMESTAMP (it holds times)
-    whatever the file says, and the result must have the 27 record columns in order."""
-    fields = [T.StructField(f.name, T.TimestampType(), f.nullable) if f.name == "date" else f
-              for f in schema_from_headers(spark, path).fields]
-    if [f.name for f in fields] != GKG_COLUMNS:
+    """Schema file -> reader schema under our column names, matched without case; the ``date``
+    column is read as TIMESTAMP (it holds times) whatever the file says, and the file must have
+    the 27 record columns in order."""
+    fields = schema_from_headers(spark, path).fields
+    if [f.name.lower() for f in fields] != [c.lower() for c in GKG_COLUMNS]:
         raise ValueError("schema file does not describe the 27 record columns in order")
-    return T.StructType(fields)
+    return T.StructType([T.StructField(c, T.TimestampType() if c == "date" else f.dataType, f.nullable)
+                         for c, f in zip(GKG_COLUMNS, fields)])
 
 
 # ---------------------------------------------------------------- one-time conversion

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
 from mentionlab.operators.changes import apply_increments
+from mentionlab.streaming.slots import Slots
 
 SEGMENT_POLL = "15 minutes"
 
@@ -19,22 +22,23 @@ def poll_trigger(writer, every: str = SEGMENT_POLL):
     return writer.trigger(processingTime=every)
 
 
-class ChangeVersions:
-    """``foreachBatch`` sink for update-mode output: each batch's rows under ``batch=<id>``.
+class CurrentTable:
+    """``foreachBatch`` sink for update-mode output: the newest row of every key.
 
-    Overwriting the batch folder makes a replayed batch idempotent; folding the versions
-    with the last-value rule (W9) gives the current table.
+    A batch holds at most one row per key; it replaces the key's row of the table, which is
+    kept in two alternating folders however long the stream runs.
     """
 
-    def __init__(self, base: str):
-        self.base = base.rstrip("/")
-
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.base}/batch={batch_id}")
+    def __init__(self, base: str, schema: str, keys: Sequence[str]):
+        self.slots = Slots(base, schema)
+        self.keys = list(keys)
 
+    def __call__(self, changes: DataFrame, batch_id: int) -> None:
+        spark = changes.sparkSession
+        prev, _ = self.slots.read(spark, batch_id - 1)
+        same = [prev[k].eqNullSafe(changes[k]) for k in self.keys]
+        rows = prev.join(changes.select(*self.keys), same, "left_anti").unionByName(changes)
+        self.slots.write(rows, batch_id)
 
-def fold_versions(spark, base: str, name_col: str = "name", value_col: str = "count") -> DataFrame:
-    """Current values: the newest version of every name (W9 with the batch id as sequence)."""
-    from pyspark.sql import functions as F
-    v = spark.read.parquet(base)
-    return v.groupBy(name_col).agg(F.max_by(value_col, "batch").alias(value_col))
+    def current(self, spark: SparkSession) -> DataFrame:
+        return self.slots.latest(spark)[1]

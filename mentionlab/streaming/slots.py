@@ -1,0 +1,48 @@
+"""A table that a ``foreachBatch`` sink rewrites every batch, in two alternating folders.
+
+Batch ``n`` reads what batch ``n - 1`` left and overwrites the other folder, so a replayed
+batch reads the same rows and writes the same ones, and storage stays at two copies.  A mark
+(batch id and stream time, one row) is written last; a folder without the mark of the batch
+asked for raises instead of passing for an empty table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MARK_SCHEMA = "batch_id LONG, newest LONG"
+
+
+class Slots:
+    def __init__(self, base: str, schema: str):
+        self.base = base.rstrip("/")
+        self.schema = schema
+
+    def _path(self, kind: str, batch_id: int) -> str:
+        return f"{self.base}/{kind}/slot={batch_id % 2}"
+
+    def read(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, int | None]:
+        """Rows and stream time that ``batch_id`` left (none before the first batch)."""
+        if batch_id < 0:
+            return spark.createDataFrame([], self.schema), None
+        mark = spark.read.schema(MARK_SCHEMA).parquet(self._path("mark", batch_id)).first()
+        if mark is None or mark["batch_id"] != batch_id:
+            raise RuntimeError(f"{self.base} holds batch {mark and mark['batch_id']}, not {batch_id}: "
+                               "the folder and the stream's checkpoint don't belong together")
+        return spark.read.schema(self.schema).parquet(self._path("rows", batch_id)), mark["newest"]
+
+    def write(self, rows: DataFrame, batch_id: int, newest: int | None = None) -> DataFrame:
+        """Writes the rows and then the mark; gives the rows as written."""
+        spark, path = rows.sparkSession, self._path("rows", batch_id)
+        rows.write.mode("overwrite").parquet(path)
+        mark = spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
+                                     F.lit(newest).cast("long").alias("newest"))
+        mark.coalesce(1).write.mode("overwrite").parquet(self._path("mark", batch_id))
+        return spark.read.schema(self.schema).parquet(path)
+
+    def latest(self, spark: SparkSession) -> tuple[int, DataFrame]:
+        """Newest batch id and its rows, for a reader outside the stream."""
+        marks = spark.read.schema(MARK_SCHEMA).parquet(f"{self.base}/mark/slot=*")
+        batch_id = marks.agg(F.max("batch_id")).first()[0]
+        return batch_id, self.read(spark, batch_id)[0]

@@ -34,8 +34,3 @@ def file_stream(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
-
-
-def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
-    """K3/K4: options of a Kafka sink; the value carries the record time (the sink cannot set it)."""
-    return {"kafka.bootstrap.servers": servers, "topic": topic}

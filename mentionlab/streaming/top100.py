@@ -1,12 +1,11 @@
 """W7-W9, K5, K6 on a stream: keep the live histogram, its exact top 100, and change messages.
 
-``foreachBatch`` gets the histogram updates of one micro-batch.  It keeps the live
-histogram as a Parquet table in two alternating slots: batch ``n`` reads slot
-``(n - 1) % 2`` and overwrites slot ``n % 2``.  A replayed batch reads the same input and
-writes the same output, and storage stays at two copies however long the stream runs.
-It then takes the exact top 100 of the new version, compares it with the previous top
-100 and writes one JSON message with the changes (count 0 = removed).  Nothing passes through the driver: every step is a
-DataFrame job, and only the top 100 (bounded) is collected into one message row.
+``foreachBatch`` gets the histogram updates of one micro-batch (of
+:mod:`mentionlab.streaming.trailing_batches`, or read back from where they were published).
+It applies the last update of each name to the live histogram, a table in two alternating
+folders, takes the exact top 100, compares it with the previous top 100 and writes one JSON
+message with the changes (count 0 = removed).  Every step is a DataFrame job; only the top
+100 (bounded) is gathered into one message row.
 """
 
 from __future__ import annotations
@@ -16,46 +15,36 @@ from pyspark.sql import functions as F
 
 from mentionlab.operators.changes import change_message, top_changes
 from mentionlab.operators.histogram import top_entries
+from mentionlab.streaming.slots import Slots
 
 TOP_N = 100
+LIVE_SCHEMA = "name STRING, count LONG"
+
+
+def _live(base: str) -> Slots:
+    return Slots(f"{base.rstrip('/')}/current", LIVE_SCHEMA)
 
 
 class Top100Writer:
     def __init__(self, base: str, n: int = TOP_N):
         self.base = base.rstrip("/")
         self.n = n
-
-    def path(self, table: str, batch_id: int) -> str:
-        return f"{self.base}/{table}/batch={batch_id}"
-
-    def slot(self, batch_id: int) -> str:
-        return f"{self.base}/current/slot={batch_id % 2}"
-
-    def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], "name STRING, count BIGINT")
-        prev = spark.read.parquet(self.slot(batch_id - 1))
-        return prev.filter(F.col("batch_id") == batch_id - 1).select("name", "count")
+        self.live = _live(base)
 
     def __call__(self, updates: DataFrame, batch_id: int) -> None:
         spark = updates.sparkSession
-        latest = (updates.groupBy("name").agg(F.max_by("count", F.struct("us", "seq")).alias("_new")))
-        prev = self._previous(spark, batch_id)
-        merged = (prev.join(latest, "name", "full_outer")
-                  .select("name", F.coalesce("_new", "count").cast("bigint").alias("count"))
+        # updates without an id (expire, level) hold at the end of their batch
+        order = F.struct(*(["batch"] if "batch" in updates.columns else []), "us",
+                         F.col("event_id").isNull().alias("closing"))
+        latest = updates.groupBy("name").agg(F.max_by("count", order).alias("_new"))
+        prev, _ = self.live.read(spark, batch_id - 1)
+        merged = (prev.join(latest.withColumnRenamed("name", "_name"), F.col("name").eqNullSafe(F.col("_name")), "full_outer")
+                  .select(F.coalesce("name", "_name").alias("name"),
+                          F.coalesce("_new", "count").cast("bigint").alias("count"))
                   .filter(F.col("count") > 0))
-        merged.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self.slot(batch_id))
-        current = spark.read.parquet(self.slot(batch_id)).select("name", "count")
-        diff = top_changes(prev, current, self.n)
-        msg = change_message(diff).filter(F.col("entries") > 0).withColumn("batch_id", F.lit(batch_id))
-        msg.write.mode("overwrite").parquet(self.path("messages", batch_id))
-        snap = change_message(top_entries(current, self.n).select("name", "count"))
-        snap.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self.path("snapshot", batch_id))
-
-
-def with_sequence(updates: DataFrame) -> DataFrame:
-    """Order key inside a batch: event time, then the mention id (expiries last at equal time)."""
-    return updates.withColumn("seq", F.coalesce(F.col("event_id"), F.lit(2**62).cast("long")))
+        diff = top_changes(prev, self.live.write(merged, batch_id), self.n)
+        msg = change_message(diff).filter(F.col("entries") > 0).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        msg.write.mode("overwrite").parquet(f"{self.base}/messages/batch={batch_id}")
 
 
 def messages(spark: SparkSession, base: str) -> DataFrame:
@@ -63,8 +52,8 @@ def messages(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/messages").select("batch_id", "message", "entries")
 
 
-def latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """K6: the top 100 of the newest batch as one JSON array, for a late subscriber."""
-    snaps = spark.read.parquet(f"{base.rstrip('/')}/snapshot")
-    newest = snaps.agg(F.max("batch_id").alias("batch_id"))
-    return snaps.join(newest, "batch_id").select("batch_id", "message", "entries")
+def latest_snapshot(spark: SparkSession, base: str, n: int = TOP_N) -> DataFrame:
+    """K6: the top ``n`` of the newest batch as one JSON array, for a late subscriber."""
+    batch_id, live = _live(base).latest(spark)
+    snap = change_message(top_entries(live, n).select("name", "count"))
+    return snap.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "message", "entries")

@@ -1,91 +1,100 @@
-"""W2b as micro-batches over the skew-checked batch operator (alternative to the keyed state).
-
-The keyed processor of :mod:`mentionlab.streaming.trailing` handles one name's rows in one
-task.  Here ``foreachBatch`` counts each batch's mentions against the mentions of the last
-window (plus lateness) kept from earlier batches, with
-:func:`mentionlab.operators.histogram.trailing_counts`, which splits a hot name over many
-tasks.  The kept mentions live in two alternating Parquet slots (batch ``n`` reads slot
-``(n - 1) % 2``, writes slot ``n % 2``), so a replayed batch gives the same output.
-
-Differences to the keyed form: the late rule uses the newest time of the whole stream
-(not per name), and an expiry update is emitted per batch for each name that lost
-mentions, with its count at the batch's newest time.
+"""W2b-W5 as micro-batches: exact trailing-hour counts that stay right for silent names.
+
+``foreachBatch`` counts each batch's mentions against those of the last window (plus
+lateness) kept from earlier batches, with
+:func:`mentionlab.operators.histogram.trailing_counts`: no task holds a whole name.  The
+kept mentions live in two alternating folders (:mod:`mentionlab.streaming.slots`).
+
+Stream time is the newest mention time seen in the whole stream.  Updates of a batch:
+
+* ``arrival``: a mention at ``t`` with the count of its name in ``(t - 1 hour, t]``;
+* ``late``: a mention older than stream time less the lateness; it isn't logged, and
+  carries its name's count at stream time (W3: none vanishes without an update);
+* ``expire``: a name that lost mentions since the stream time of the batch before, with its
+  count at the new stream time (0: it leaves the histogram), stamped with that time (W4);
+* ``level``: likewise for a name whose mentions came out of order, as their own counts hold
+  at earlier times.
+
+The last update of every name (by ``us``; ``expire`` and ``level`` last) is then its count
+in the hour that ends at stream time (W9).  Mentions without a time are left out; null names count as
+one name.  A batch without rows keeps everything as it is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionlab.functions.times import micros
 from mentionlab.operators.histogram import HOUR_US, trailing_counts
+from mentionlab.streaming.slots import Slots
 
-RECENT_SCHEMA = "event_id LONG, name STRING, us LONG, batch_id LONG"
+RECENT_SCHEMA = "event_id LONG, name STRING, us LONG"
+UPDATE_SCHEMA = "event_id LONG, name STRING, count LONG, us LONG, kind STRING"
 
 
 class TrailingHourBatches:
+    """Sink for ``(event_id, name, ts)`` mentions; ``then(updates, batch_id)`` gets each batch's updates."""
+
     def __init__(self, base: str, window_us: int = HOUR_US, lateness_us: int = HOUR_US,
-                 max_rows: int | None = None):
+                 then: Callable[[DataFrame, int], None] | None = None):
         self.base = base.rstrip("/")
         self.window_us = window_us
         self.lateness_us = lateness_us
-        self.max_rows = max_rows
-
-    def slot(self, batch_id: int) -> str:
-        return f"{self.base}/recent/slot={batch_id % 2}"
-
-    def _recent(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], RECENT_SCHEMA).drop("batch_id")
-        prev = spark.read.parquet(self.slot(batch_id - 1))
-        return prev.filter(F.col("batch_id") == batch_id - 1).drop("batch_id")
+        self.then = then
+        self.recent = Slots(f"{self.base}/recent", RECENT_SCHEMA)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        recent = self._recent(spark, batch_id)
-        rows = batch.select(F.col("event_id").cast("long").alias("event_id"), F.col("name"),
+        rows = batch.select(F.col("event_id").cast("long").alias("event_id"), F.col("name").cast("string").alias("name"),
                             micros(F.col("ts")).alias("us")).filter(F.col("us").isNotNull())
-        if rows.isEmpty():  # nothing new: carry the kept mentions to this batch's slot
-            recent.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
-                .parquet(self.slot(batch_id))
-            spark.createDataFrame([], "event_id LONG, name STRING, count LONG, us LONG, kind STRING") \
-                .write.mode("overwrite").parquet(f"{self.base}/updates/batch={batch_id}")
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # the source is read once a batch
+        try:
+            self._count(spark, rows, batch_id)
+        finally:
+            rows.unpersist()
+        if self.then:
+            self.then(spark.read.schema(UPDATE_SCHEMA).parquet(self._updates(batch_id)), batch_id)
+
+    def _updates(self, batch_id: int) -> str:
+        return f"{self.base}/updates/batch={batch_id}"
+
+    def _count(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
+        recent, before = self.recent.read(spark, batch_id - 1)
+        times = [t for t in (before, rows.agg(F.max("us")).first()[0]) if t is not None]
+        if not times:  # no mention yet
+            spark.createDataFrame([], UPDATE_SCHEMA).write.mode("overwrite").parquet(self._updates(batch_id))
+            self.recent.write(recent, batch_id)
             return
-        prev_newest = recent.agg(F.max("us")).first()[0]
-        if prev_newest is not None:
-            late = F.col("us") <= F.lit(prev_newest - self.lateness_us)
-            fresh, dropped = rows.filter(~late), rows.filter(late)
-        else:
-            fresh, dropped = rows, rows.limit(0)
-        combined = recent.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
-        counts = trailing_counts(combined.withColumn("ts", F.timestamp_micros("us")), "name", "ts", "event_id",
-                                 self.window_us, self.max_rows, keep=("us", "_new"))
-        own = counts.filter("_new")
-        newest = combined.agg(F.max("us")).first()[0]
-        updates = own.select("event_id", "name", "count", "us", F.lit("arrival").alias("kind"))
-        if newest is not None:
-            # a late mention is not logged; it reports its name's count at the newest time
-            live = combined.filter(F.col("us") > F.lit(newest - self.window_us))
-            live_counts = live.groupBy("name").agg(F.count(F.lit(1)).alias("count"))
-            late_rows = dropped.join(live_counts, "name", "left").select(
-                "event_id", "name", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "us",
-                F.lit("late").alias("kind"))
-            # names that lost mentions since the previous batch's newest time
-            if prev_newest is not None:
-                left = combined.filter((F.col("us") > F.lit(prev_newest - self.window_us))
-                                       & (F.col("us") <= F.lit(newest - self.window_us)))
-                gone = left.select("name").distinct().join(live_counts, "name", "left").select(
-                    F.lit(None).cast("long").alias("event_id"), "name",
-                    F.coalesce("count", F.lit(0)).cast("long").alias("count"),
-                    F.lit(newest).alias("us"), F.lit("expire").alias("kind"))
-                updates = updates.unionByName(gone)
-            updates = updates.unionByName(late_rows)
-            keep = combined.filter(F.col("us") > F.lit(newest - self.window_us - self.lateness_us))
-        else:
-            keep = combined
-        updates.write.mode("overwrite").parquet(f"{self.base}/updates/batch={batch_id}")
-        keep.drop("_new").withColumn("batch_id", F.lit(batch_id).cast("long")) \
-            .write.mode("overwrite").parquet(self.slot(batch_id))
+        now = max(times)
+        first = before is None
+        us = F.col("us")
+        late = F.lit(False) if first else us <= F.lit(before - self.lateness_us)
+        fresh, old = rows.filter(~late), rows.filter(late)
+        logged = recent.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
+        counts = trailing_counts(logged.withColumn("_ts", F.timestamp_micros("us")), "name", "_ts", "event_id",
+                                 self.window_us, keep=("us", "_new"))
+        arrivals = counts.filter("_new").select("event_id", "name", "count", "us", F.lit("arrival").alias("kind"))
+        # one row per name: its count now, and whether the update of its last mention still says so
+        counted_before = F.lit(False) if first else us > F.lit(before - self.window_us)
+        gone = (us <= F.lit(now - self.window_us)) & (F.col("_new") | counted_before)
+        behind = F.lit(False) if first else F.col("_new") & (us < F.lit(before))
+        names = logged.groupBy("name").agg(F.count_if(us > F.lit(now - self.window_us)).alias("count"),
+                                           F.bool_or(gone).alias("_gone"), F.bool_or(behind).alias("_behind"))
+        closing = names.filter("_gone OR _behind").select(
+            F.lit(None).cast("long").alias("event_id"), "name", "count", F.lit(now).cast("long").alias("us"),
+            F.when(F.col("_gone"), "expire").otherwise("level").alias("kind"))
+        here = names.select(F.col("name").alias("_name"), "count")
+        lates = old.join(here, old["name"].eqNullSafe(here["_name"]), "left").select(
+            "event_id", "name", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "us",
+            F.lit("late").alias("kind"))
+        arrivals.unionByName(closing).unionByName(lates) \
+            .write.mode("overwrite").parquet(self._updates(batch_id))
+        kept = logged.filter(us > F.lit(now - self.window_us - self.lateness_us)).drop("_new")
+        self.recent.write(kept, batch_id, now)
 
 
 def read_updates(spark: SparkSession, base: str) -> DataFrame:

@@ -40,8 +40,8 @@ def test_histogram_once(spark, workdir):
     pq.write_table(table, workdir + "/in/part-0.parquet")
     main(["histogram", "--input", workdir + "/in", "--output", workdir + "/out", "--checkpoint",
           workdir + "/ckpt", "--once"])
-    snap = spark.read.parquet(workdir + "/out/snapshot").orderBy("batch_id").collect()[-1]
-    assert snap.message == '[{"name":"A","count":6},{"name":"B","count":3}]'
+    from mentionlab.streaming.top100 import latest_snapshot
+    assert latest_snapshot(spark, workdir + "/out").first().message == '[{"name":"A","count":6},{"name":"B","count":3}]'
 
 
 def test_replay_then_histogram(spark, workdir):
@@ -53,9 +53,10 @@ def test_replay_then_histogram(spark, workdir):
     rec = spark.read.parquet(workdir + "/records").orderBy("key").collect()
     assert [str(r.timestamp)[11:19] for r in rec] == ["23:00:00", "23:05:00", "23:10:00", "00:00:00"]
     main(["histogram", "--input", workdir + "/records", "--output", workdir + "/out", "--checkpoint",
-          workdir + "/ckpt", "--once"])
-    snap = spark.read.parquet(workdir + "/out/snapshot").orderBy("batch_id").collect()[-1]
-    # A at 23:00, 23:05, 23:10 and 00:00: the 23:00 mention left the hour ending at 00:00.
-    # B's last update is its 23:10 arrival; its decrement waits for the watermark (00:00 - 1 h)
-    # to pass 00:00, which this input never moves it to.
-    assert snap.message == '[{"name":"A","count":3},{"name":"B","count":3}]'
+          workdir + "/ckpt", "--once", "--publish", workdir + "/pub"])
+    # in (23:00, 00:00]: A at 23:05, 23:10 and 00:00, B at 23:05 and 23:10
+    want = '[{"name":"A","count":3},{"name":"B","count":2}]'
+    from mentionlab.streaming.top100 import latest_snapshot
+    assert latest_snapshot(spark, workdir + "/out").first().message == want
+    main(["top100", "--input", workdir + "/pub", "--output", workdir + "/again", "--checkpoint", workdir + "/ckpt2", "--once"])
+    assert latest_snapshot(spark, workdir + "/again").first().message == want

@@ -41,11 +41,9 @@ def hot_frame(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "id LONG, g STRING, v INT")
 
 
-@pytest.mark.parametrize("max_rows", [100, None])
-def test_number_rows_matches_row_number(spark, max_rows):
+def test_number_rows_matches_row_number(spark):
     df = hot_frame(spark).repartition(7)
-    ours = number_rows(df, ["g"], [F.col("v").desc(), F.col("id")], out="pos", size_col="n", base=1,
-                       max_rows=max_rows)
+    ours = number_rows(df, ["g"], [F.col("v").desc(), F.col("id")], out="pos", size_col="n", base=1)
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))
     ref = df.withColumn("pos", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("g")))
     a = sorted((r.id, r.pos, r.n) for r in ours.collect())
@@ -53,10 +51,9 @@ def test_number_rows_matches_row_number(spark, max_rows):
     assert a == b
 
 
-@pytest.mark.parametrize("max_rows", [100, None])
-def test_number_rows_global(spark, max_rows):
+def test_number_rows_global(spark):
     df = hot_frame(spark, 1000)
-    ours = number_rows(df, [], [F.col("v"), F.col("id")], base=1, max_rows=max_rows)
+    ours = number_rows(df, [], [F.col("v"), F.col("id")], base=1)
     ref = df.withColumn("pos", F.row_number().over(Window.orderBy("v", "id")))
     assert sorted((r.id, r.pos) for r in ours.collect()) == sorted((r.id, r.pos) for r in ref.collect())
 
@@ -68,14 +65,17 @@ def test_trailing_counts_matches_range_window(spark):
     rows += [(5000, "a", base + 100), (5001, "a", base + 100), (5002, "a", base + 100 + 3600)]
     rows += [(6000, "d", -100), (6001, "d", -3700), (6002, "d", 10), (6003, "d", -3600)]  # before 1970
     df = spark.createDataFrame(rows, "id LONG, k STRING, s LONG").withColumn("ts", F.col("s").cast("timestamp"))
-    simple = sorted(map(tuple, histogram.trailing_counts_simple(df, "k", "ts", "id").collect()))
-    split = histogram.trailing_counts_split(df, "k", "ts", "id", bucket_us=600_000_000)
-    assert sorted(map(tuple, split.collect())) == simple
-    context = histogram.trailing_counts_context(df, "k", "ts", "id")
-    assert sorted(map(tuple, context.collect())) == simple
-    for max_rows in (10, None):  # the checked entry point picks either form
-        auto = histogram.trailing_counts(df, "k", "ts", "id", max_rows=max_rows)
-        assert sorted(map(tuple, auto.collect())) == simple
+    simple = sorted(map(tuple, one_window_per_key(df).collect()))
+    for bucket_us in (1_000_000, 60_000_000, 600_000_000, 3_600_000_000):
+        got = histogram.trailing_counts(df, "k", "ts", "id", bucket_us=bucket_us)
+        assert sorted(map(tuple, got.collect())) == simple
+    with pytest.raises(ValueError):
+        histogram.trailing_counts(df, "k", "ts", "id", bucket_us=7_000_000_000)
+
+
+def one_window_per_key(df, width_us=3_600_000_000):
+    w = Window.partitionBy("k").orderBy(F.unix_micros("ts")).rangeBetween(-(width_us - 1), 0)
+    return df.select("id", "k", F.count(F.lit(1)).over(w).alias("count"))
 
 
 def test_topk_ties_break_by_topic(spark):
@@ -147,10 +147,14 @@ def test_basics(spark):
     assert sorted(re.collect()) == sorted(df.collect())
 
 
-def test_trailing_counts_split_keeps_repeated_ids_and_null_names(spark):
+def test_trailing_counts_keeps_repeated_ids_and_null_names(spark):
     rows = [(1, "a", "2020-01-01 00:00:00"), (1, "a", "2020-01-01 00:10:00"), (2, "a", "2020-01-01 00:20:00"),
-            (3, None, "2020-01-01 00:20:00")]
+            (3, None, "2020-01-01 00:20:00"), (4, None, "2020-01-01 00:30:00"), (5, "a", None)]
     df = spark.createDataFrame(rows, "id int, k string, t string").withColumn("ts", F.col("t").cast("timestamp"))
-    want = [(1, "a", 1), (1, "a", 2), (2, "a", 3), (3, None, 1)]
-    for form in (histogram.trailing_counts_context, histogram.trailing_counts_split):
-        assert sorted(map(tuple, form(df, "k", "ts", "id").collect()), key=repr) == want
+    want = [(1, "a", 1), (1, "a", 2), (2, "a", 3), (3, None, 1), (4, None, 2)]
+    assert sorted(map(tuple, histogram.trailing_counts(df, "k", "ts", "id").collect()), key=repr) == want
+    # a third of all rows in one minute of one name
+    hot = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 50)).alias("k"),
+                                   F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id") % 60).otherwise(F.col("id") * 7)).alias("ts"))
+    assert sorted(map(tuple, histogram.trailing_counts(hot, "k", "ts", "id").collect())) == \
+        sorted(map(tuple, one_window_per_key(hot).collect()))

@@ -3,11 +3,12 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from mentionlab.functions import times as TM
 from mentionlab.operators.profile import with_row_count
-from mentionlab.sources.gkg import read_gkg_text, tier_paths
+from mentionlab.sources.gkg import TIER_NAMES, read_gkg_text, tier_paths
 from mentionlab.sources.segments import read_new_segments
 
 
@@ -27,10 +28,14 @@ def test_incremental_pickup_and_tiers(spark, workdir):
     write_segment(base, "20150219000000.gkg.csv", [("20150219000000-1", "D,1")])
     new = read_new_segments(spark, base, "20150218230000")
     assert sorted(r.all_names for r in new.collect()) == ["B,1", "C,1", "D,1"]
-    day = read_gkg_text(spark, tier_paths(base, "medium", "20150218230000"))
-    assert day.count() == 3
-    assert read_gkg_text(spark, tier_paths(base, "small", "20150218230000")).count() == 1
-    assert read_gkg_text(spark, tier_paths(base, "full", "20150218230000")).count() == 4
+    write_segment(base, "20150601000000.gkg.csv", [("20150601000000-1", "E,1")])
+    write_segment(base, "20150701000000.gkg.csv", [("20150701000000-1", "F,1")])
+    write_segment(base, "20160101000000.gkg.csv", [("20160101000000-1", "G,1")])
+    rows = {t: read_gkg_text(spark, tier_paths(base, t, "20150218230000")).count() for t in TIER_NAMES}
+    # one segment, the month, January to June, the year, everything
+    assert rows == {"small": 1, "medium": 4, "large": 5, "xlarge": 6, "full": 7, "local": 7}
+    with pytest.raises(ValueError):
+        tier_paths(base, "huge", "20150218230000")
 
 
 def test_lookback_grid(spark):

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from mentionlab.operators.mentions import mentions_from_gkg, mentions_from_text
@@ -135,6 +136,33 @@ def test_schema_from_headers(spark, workdir):
     assert record_schema_from_headers(spark, path.replace(".csv", "_date.csv")) == GKG_SCHEMA
 
 
+# The column names as the archive's own schema file writes them, in file order.
+HEADER_NAMES = """GKGRECORDID DATE SourceCollectionIdentifier SourceCommonName DocumentIdentifier Counts V2Counts
+Themes V2Themes Locations V2Locations Persons V2Persons Organizations V2Organizations V2Tone Dates GCAM SharingImage
+RelatedImages SocialImageEmbeds SocialVideoEmbeds Quotations AllNames Amounts TranslationInfo Extras""".split()
+
+
+def test_schema_file_of_the_archive_loads(spark, workdir):
+    from mentionlab.sources.gkg import record_schema_from_headers
+    path = workdir + "/headers.csv"
+    types = {"DATE": "DATE", "SourceCollectionIdentifier": "INTEGER"}
+    with open(path, "w") as f:
+        f.write("".join(f"{c}\t{types.get(c, 'STRING')}\tNULLABLE\t\n" for c in HEADER_NAMES))
+    assert record_schema_from_headers(spark, path) == GKG_SCHEMA
+    with open(path, "a") as f:
+        f.write("More\tSTRING\tNULLABLE\t\n")
+    with pytest.raises(ValueError):
+        record_schema_from_headers(spark, path)
+
+
+def test_text_path_keeps_the_day_of_a_short_date(spark, workdir):
+    from mentionlab.operators.mentions import mentions_from_text
+    src = write_lines(workdir + "/gkg", [gkg_row("r1", "20150218", "A,1"), gkg_row("r2", "2015021899", "B,1"),
+                                         gkg_row("r3", "20150218230000", "C,1"), gkg_row("r4", "2015", "D,1")])
+    got = {(r.topic, str(r.date)) for r in mentions_from_text(read_gkg_text(spark, src)).collect()}
+    assert got == {("A", "2015-02-18"), ("B", "2015-02-18"), ("C", "2015-02-18")}
+
+
 def test_manifest_first_n(spark, workdir):
     path = workdir + "/manifest.txt"
     with open(path, "w") as f:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from mentionlab.plans.catalog_io import run_to_end
 from mentionlab.streaming.sources import file_stream
-from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages, with_sequence
+from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages
 from mentionlab.streaming.trailing import trailing_hour_stream
+from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
 
 SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
 T0 = pd.Timestamp("2024-01-01 00:00:00", tz="UTC")
@@ -95,12 +96,56 @@ def test_trailing_hour_cases_and_restart(spark, workdir):
     assert all(r["count"] >= 0 for r in res.collect())
 
 
+def top_run(spark, src, base, ckpt, n=100):
+    s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
+    sink = TrailingHourBatches(base + "/trailing", then=Top100Writer(base, n))
+    run_to_end(s.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt))
+
+
+def live_at(rows, t, width=3600.0):
+    out = {}
+    for _, s, name in rows:
+        if t - width < s <= t:
+            out[name] = out.get(name, 0) + 1
+    return out
+
+
+def test_silent_names_leave_at_stream_time(spark, workdir):
+    src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
+    # a at 10:30, 11:20 and 12:25; b falls silent; c comes out of order; a null name
+    steps = [[(1, 37800.0, "a"), (2, 37810.0, "b")], [(3, 40800.0, "a"), (4, 40000.0, "c"), (5, 40700.0, None)],
+             [(6, 44700.0, "a")], [(7, 44100.0, "a"), (8, 43000.0, "c")], [(9, 100.0, "b")]]
+    for i, b in enumerate(steps):
+        write_batch(src, i, b)
+    top_run(spark, src, base, ckpt)
+    state, seen = {}, []
+    by_batch = {m.batch_id: json.loads(m.message) for m in messages(spark, base).collect()}
+    for i, b in enumerate(steps):
+        seen += b
+        for e in by_batch.get(i, []):
+            state[e.get("name")] = e["count"]
+        assert {n: c for n, c in state.items() if c} == live_at(seen, max(s for _, s, _ in seen)), i
+    rows = read_updates(spark, base + "/trailing").collect()
+    # 10:30 is still in (10:20, 11:20]; at 12:25 both older ones have left (11:25, 12:25]
+    assert [(r["count"], r.batch) for r in rows if r.name == "a" and r.kind == "expire"] == [(1, 2)]
+    assert [(r["count"], r.kind) for r in rows if r.event_id == 9] == [(0, "late")]
+    assert [r["count"] for r in rows if r.name == "a" and r.kind == "level"] == [2]
+
+
+def test_slot_of_another_batch_raises(spark, workdir):
+    from mentionlab.streaming.slots import Slots
+    slots = Slots(workdir + "/s", "name STRING, count LONG")
+    slots.write(spark.createDataFrame([("a", 1)], "name STRING, count LONG"), 0, 5)
+    assert slots.read(spark, 0)[1] == 5
+    with pytest.raises(RuntimeError):
+        slots.read(spark, 2)
+
+
 def test_top100_messages_from_stream(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
     write_batch(src, 0, [(1, 0.0, 'say "hi"'), (2, 10.0, 'say "hi"'), (3, 20.0, "x")])
     write_batch(src, 1, [(4, 30.0, "x"), (5, 40.0, "x")])
-    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, SCHEMA, max_files_per_trigger=1)))
-    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base)).option("checkpointLocation", ckpt))
+    top_run(spark, src, base, ckpt)
     msgs = messages(spark, base).orderBy("batch_id").collect()
     assert json.loads(msgs[0].message) == [{"name": 'say "hi"', "count": 2}, {"name": "x", "count": 1}]
     assert json.loads(msgs[1].message) == [{"name": "x", "count": 3}]
@@ -136,9 +181,8 @@ def test_top100_keeps_two_slots(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
     for i in range(4):
         write_batch(src, i, [(10 * i + 1, 100.0 * i, f"n{i}"), (10 * i + 2, 100.0 * i + 1, "x")])
-    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, SCHEMA, max_files_per_trigger=1)))
-    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base)).option("checkpointLocation", ckpt))
-    assert sorted(os.listdir(base + "/current")) == ["slot=0", "slot=1"]
+    top_run(spark, src, base, ckpt)
+    assert sorted(os.listdir(base + "/current/rows")) == ["slot=0", "slot=1"]
     snap = json.loads(latest_snapshot(spark, base).first().message)
     assert {e["name"]: e["count"] for e in snap} == {"n0": 1, "n1": 1, "n2": 1, "n3": 1, "x": 4}
 
@@ -156,14 +200,12 @@ def test_resolution_rounds_times_up(spark, workdir):
     assert got == {1: 2, 2: 2, 3: 1, 4: 2}
 
 
-@pytest.mark.parametrize("max_rows", [None, 2])
-def test_microbatch_form_matches_keyed_form(spark, workdir, max_rows):
-    from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
+def test_microbatch_form_matches_brute_force(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/mb", workdir + "/ckpt"
     for i, b in enumerate(BATCHES):
         write_batch(src, i, b)
     s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
-    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(base, max_rows=max_rows))
+    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(base))
                .option("checkpointLocation", ckpt))
     res = read_updates(spark, base)
     arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
@@ -177,8 +219,7 @@ def test_applied_messages_equal_snapshot(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
     for i, b in enumerate(BATCHES):
         write_batch(src, i, b)
-    updates = with_sequence(trailing_hour_stream(file_stream(spark, src, SCHEMA, max_files_per_trigger=1)))
-    run_to_end(updates.writeStream.foreachBatch(Top100Writer(base, n=2)).option("checkpointLocation", ckpt))
+    top_run(spark, src, base, ckpt, n=2)
     state = {}
     for m in messages(spark, base).orderBy("batch_id").collect():
         for e in json.loads(m.message):
@@ -225,7 +266,6 @@ def test_keyed_stream_matches_brute_force(spark, steps):
 def test_microbatch_stream_matches_brute_force(spark, steps):
     import random
     import tempfile
-    from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
     work = tempfile.mkdtemp(prefix="mentionlab-prop-")
     batches, t0, eid = [], 0.0, 0
     for step in steps:
@@ -239,7 +279,7 @@ def test_microbatch_stream_matches_brute_force(spark, steps):
     for i, b in enumerate(batches):
         write_batch(work + "/in", i, b)
     s = file_stream(spark, work + "/in", SCHEMA, max_files_per_trigger=1)
-    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(work + "/mb", max_rows=3))
+    run_to_end(s.writeStream.foreachBatch(TrailingHourBatches(work + "/mb"))
                .option("checkpointLocation", work + "/ckpt"))
     res = read_updates(spark, work + "/mb")
     arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
