@@ -17,10 +17,12 @@ from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F  # noqa: E402
 
-from mentionlab.operators.histogram import trailing_counts_context, trailing_counts_simple, trailing_counts_split  # noqa: E402
-from mentionlab.plans.ranking import number_rows_split  # noqa: E402
+from mentionlab.functions.times import micros  # noqa: E402
+from mentionlab.operators.histogram import HOUR_US, trailing_counts  # noqa: E402
+from mentionlab.plans.ranking import number_rows  # noqa: E402
 from mentionlab.session import build_session  # noqa: E402
 
 
@@ -69,12 +71,12 @@ def main():
     n = df.count()
     print(f"rows={n} hot={df.filter(F.col('name') == 'hot').count()}")
     plans = {
-        "trailing_simple": lambda: trailing_counts_simple(df, "name", "ts", "id"),
-        "trailing_context": lambda: trailing_counts_context(df, "name", "ts", "id"),
-        "trailing_split": lambda: trailing_counts_split(df, "name", "ts", "id"),
+        "trailing_window": lambda: df.withColumn("count", F.count(F.lit(1)).over(
+            Window.partitionBy("name").orderBy(micros(F.col("ts"))).rangeBetween(1 - HOUR_US, 0))),
+        "trailing_counts": lambda: trailing_counts(df, "name", "ts", "id"),
         "rownum_window": lambda: df.withColumn("pos", F.row_number().over(
-            __import__("pyspark.sql").sql.Window.partitionBy("name").orderBy("ts", "id"))),
-        "rownum_split": lambda: number_rows_split(df, ["name"], [F.col("ts"), F.col("id")]),
+            Window.partitionBy("name").orderBy("ts", "id"))),
+        "number_rows": lambda: number_rows(df, ["name"], [F.col("ts"), F.col("id")]),
     }
     for label, build in plans.items():
         spark.sparkContext.setJobGroup(label, label)
