@@ -16,6 +16,7 @@ null ids give a row each; phrases only match whole words, across any punctuation
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -138,7 +139,8 @@ class Rule:
 
 
 def _whole_words(pattern: str) -> re.Pattern:
-    return re.compile(rf"(?<!\S)(?:{pattern})(?!\S)")
+    # ASCII only: other white space and digits are parts of words
+    return re.compile(rf"(?<!\S)(?:{pattern})(?!\S)", re.ASCII)
 
 
 @lru_cache(maxsize=1)
@@ -177,9 +179,21 @@ def _gate() -> tuple[frozenset, dict[str, list[tuple[int, Rule]]]]:
 def resolve(found: list[tuple[int, int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """(start, end, rule) of the detections that stand, from (start, end, order, rule)."""
     kept: list[tuple[int, int, Rule]] = []
+    # a Fenwick tree over the distinct starts holds the furthest accepted end up to each of them,
+    # so a text of many detections takes n log n steps
+    starts = sorted({d[0] for d in found})
+    furthest = [0] * (len(starts) + 1)
     for start, end, _, rule in sorted(found, key=lambda d: (-d[3].priority, d[0] - d[1], d[2], d[0])):
-        if not any(s <= start and end <= e for s, e, _ in kept):
+        at = place = bisect_left(starts, start) + 1
+        reach = 0
+        while at:
+            reach = max(reach, furthest[at])
+            at &= at - 1
+        if reach < end:
             kept.append((start, end, rule))
+            while place < len(furthest):
+                furthest[place] = max(furthest[place], end)
+                place += place & -place
     return sorted(kept, key=lambda d: (d[0], d[1]))
 
 
@@ -194,7 +208,8 @@ def scan(text: bytes | None) -> tuple[int, list[tuple[int, str]], list[tuple[int
     if not present:
         return len(words), [], []
     form = b" ".join(words).decode("utf-8", "replace")
-    word_at = lambda at: form.count(" ", 0, at)
+    begins = [0, *(m.end() for m in re.finditer(" ", form))]
+    word_at = lambda at: bisect_right(begins, at) - 1
     base = [(word_at(m.start()), label) for label, regex in _BASE_RULES.items() for m in regex.finditer(form)]
     found = [(m.start(), m.end(), n, rule)
              for key in present for n, rule in by_key.get(key.decode(), ()) for m in rule.regex.finditer(form)]
