@@ -153,6 +153,31 @@ def test_license_detections():
     assert spans_ == [(0, 8, "apache-2.0")]
 
 
+def test_license_words_end_at_ascii_only():
+    # other white space and digits belong to words
+    assert licenses.report("cc by\xa0all, all rights reserved\u2003x".encode())[:6] == (5, 0, None, None, "", "")
+    assert licenses.report("copyright 20२४ by".encode())[5] == "copyright"
+
+
+def test_license_detections_of_long_texts():
+    """Against the plain rule: no detection that stands lies within one accepted before."""
+    r = random.Random(3)
+    made = [licenses.Rule(r.randint(1, 4), 0.5, f"l{i}", "k", re.compile("k")) for i in range(12)]
+    for n in (0, 1, 30, 400):
+        found = []
+        for i in range(n):
+            start = r.randint(0, 300)
+            found.append((start, start + r.randint(1, 40), i % 12, r.choice(made)))
+        kept = []
+        for s, e, _, rule in sorted(found, key=lambda d: (-d[3].priority, d[0] - d[1], d[2], d[0])):
+            if not any(a <= s and e <= b for a, b, _ in kept):
+                kept.append((s, e, rule))
+        assert licenses.resolve(found) == sorted(kept, key=lambda d: (d[0], d[1]))
+    text = b"Released under the MIT License, all rights reserved, copyright 2020 by me. " * 20_000
+    n_words, n_base, first, last = licenses.report(text)[:4]
+    assert (n_words, n_base, first, last) == (240_000, 20_000, 5, 239_993)
+
+
 def test_license_base_figures(spark):
     texts = [(7, "CC BY here; all rights\nreserved. cc-by"), (8, "general public licenses"), *ODD]
     got = {(x.doc_id, x.n_words): x for x in licenses.license_scan(docs(spark, texts)).collect()}
@@ -362,7 +387,7 @@ def test_decontaminate_equals_brute_force(spark, shard_bytes):
 # ---------------------------------------------------------------- spans
 
 
-def brute_spans(texts, min_sentences=2, min_words=30):
+def brute_spans(texts, min_sentences=spans.MIN_SENTENCES, min_words=spans.MIN_WORDS):
     order = lambda i: (i is None, i or 0)
     seen, found = {}, []
     for i, t in texts:
@@ -409,6 +434,16 @@ def test_span_dedup_equals_brute_force(spark):
     assert spans.span_dedup(docs(spark, [])).collect() == []
 
 
+def test_span_dedup_finds_passages_inside_sentences(spark):
+    r = random.Random(9)
+    passage = ", ".join(prose(r, 7) for _ in range(9))
+    texts = [(i, f"{prose(r, 20)} {passage} {prose(r, 15)}.") for i in range(6)]
+    rows = {x.doc_id: x for x in spans.span_dedup(docs(spark, texts)).collect()}
+    assert rows[0].text == dict(texts)[0]
+    # all but the pieces that the document's own words share with the passage's ends
+    assert all(rows[i].words_removed == 49 and rows[i].repeats_of == [0] for i in range(1, 6))
+
+
 def test_span_dedup_leaves_clean_documents_alone(spark):
     r = random.Random(8)
     line = "A short common line."
