@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentionlab.llm.common import WORD_BYTES, Rows
+from mentionlab.llm.common import WORD_BYTES, Rows, written
 
 WINDOW = 10
 BLOCK = 3
@@ -155,12 +155,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
                                 (f"{types}, " if names else "") + "_n_words bigint, _n_hit bigint, _items array<string>")
         return found.select(*back, F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
                             F.col("_items").alias("items"))
-    from mentionlab.llm.common import written
-
+    # by id and text: an item that stands many times is one row, and items of one text are spread
+    bench = bench.distinct()
     rows = written(read.withColumn("row", F.monotonically_increasing_id()), "texts")
     parts = None
     for shard in range(shards):
-        part = bench.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard)
+        part = bench.filter(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == shard)
         pack = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
         found = rows.select("row", "_text").mapInArrow(
             _scan(pack, window), "row bigint, n_words bigint, places array<int>, items array<string>")

@@ -156,7 +156,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         lines = data[at:head].split(b"\r\n")
         if lines[0] != VERSION:
             raise ValueError("no record at byte %d" % at)
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.decode().partition(":") for x in lines[1:])}
+        fields = {k.strip().lower(): v.strip(" \t") for k, _, v in (x.decode().partition(":") for x in lines[1:])}
         start = head + 4
         end = start + int(fields["content-length"])
         if data[end:end + 4] != END.encode():

@@ -308,7 +308,7 @@ def test_warc_round_trip(spark, workdir):
     pages = [(i, f"http://x/{i} ü\r\n", "".join(r.choice("aé中🙂\r\n<>") for _ in range(r.choice([0, 3, 99, 120, 9000]))))
              for i in range(40)]
     pages += [(50, "u", pages[4][2] * 2 + "z" * 200), (49, None, pages[4][2] * 2 + "z" * 200), (51, "%41", pages[4][2] * 2 + "z" * 200),
-              (60, "w", "WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 40), (61, "n", None), (62, "n", None), (63, "s", "tiny"), (64, "s", "tiny"),
+              (60, "w", "WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 40), (61, "n", None), (62, "n", None), (63, "s", "tiny"), (64, "s", "tiny"), (65, " u\xa0", "tiny"), (66, "\x85", ""),
               (70, "d", "y" * 500), (70, "d", "y" * 500), (71, "d", "y" * 500), (None, "q", "y" * 500), (None, "q", "k" * 500)]
     data = spark.createDataFrame(pages, "page_id bigint, url string, html string")
     got = warc.round_trip(data, f"{workdir}/a", segment=1000, per_file=7).collect()
@@ -370,6 +370,7 @@ def test_decontaminate_equals_brute_force(spark, shard_bytes):
     few = ("a", "b", "c")
     items = [(i, " ".join(r.choice(few) for _ in range(r.choice([1, 2, 3, 9, 10, 11, 14])))) for i in range(3, 15)]
     items += [(100, prose(r, 30)), (101, prose(r, 12)), (102, None), (103, "--"), (None, prose(r, 15)), (104, items[0][1])]
+    items += [items[1]] * 5 + [(None, None)] * 2
     texts = [(i, " ".join(r.choice(few + ("d",)) for _ in range(r.randint(0, 60)))) for i in range(30)]
     for n, (_, t) in enumerate(items):
         w = (t or "").split()
