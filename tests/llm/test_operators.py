@@ -445,6 +445,42 @@ def test_span_dedup_finds_passages_inside_sentences(spark):
     assert all(rows[i].words_removed == 49 and rows[i].repeats_of == [0] for i in range(1, 6))
 
 
+def test_span_dedup_at_any_word(spark):
+    """Passages of 50 and more words at arbitrary offsets, against all windows of words."""
+    r = random.Random(31)
+    texts, passages = [], []
+    for n in range(24):
+        words = prose(r, 90).split()
+        if n % 3 == 1:  # marks inside: the passage starts and ends within pieces
+            words = [w + r.choice(["", "", "", "", "", "", ",", "."]) for w in words]
+        low = r.randint(0, 30)
+        passage = words[low:low + r.randint(50, 60)]
+        for k, body in enumerate((words, [*prose(r, r.randint(5, 60)).split(), *passage, *prose(r, r.randint(5, 60)).split()])):
+            texts.append((2 * n + k, " ".join(body)))
+        passages.append(passage)
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    chinese = "".join(r.choice(signs) + r.choice(["", "", "", "", "。"]) for _ in range(60))
+    texts += [(900, chinese), (901, "".join(r.choices(signs, k=21)) + chinese + "".join(r.choices(signs, k=17)))]
+    texts += [(902, "one " * 500)]
+    rows = {x.doc_id: x for x in spans.span_dedup(docs(spark, texts)).collect()}
+    seen = set()
+    for i, t in texts[:-3]:
+        words = t.lower().split()
+        grams = [tuple(words[j:j + spans.MIN_WORDS]) for j in range(len(words) - spans.MIN_WORDS + 1)]
+        covered = {j + d for j, g in enumerate(grams) if g in seen for d in range(spans.MIN_WORDS)}
+        seen.update(grams)
+        # edges of fewer than EDGE words may stay in their piece, nothing else may go
+        assert len(covered) - 2 * (spans.EDGE - 1) <= rows[i].words_removed <= len(covered)
+        assert bool(covered) == (i % 2 == 1)
+        assert rows[i].repeats_of == ([i - 1] if covered else [])
+        left = iter(rows[i].text.lower().split())
+        assert all(w in words for w in left)
+        if i % 6 != 3 and covered:  # one piece: to the word
+            assert rows[i].text.split() == [w for j, w in enumerate(t.split()) if j not in covered]
+    assert rows[901].repeats_of == [900] and rows[901].words_removed >= 60
+    assert rows[902].words_removed == 500 - spans.MIN_WORDS
+
+
 def test_span_dedup_leaves_clean_documents_alone(spark):
     r = random.Random(8)
     line = "A short common line."
