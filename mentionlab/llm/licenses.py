@@ -34,7 +34,7 @@ BASE_WEIGHT = 0.5
 _LIC = "licen[cs]es?"
 _V = "(?:v|version |v )?"
 
-# label, keyword, how the name is written, the identifier's words, words of its address
+# label, keyword (one a way of writing the name), how the name is written, the identifier's words, words of its address
 NAMES = [
     ("apache-2.0", "apache", rf"apache (?:software )?{_LIC} {_V}2(?: 0)?", "apache 2 0", "apache org licenses license 2 0"),
     ("apache-1.1", "apache", rf"apache (?:software )?{_LIC} {_V}1 1", "apache 1 1", "apache org licenses license 1 1"),
@@ -69,7 +69,7 @@ NAMES = [
     ("artistic-2.0", "artistic", rf"artistic {_LIC}(?: {_V}2 0)?", "artistic 2 0", "opensource org licenses artistic"),
     ("bsl-1.0", "boost", rf"boost software {_LIC}(?: {_V}1 0)?", "bsl 1 0", "boost org license 1 0"),
     ("zlib", "zlib", rf"zlib(?: libpng)? {_LIC}", "zlib", "zlib net zlib license"),
-    ("libpng", "libpng", rf"(?:png reference library|libpng) {_LIC}", "libpng", "libpng org pub png src libpng license"),
+    ("libpng", "libpng png", rf"(?:png reference library|libpng) {_LIC}", "libpng", "libpng org pub png src libpng license"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", "unlicense", "unlicense org"),
     ("wtfpl", "wtfpl", r"wtfpl(?: 2)?", "wtfpl", "wtfpl net"),
     ("beerware", "beerware", rf"beerware(?: {_LIC})?", "beerware", "people freebsd org phk"),
@@ -78,7 +78,7 @@ NAMES = [
     ("ofl-1.1", "font", rf"(?:sil )?open font {_LIC}(?: {_V}1 1)?", "ofl 1 1", "scripts sil org ofl"),
     ("ms-pl", "microsoft", rf"microsoft public {_LIC}", "ms pl", "opensource org licenses ms pl"),
     ("ms-rl", "microsoft", rf"microsoft reciprocal {_LIC}", "ms rl", "opensource org licenses ms rl"),
-    ("psf-2.0", "python", rf"(?:python software foundation|psf) {_LIC}(?: {_V}2)?", "psf 2 0", "docs python org license"),
+    ("psf-2.0", "python psf", rf"(?:python software foundation|psf) {_LIC}(?: {_V}2)?", "psf 2 0", "docs python org license"),
     ("postgresql", "postgresql", rf"postgresql {_LIC}", "postgresql", "opensource org licenses postgresql"),
     ("ncsa", "illinois", rf"university of illinois(?: ncsa)? open source {_LIC}", "ncsa", "opensource org licenses ncsa"),
     ("openssl", "openssl", rf"openssl {_LIC}", "openssl", "openssl org source license"),
@@ -155,14 +155,13 @@ def rules() -> tuple[Rule, ...]:
     out = []
     for label, keyword, name, spdx, url in names:
         for priority, weight, context, own in CONTEXTS:
-            key = own or (url.split()[0] if "{url}" in context else keyword)
-            if label.startswith("cc-") and not own and "{url}" not in context:
+            if own or "{url}" in context:
+                keys = [own or url.split()[0]]
+            else:
                 # the name is written out or abbreviated: a rule for each, with its own keyword
-                for key in ("cc", "creative"):
-                    out.append(Rule(priority, weight, label, key, _whole_words(context.format(name=name))))
-                continue
-            out.append(Rule(priority, weight, label, key,
-                            _whole_words(context.format(name=f"(?:{name})", spdx=spdx, url=url))))
+                keys = ["cc", "creative"] if label.startswith("cc-") else keyword.split()
+            regex = _whole_words(context.format(name=f"(?:{name})", spdx=spdx, url=url))
+            out += [Rule(priority, weight, label, key, regex) for key in keys]
     out += [Rule(p, w, label, key, _whole_words(pattern)) for p, w, label, key, pattern in PLAIN]
     return tuple(out)
 

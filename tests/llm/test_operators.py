@@ -153,6 +153,12 @@ def test_license_detections():
     assert spans_ == [(0, 8, "apache-2.0")]
 
 
+def test_license_names_have_keywords_in_every_form():
+    for text, label in ((b"Licensed under the PSF License", "psf-2.0"), (b"the PNG Reference Library License", "libpng"),
+                        (b"Python Software Foundation License", "psf-2.0"), (b"libpng license", "libpng")):
+        assert licenses.report(text)[5] == label
+
+
 def test_license_words_end_at_ascii_only():
     # other white space and digits belong to words
     assert licenses.report("cc by\xa0all, all rights reserved\u2003x".encode())[:6] == (5, 0, None, None, "", "")
