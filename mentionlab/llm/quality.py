@@ -187,11 +187,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """A network fitted on at most ``rows`` labelled texts of at most ``row_bytes`` bytes."""
     known = labels.select(F.col(label_id).alias("_id"), F.col(label_col).cast("int").alias("_label")).filter(
         F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
+    texts = texts.filter(F.octet_length("_text") <= row_bytes)
+    # labels without a usable text take no row's place; only ids travel here
+    chosen = (known.join(texts.select("_id"), "_id", "left_semi")
+              .orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows))
     # at most ``rows`` rows, by the limit above
-    sample = (texts.join(F.broadcast(chosen), "_id").filter(F.octet_length("_text") <= row_bytes)
+    sample = (texts.join(F.broadcast(chosen), "_id")
               .orderBy(F.xxhash64("_id"), "_id", "_text", "_label").limit(rows).collect())
+    if not sample and not known.isEmpty() and not docs.isEmpty():
+        raise ValueError(f"none of the labelled rows has a text of at most {row_bytes} bytes")
     return Network().fit([bytes(r["_text"]) for r in sample], [r["_label"] for r in sample])
 
 

@@ -539,6 +539,15 @@ def test_quality_defined_cases(spark):
     assert quality.quality_scores(docs(spark, []), fitted).collect() == []
 
 
+def test_quality_sample_is_filled_up(spark):
+    data, labels, _ = labelled(spark, 80)
+    absent = spark.createDataFrame([(i, i % 2, "x") for i in range(10_000, 14_000)], labels.schema)
+    some = quality.fit_quality(data, labels.union(absent), rows=50)
+    assert getattr(some, "fixed", None) is None
+    with pytest.raises(ValueError):
+        quality.fit_quality(data, labels, row_bytes=1)
+
+
 def test_network_gradients():
     import numpy as np
 
