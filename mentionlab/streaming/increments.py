@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from mentionlab.operators.changes import apply_increments
-from mentionlab.streaming.slots import Slots
+from mentionlab.streaming.deltas import EVERY, DeltaTable
 
 SEGMENT_POLL = "15 minutes"
 
@@ -25,20 +25,15 @@ def poll_trigger(writer, every: str = SEGMENT_POLL):
 class CurrentTable:
     """``foreachBatch`` sink for update-mode output: the newest row of every key.
 
-    A batch holds at most one row per key; it replaces the key's row of the table, which is
-    kept in two alternating folders however long the stream runs.
+    A batch holds at most one row per key, and only these rows are written: the table is merged
+    on read from a base and the batches since (:class:`mentionlab.streaming.deltas.DeltaTable`).
     """
 
-    def __init__(self, base: str, schema: str, keys: Sequence[str]):
-        self.slots = Slots(base, schema)
-        self.keys = list(keys)
+    def __init__(self, base: str, schema: str, keys: Sequence[str], every: int = EVERY):
+        self.table = DeltaTable(base, schema, keys, every=every)
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        prev, _ = self.slots.read(spark, batch_id - 1)
-        same = [prev[k].eqNullSafe(changes[k]) for k in self.keys]
-        rows = prev.join(changes.select(*self.keys), same, "left_anti").unionByName(changes)
-        self.slots.write(rows, batch_id)
+        self.table.append(changes.sparkSession, changes, batch_id)
 
     def current(self, spark: SparkSession) -> DataFrame:
-        return self.slots.latest(spark)[1]
+        return self.table.latest(spark)[1]

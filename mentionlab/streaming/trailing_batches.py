@@ -3,7 +3,8 @@
 ``foreachBatch`` counts each batch's mentions against those of the last window (plus
 lateness) kept from earlier batches, with
 :func:`mentionlab.operators.histogram.trailing_counts`: no task holds a whole name.  The
-kept mentions live in two alternating folders (:mod:`mentionlab.streaming.slots`).
+kept mentions are an appended log (:mod:`mentionlab.streaming.deltas`): a batch writes its own
+mentions, and every so many batches the log is compacted to the window.
 
 Stream time is the newest mention time seen in the whole stream.  Updates of a batch:
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from mentionlab.functions.times import micros
 from mentionlab.operators.histogram import HOUR_US, trailing_counts
-from mentionlab.streaming.slots import Slots
+from mentionlab.streaming.deltas import DeltaTable
 
 RECENT_SCHEMA = "event_id LONG, name STRING, us LONG"
 UPDATE_SCHEMA = "event_id LONG, name STRING, count LONG, us LONG, kind STRING"
@@ -45,7 +46,7 @@ class TrailingHourBatches:
         self.window_us = window_us
         self.lateness_us = lateness_us
         self.then = then
-        self.recent = Slots(f"{self.base}/recent", RECENT_SCHEMA)
+        self.recent = DeltaTable(f"{self.base}/recent", RECENT_SCHEMA)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -67,11 +68,13 @@ class TrailingHourBatches:
         times = [t for t in (before, rows.agg(F.max("us")).first()[0]) if t is not None]
         if not times:  # no mention yet
             spark.createDataFrame([], UPDATE_SCHEMA).write.mode("overwrite").parquet(self._updates(batch_id))
-            self.recent.write(recent, batch_id)
+            self.recent.append(spark, None, batch_id)
             return
         now = max(times)
         first = before is None
         us = F.col("us")
+        if not first:  # the log keeps older ones until it is compacted
+            recent = recent.filter(us > F.lit(before - self.window_us - self.lateness_us))
         late = F.lit(False) if first else us <= F.lit(before - self.lateness_us)
         fresh, old = rows.filter(~late), rows.filter(late)
         logged = recent.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
@@ -93,8 +96,7 @@ class TrailingHourBatches:
             F.lit("late").alias("kind"))
         arrivals.unionByName(closing).unionByName(lates) \
             .write.mode("overwrite").parquet(self._updates(batch_id))
-        kept = logged.filter(us > F.lit(now - self.window_us - self.lateness_us)).drop("_new")
-        self.recent.write(kept, batch_id, now)
+        self.recent.append(spark, fresh, batch_id, now, keep=us > F.lit(now - self.window_us - self.lateness_us))
 
 
 def read_updates(spark: SparkSession, base: str) -> DataFrame:

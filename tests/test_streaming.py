@@ -11,6 +11,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from mentionlab.plans.catalog_io import run_to_end
+from mentionlab.streaming.deltas import DeltaTable
 from mentionlab.streaming.sources import file_stream
 from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages
 from mentionlab.streaming.trailing import trailing_hour_stream
@@ -132,13 +133,14 @@ def test_silent_names_leave_at_stream_time(spark, workdir):
     assert [r["count"] for r in rows if r.name == "a" and r.kind == "level"] == [2]
 
 
-def test_slot_of_another_batch_raises(spark, workdir):
-    from mentionlab.streaming.slots import Slots
-    slots = Slots(workdir + "/s", "name STRING, count LONG")
-    slots.write(spark.createDataFrame([("a", 1)], "name STRING, count LONG"), 0, 5)
-    assert slots.read(spark, 0)[1] == 5
+def test_table_of_another_batch_raises(spark, workdir):
+    table = DeltaTable(workdir + "/s", "name STRING, count LONG", ["name"])
+    table.append(spark, spark.createDataFrame([("a", 1)], "name STRING, count LONG"), 0, 5)
+    assert table.read(spark, 0)[1] == 5
     with pytest.raises(RuntimeError):
-        slots.read(spark, 2)
+        table.read(spark, 2)
+    with pytest.raises(RuntimeError):
+        table.append(spark, None, 3)
 
 
 def test_top100_messages_from_stream(spark, workdir):
@@ -177,12 +179,13 @@ def test_stream_sets_rocksdb_on_a_plain_session(spark, workdir):
     assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
 
 
-def test_top100_keeps_two_slots(spark, workdir):
+def test_top100_keeps_few_folders(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/top", workdir + "/ckpt"
     for i in range(4):
         write_batch(src, i, [(10 * i + 1, 100.0 * i, f"n{i}"), (10 * i + 2, 100.0 * i + 1, "x")])
     top_run(spark, src, base, ckpt)
-    assert sorted(os.listdir(base + "/current/rows")) == ["slot=0", "slot=1"]
+    assert sorted(os.listdir(base + "/current/rows")) == [f"delta={i}" for i in range(4)]
+    assert sorted(f for f in os.listdir(base + "/current/commits") if f.endswith("n")) == ["2.json", "3.json"]
     snap = json.loads(latest_snapshot(spark, base).first().message)
     assert {e["name"]: e["count"] for e in snap} == {"n0": 1, "n1": 1, "n2": 1, "n3": 1, "x": 4}
 
