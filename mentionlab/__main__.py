@@ -1,7 +1,9 @@
 """Jobs for ``spark-submit`` or ``python -m mentionlab``.
 
 * ``topk``: daily top-k topics from records (``--format csv`` typed reader, ``text`` split
-  path, or ``parquet`` after ``convert``); ``--tier`` picks a size tier by path glob.
+  path, or ``parquet`` after ``convert``); ``--tier`` picks a size tier by path glob or, of
+  converted records, by day folders; ``--quarantine`` keeps unreadable lines, ``--stoplist``
+  leaves topics out.
 * ``convert``: records to day-partitioned Parquet.
 * ``replay``: segment files to ``key, value, timestamp`` records, times spread evenly over
   each segment (to Parquet or Kafka).
@@ -18,6 +20,8 @@ import sys
 
 from pyspark.sql import functions as F
 
+FIRST_SEGMENT = "20150218230000"
+
 
 def _session():
     from mentionlab.session import build_session
@@ -31,17 +35,27 @@ def run_topk(args) -> None:
     from mentionlab.sources.gkg import (read_gkg_csv, read_gkg_parquet, read_gkg_text,
                                         record_schema_from_headers, tier_paths)
     spark = _session()
-    if args.tier and args.format == "parquet":
-        raise SystemExit("--tier names segment files: it goes with --format csv or text")
-    paths = tier_paths(args.input, args.tier, args.first_segment) if args.tier else args.input
-    if args.format == "csv":
+    paths = args.input
+    if args.tier and args.format != "parquet":
+        paths = tier_paths(args.input, args.tier, args.first_segment or FIRST_SEGMENT)
+    if args.format == "csv" and args.quarantine:
+        from mentionlab.sources.quarantine import read_gkg_judged, split_records
+        good, bad = split_records(read_gkg_judged(spark, paths), args.quarantine)
+        print(f"{bad.count()} lines in quarantine under {args.quarantine}/verdict=bad", file=sys.stderr)
+        mentions = mentions_from_gkg(good, args.name_rule)
+    elif args.format == "csv":
         schema = record_schema_from_headers(spark, args.schema) if args.schema else None
         mentions = mentions_from_gkg(read_gkg_csv(spark, paths, schema), args.name_rule)
     elif args.format == "text":
         mentions = mentions_from_text(read_gkg_text(spark, paths), args.name_rule)
     else:
-        mentions = mentions_from_gkg(read_gkg_parquet(spark, args.input), args.name_rule)
-    top = daily_topk(mentions, args.k)
+        mentions = mentions_from_gkg(read_gkg_parquet(spark, args.input, args.tier, args.first_segment), args.name_rule)
+    if args.stoplist:
+        from mentionlab.operators.stoplist import daily_topk_without_patterns
+        patterns = spark.read.option("sep", "\t").schema("kind STRING, pattern STRING").csv(args.stoplist)
+        top = daily_topk_without_patterns(mentions, patterns, args.k)
+    else:
+        top = daily_topk(mentions, args.k)
     if args.reference_shape:
         from mentionlab.operators.topk import top_ten_rows
         write_json_run(top_ten_rows(top), args.output)
@@ -87,7 +101,11 @@ def run_histogram(args) -> None:
             publish_updates(updates, batch_id, args.publish, args.kafka if args.publish_topic else None,
                             args.publish_topic)
 
-    _run_stream(m.writeStream.foreachBatch(TrailingHourBatches(f"{args.output}/trailing", then=then)), args)
+    if args.split_state:
+        from mentionlab.streaming.split_state import SplitHistogram, split_parts
+        _run_stream(split_parts(m).writeStream.foreachBatch(SplitHistogram(f"{args.output}/trailing", then)), args)
+    else:
+        _run_stream(m.writeStream.foreachBatch(TrailingHourBatches(f"{args.output}/trailing", then=then)), args)
 
 
 def run_top100(args) -> None:
@@ -122,7 +140,9 @@ def main(argv=None) -> None:
     t.add_argument("--output", required=True)
     t.add_argument("--format", choices=["csv", "text", "parquet"], default="csv")
     t.add_argument("--tier", choices=["small", "medium", "large", "xlarge", "full", "local"])
-    t.add_argument("--first-segment", default="20150218230000")
+    t.add_argument("--first-segment", help="yyyyMMddHHmmss; default: the archive's first, or that of the converted records")
+    t.add_argument("--quarantine", help="folder for records and for lines that are none, with file and reason (csv)")
+    t.add_argument("--stoplist", help="file of kind TAB pattern (equals, prefix, suffix, contains): topics left out")
     t.add_argument("--name-rule", choices=["last_offset", "all_offsets", "head"], default="last_offset")
     t.add_argument("--k", type=int, default=10)
     t.add_argument("--schema", help="headers file (name TAB type TAB mode) for the csv reader")
@@ -149,6 +169,8 @@ def main(argv=None) -> None:
     h.add_argument("--max-per-trigger", type=int)
     h.add_argument("--publish", help="folder for keyed updates, a row per name and batch")
     h.add_argument("--publish-topic", help="Kafka topic for keyed updates (with --kafka)")
+    h.add_argument("--split-state", action="store_true",
+                   help="counts in RocksDB state by (name, minute) and name, in place of a log of recent mentions")
     h.add_argument("--every", default="1 second")
     h.add_argument("--once", action="store_true", help="process what is there and stop")
     h.set_defaults(fn=run_histogram)

@@ -29,12 +29,6 @@ def article_counts(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("date", "topic").agg(F.count_distinct("record_id").alias("articles"))
 
 
-def approx_article_counts(mentions: DataFrame, rsd: float = 0.01) -> DataFrame:
-    """A8 at scale: HyperLogLog++ instead of an exact distinct."""
-    return mentions.groupBy("date", "topic").agg(
-        F.approx_count_distinct("record_id", rsd).alias("articles"))
-
-
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
                     rank_col: str = "rank") -> DataFrame:
     """Rows ranked ``1..k`` per group by ``order`` (deterministic when ``order`` is total)."""

@@ -363,7 +363,7 @@ def q_incremental_segments(spark, d):
     return ev.filter(segments.newer_than(F.col("seg"), LAST_SEGMENT))
 
 
-_TIER_SQL = """WITH s AS (SELECT min(ts) AS t0 FROM events)
+TIER_SQL = """WITH s AS (SELECT min(ts) AS t0 FROM events)
 SELECT t.tier, count(*) FILTER (CASE t.tier
     WHEN 'small' THEN time_bucket(INTERVAL 15 MINUTE, ts) = time_bucket(INTERVAL 15 MINUTE, t0)
     WHEN 'medium' THEN date_trunc('month', ts) = date_trunc('month', t0)
@@ -373,7 +373,7 @@ SELECT t.tier, count(*) FILTER (CASE t.tier
 FROM events, s, (VALUES ('small'), ('medium'), ('large'), ('xlarge'), ('full'), ('local')) t(tier) GROUP BY t.tier"""
 
 
-@query("scan_tiers", _TIER_SQL)
+@query("scan_tiers", TIER_SQL)
 def q_scan_tiers(spark, d):
     return tier_counts(_events(spark, d))
 

@@ -15,19 +15,24 @@ from mentionlab.operators import topk
 from mentionlab.operators.mentions import mentions_from_events, mentions_from_gkg
 from mentionlab.plans import derived as D
 from mentionlab.plans import oracle as O
-from mentionlab.plans.catalog import SLIDING_SQL, TRAILING_SQL, query
+from mentionlab.operators import sketches, stoplist
+from mentionlab.operators.daily_state import DailyTopk
+from mentionlab.plans.catalog import SLIDING_SQL, TIER_SQL, TRAILING_SQL, query
 from mentionlab.schemas import MENTION_SCHEMA, require_columns
 from mentionlab.session import scratch_path
 from mentionlab.sinks import write_daily_documents, write_json_run
 from mentionlab.sources.daily_json import read_daily_json
-from mentionlab.sources.gkg import gkg_line, read_gkg_csv, read_gkg_text
+from mentionlab.sources.gkg import (TIER_NAMES, convert_to_parquet, gkg_line, read_gkg_csv, read_gkg_parquet,
+                                    read_gkg_text)
+from mentionlab.sources.quarantine import read_gkg_judged, split_records
 from mentionlab.sources.sensor import read_sensor_csv
 from mentionlab.streaming.increments import CurrentTable, running_totals
 from mentionlab.streaming.mentions import stream_mentions
 from mentionlab.streaming.sliding import sliding_counts_stream
 from mentionlab.streaming.sources import RECORD_SCHEMA, file_stream
+from mentionlab.streaming.split_state import DAY_MS, SplitHistogram, read_late, split_parts
+from mentionlab.streaming.split_state import read_updates as split_updates
 from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages
-from mentionlab.streaming.trailing import trailing_hour_stream
 from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
 
 _LINES_CTE = O.with_(O.ARTICLES, f"lines AS (SELECT record_key, rec_ts, {O.gkg_line_sql(O.LINE_COLS)} AS value FROM ank)")
@@ -123,12 +128,15 @@ EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
 SLICES = 4
 
 
-def _run_slices(spark: SparkSession, ev: DataFrame, schema: str, writer) -> None:
+def _run_slices(spark: SparkSession, ev: DataFrame, schema: str, writer, delay: str = "0") -> None:
     """Feeds ``ev`` (with ``_us``) to a stream in time order: each of four equal time slices is
-    one run from the checkpoint, and thus a micro-batch of as many files as it needs."""
+    one run from the checkpoint, and thus a micro-batch of as many files as it needs.  Rows come
+    ``delay`` slices after their own, if there is such a slice; rows without time come first."""
     src, ckpt = scratch_path(spark, "slices"), scratch_path(spark, "ckpt")
     lo, hi = ev.agg(F.min("_us"), F.max("_us")).first()
     number = F.expr(f"(_us - {lo or 0}L) * {SLICES} div {(hi or 0) - (lo or 0) + 1}L")
+    later = number + F.coalesce(F.expr(delay), F.lit(0))
+    number = F.coalesce(F.when(later < SLICES, later).otherwise(number), F.lit(0))
     for k in range(SLICES):
         ev.filter(number == k).drop("_us").write.mode("append").parquet(src)
         run_to_end(writer(file_stream(spark, src, schema)).option("checkpointLocation", ckpt))
@@ -140,12 +148,18 @@ def _event_mentions(spark: SparkSession, d: str) -> DataFrame:
                      TM.micros(F.col("ts").cast("timestamp")).alias("_us"))
 
 
+def _split_run(spark: SparkSession, d: str, horizon_ms: int = DAY_MS, delay: str = "0") -> str:
+    base = scratch_path(spark, "split")
+    sink = SplitHistogram(base)
+    _run_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
+                lambda s: split_parts(s, horizon_ms=horizon_ms).writeStream.foreachBatch(sink), delay)
+    return base
+
+
 @query("stream_trailing_hour", TRAILING_SQL)
 def q_stream_trailing_hour(spark, d):
-    out = scratch_path(spark, "out")
-    _run_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
-                lambda s: trailing_hour_stream(s).writeStream.format("parquet").option("path", out))
-    return spark.read.parquet(out).filter(F.col("kind") == "arrival").select("event_id", "name", "count")
+    updates = split_updates(spark, _split_run(spark, d))
+    return updates.filter(F.col("kind") == "arrival").select("event_id", "name", "count")
 
 
 def _batches_run(spark: SparkSession, d: str, then=None) -> DataFrame:
@@ -161,10 +175,11 @@ def q_stream_trailing_hour_batches(spark, d):
 
 
 # the slices of _run_slices, stream time after each, and every name's count in the hour that ends there
-_CLOCK_SQL = f"""WITH b AS (SELECT event_id, event_type AS name, epoch_us(ts) AS us FROM events),
+def _clock_sql(now: str = "max(us)") -> str:
+    return f"""WITH b AS (SELECT event_id, event_type AS name, epoch_us(ts) AS us FROM events),
 s AS (SELECT min(us) AS lo, max(us) AS hi FROM b),
 r AS (SELECT b.*, (us - lo) * {SLICES} // (hi - lo + 1) AS batch FROM b, s),
-clock AS (SELECT batch, max(us) AS now, lag(max(us)) OVER (ORDER BY batch) AS before FROM r GROUP BY batch),
+clock AS (SELECT batch, {now} AS now, lag({now}) OVER (ORDER BY batch) AS before FROM r GROUP BY batch),
 closing AS (SELECT c.batch, c.now, r.name, count(*) FILTER (r.us > c.now - 3600000000) AS count,
     bool_or(r.us <= c.now - 3600000000 AND (r.batch = c.batch OR r.us > c.before - 3600000000)) AS gone
   FROM clock c JOIN r ON r.batch <= c.batch GROUP BY 1, 2, 3),
@@ -174,6 +189,9 @@ changelog AS (SELECT event_id, name, count(*) OVER (
 live AS (SELECT batch, name, count FROM closing WHERE count > 0
   QUALIFY row_number() OVER (PARTITION BY batch ORDER BY count DESC, name) <= 100)
 """
+
+
+_CLOCK_SQL = _clock_sql()
 _MESSAGE_SQL = """CAST(to_json(list(struct_pack(name := name, count := count) ORDER BY name)) AS VARCHAR) AS message,
   count(*) AS entries"""
 
@@ -183,6 +201,39 @@ def q_histogram_changelog(spark, d):
     return _batches_run(spark, d).select("event_id", "name", "count", "us", "kind")
 
 
+# the split-state stream keeps time in whole milliseconds, rounded up
+_MS_NOW = "((max(us) + 999) // 1000 * 1000)"
+
+
+@query("split_histogram_changelog", _clock_sql(_MS_NOW) + "SELECT event_id, name, count, us, kind FROM changelog")
+def q_split_histogram_changelog(spark, d):
+    return split_updates(spark, _split_run(spark, d)).select("event_id", "name", "count", "us", "kind")
+
+
+# every eleventh mention comes one or two slices late
+_DELAY = "CASE WHEN event_id % 11 = 0 THEN 1 + event_id % 2 ELSE 0 END"
+
+
+@query("late_rows", f"""WITH b AS (SELECT event_id, event_type AS name, epoch_us(ts) AS us FROM events),
+s AS (SELECT min(us) AS lo, max(us) AS hi FROM b),
+o AS (SELECT b.*, (us - lo) * {SLICES} // (hi - lo + 1) AS own FROM b, s),
+r AS (SELECT event_id, name, us, CASE WHEN own + {_DELAY} < {SLICES} THEN own + {_DELAY} ELSE own END AS batch FROM o),
+clock AS (SELECT k.batch, (SELECT {_MS_NOW} FROM r WHERE r.batch < k.batch) AS before FROM (SELECT DISTINCT batch FROM r) k),
+judged AS (SELECT r.*, before, coalesce(us <= before - 3600000000, false) AS late FROM r JOIN clock USING (batch))
+SELECT j.event_id, j.name, j.late, CASE WHEN j.late THEN before - us END AS lag_us,
+  CASE WHEN j.late THEN (SELECT count(*) FROM judged o WHERE o.name = j.name AND NOT o.late AND o.batch <= j.batch
+                         AND o.us > j.before - 3600000000 AND o.us <= j.before) END AS count
+FROM judged j""")
+def q_late_rows(spark, d):
+    """Every mention is counted or kept as late, with its lag and its name's count at that time."""
+    base = _split_run(spark, d, horizon_ms=400 * DAY_MS, delay=_DELAY)
+    updates = split_updates(spark, base).filter(F.col("event_id").isNotNull()).select("event_id", "name", "kind", "count")
+    lag = read_late(spark, base).select("event_id", "lag_us")
+    late = F.col("kind") == "late"
+    return updates.join(lag, "event_id", "left").select("event_id", "name", late.alias("late"), "lag_us",
+                                                        F.when(late, F.col("count")).alias("count"))
+
+
 @query("changelog_least", _CLOCK_SQL + "SELECT kind, min(count) AS least, count(*) AS updates FROM changelog GROUP BY kind")
 def q_changelog_least(spark, d):
     """No update of the histogram is below zero."""
@@ -264,3 +315,105 @@ def q_typed_view(spark, d):
     """P5: the contract columns of a table with others beside them, checked by name and type."""
     wide = mentions_from_events(D.table(spark, d, "events")).withColumn("extra", F.lit(1))
     return require_columns(wide, MENTION_SCHEMA).select("record_id", TM.micros(F.col("ts")).alias("ts_us"), "date", "topic")
+
+
+# ------------------------------------------------------------------ kept state and quarantine
+@query("quarantined_lines", O.with_(O.ARTICLES) + """SELECT record_key, CASE WHEN record_id % 7 = 0 THEN 'short'
+  WHEN record_id % 13 = 0 THEN 'long' WHEN record_id % 17 = 0 THEN 'key' WHEN record_id % 11 = 0 THEN 'date' END AS reason,
+  CASE WHEN record_id % 7 <> 0 AND record_id % 13 <> 0 AND record_id % 17 <> 0 AND record_id % 11 <> 0
+       THEN epoch_us(rec_ts) END AS ts_us
+FROM ank""")
+def q_quarantined_lines(spark, d):
+    """Lines cut short, with stray tabs, without key or with a bad date beside good ones; none is lost."""
+    a = D.articles(D.table(spark, d, "events"))
+    n = F.col("record_id")
+    key = D.article_key(a)
+    cols = {"gkgrecordid": F.when(n % 17 == 0, "").otherwise(key), "extras": key,
+            "date": F.when(n % 11 == 0, "2015021X").otherwise(F.date_format("rec_ts", "yyyyMMddHHmmss")),
+            "allNames": F.col("all_names")}
+    line = gkg_line(cols)
+    line = F.when(n % 7 == 0, F.concat_ws("\t", key, F.lit("20150218"))).when(n % 13 == 0, F.concat(line, F.lit("\t"))) \
+        .otherwise(line)
+    path, out = scratch_path(spark, "lines"), scratch_path(spark, "judged")
+    a.select(line.alias("value")).write.text(path)
+    good, bad = split_records(read_gkg_judged(spark, path), out)
+    fields = F.split("line", "\t")
+    where = F.when(F.col("reason") == "short", fields[0]).otherwise(fields[26])
+    return bad.select(where.alias("record_key"), "reason", F.lit(None).cast("bigint").alias("ts_us")).unionByName(
+        good.select(F.col("gkgrecordid").alias("record_key"), F.lit(None).cast("string").alias("reason"),
+                    TM.micros(F.col("date")).alias("ts_us")))
+
+
+@query("tiers_over_parquet", TIER_SQL)
+def q_tiers_over_parquet(spark, d):
+    """S3 over converted records: a tier reads its days' folders only."""
+    ev = D.table(spark, d, "events")
+    path = scratch_path(spark, "records")
+    convert_to_parquet(ev.select(F.col("event_id").cast("string").alias("gkgrecordid"),
+                                 F.col("ts").cast("timestamp").alias("date"), F.col("event_type").alias("allNames")), path)
+    parts = [read_gkg_parquet(spark, path, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("tier"), "n")
+             for t in TIER_NAMES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# phrases of the benchmark texts: what a topic may contain, or start or end with
+_PATTERNS_SQL = """w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '([A-Z][a-z]+)', 1)) AS word FROM benchmark),
+p AS (SELECT DISTINCT CASE length(word) % 4 WHEN 0 THEN 'contains' WHEN 1 THEN 'prefix' WHEN 2 THEN 'suffix' ELSE 'equals' END AS kind,
+  CASE WHEN length(word) % 4 = 3 THEN word WHEN length(word) % 4 = 2 THEN right(word, 4) WHEN length(word) % 4 = 1 THEN left(word, 4)
+       ELSE substr(word, 2, 4) END AS pattern FROM w WHERE length(word) >= 4)"""
+
+
+@query("topk_pattern_stoplist", O.with_(O.DOC_TOPICS, _PATTERNS_SQL, """bad AS (SELECT DISTINCT topic FROM
+  (SELECT DISTINCT topic FROM dt) t JOIN p ON CASE kind WHEN 'contains' THEN contains(topic, pattern)
+    WHEN 'prefix' THEN starts_with(topic, pattern) WHEN 'suffix' THEN suffix(topic, pattern) ELSE topic = pattern END)""",
+    "c AS (SELECT date, topic, count(*) AS count FROM dt WHERE topic NOT IN (SELECT topic FROM bad) GROUP BY 1, 2)")
+    + O.topk_select("c"))
+def q_topk_pattern_stoplist(spark, d):
+    """A stoplist of phrases, run over the distinct topics in one pass."""
+    bench = D.table(spark, d, "benchmark")
+    word = bench.select(F.explode(F.regexp_extract_all("text", F.lit("([A-Z][a-z]+)"), F.lit(1))).alias("word")) \
+        .filter(F.length("word") >= 4).distinct()
+    rest = F.length("word") % 4
+    kind = F.when(rest == 0, "contains").when(rest == 1, "prefix").when(rest == 2, "suffix").otherwise("equals")
+    pattern = (F.when(rest == 3, F.col("word")).when(rest == 2, F.right("word", F.lit(4)))
+               .when(rest == 1, F.left("word", F.lit(4))).otherwise(F.substring("word", 2, 4)))
+    return stoplist.daily_topk_without_patterns(D.document_topics(D.table(spark, d, "documents")),
+                                                word.select(pattern.alias("pattern"), kind.alias("kind")))
+
+
+SKETCH_DAYS = ("2024-01-08", "2024-01-21")
+
+
+@query("article_sketch_range", O.with_(O.ARTICLES, O.article_mentions()) + f"""SELECT topic, count(DISTINCT record_id) AS articles,
+  true AS near FROM am WHERE date BETWEEN DATE '{SKETCH_DAYS[0]}' AND DATE '{SKETCH_DAYS[1]}' GROUP BY topic""")
+def q_article_sketch_range(spark, d):
+    """A8 over a range of days from stored sketches, with the exact count beside it; ``near``: within three sigmas."""
+    m = mentions_from_gkg(D.gkg_records(D.articles(D.table(spark, d, "events"))))
+    path = scratch_path(spark, "sketches")
+    sketches.store_sketches(sketches.article_sketches(m), path)
+    kept = sketches.articles_between(spark, path, *SKETCH_DAYS).withColumnRenamed("articles", "estimate")
+    exact = m.filter(F.col("date").between(*[F.to_date(F.lit(x)) for x in SKETCH_DAYS])) \
+        .groupBy("topic").agg(F.count_distinct("record_id").alias("articles"))
+    off = F.abs(F.col("estimate") - F.col("articles"))
+    return exact.join(kept, "topic").select("topic", "articles", (off <= F.col("articles") * sketches.relative_error()).alias("near"))
+
+
+@query("incremental_topk", O.with_(O.ARTICLES, O.article_mentions(), O.counts_cte("am")) + O.topk_select("c"))
+def q_incremental_topk(spark, d):
+    """T1 over S8: the records come in four slices of time, each merged into the stored counts."""
+    records = D.gkg_records(D.articles(D.table(spark, d, "events"))).withColumn("_us", TM.micros(F.col("date")))
+    records = spark.read.parquet(_written(records, scratch_path(spark, "records")))
+    lo, hi = records.agg(F.min("_us"), F.max("_us")).first()
+    store = DailyTopk(scratch_path(spark, "daily"))
+    for k in range(SLICES):
+        mine = F.coalesce(F.expr(f"(_us - {lo or 0}L) * {SLICES} div {(hi or 0) - (lo or 0) + 1}L"), F.lit(0)) == k
+        store.update(spark, mentions_from_gkg(records.filter(mine).drop("_us")), k)
+    return store.top(spark, SLICES - 1)
+
+
+def _written(df: DataFrame, path: str) -> str:
+    df.write.parquet(path)
+    return path

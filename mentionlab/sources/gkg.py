@@ -12,6 +12,7 @@ For repeated scans convert the text once to Parquet (partitioned by day) and rea
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,19 +46,6 @@ def java_width(line: Column) -> Column:
     return F.size(F.split(F.regexp_replace(line, F.lit(TAB + "+$"), F.lit("")), TAB))
 
 
-def parse_text_lines(lines: DataFrame, value_col: str = "value",
-                     clean_bytes: bool = True) -> DataFrame:
-    """S2 on a frame of raw lines: ``(fields ARRAY<STRING>, width INT)``.
-
-    ``fields`` keeps every column (Spark's split keeps trailing empties);
-    ``width`` is the Java width used by the reference's filter ``row.length > 23``.
-    """
-    line = F.col(value_col)
-    if clean_bytes:
-        line = drop_undecodable(line)
-    return lines.select(F.split(line, TAB).alias("fields"), java_width(line).alias("width"))
-
-
 def has_field_from(fields: Column, index: int) -> Column:
     """``java_width > index`` without a regex: some field at ``index`` or later is non-empty."""
     tail = F.slice(fields, index + 1, F.greatest(F.size(fields) - F.lit(index), F.lit(0)))
@@ -209,5 +197,57 @@ def convert_to_parquet(records: DataFrame, path: str, mode: str = "errorifexists
      .write.mode(mode).partitionBy("day").parquet(path))
 
 
-def read_gkg_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def _first_day(spark: SparkSession, path: str) -> str | None:
+    """The earliest ``day=`` folder of converted records: a listing, no file is opened."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listing = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    names = [s.getPath().getName() for s in listing]
+    return min((n[len("day="):] for n in names if n.startswith("day=") and not n.startswith("day=__")), default=None)
+
+
+def _month_after(first: dt.date, months: int) -> dt.date:
+    n = first.year * 12 + first.month - 1 + months
+    return dt.date(n // 12, n % 12 + 1, 1)
+
+
+def tier_days(tier: str, start: dt.datetime) -> tuple[dt.date, dt.date] | None:
+    """First day of a tier and the first one after it; None: all days."""
+    span, day = _tier_span(tier), start.date()
+    if span == "segment":
+        return day, day + dt.timedelta(days=1)
+    if span == "month":
+        return day.replace(day=1), _month_after(day.replace(day=1), 1)
+    if span == "half":
+        return dt.date(day.year, 1, 1), dt.date(day.year, 7, 1)
+    if span == "year":
+        return dt.date(day.year, 1, 1), dt.date(day.year + 1, 1, 1)
+    return None
+
+
+def read_gkg_parquet(spark: SparkSession, path: str, tier: str | None = None, first_segment: str | None = None) -> DataFrame:
+    """Converted records, all or those of a tier (S3).
+
+    A tier is a span of the partition column, so other days' folders are not read.  Without
+    ``first_segment`` (``yyyyMMddHHmmss``) the first one comes from the earliest folder, of
+    which the time column alone is read.
+    """
+    records = spark.read.parquet(path)
+    if tier is None or _tier_span(tier) == "all":
+        return records if tier is None else records.filter(F.col("day").isNotNull())
+    if first_segment:
+        start = dt.datetime.strptime(first_segment, "%Y%m%d%H%M%S")
+    else:
+        day = _first_day(spark, path)
+        if day is None:
+            return records.filter(F.lit(False))
+        text = records.filter(F.col("day") == F.to_date(F.lit(day))).agg(
+            F.date_format(F.min("date"), GKG_DATE_FORMAT)).first()[0]
+        start = dt.datetime.strptime(text, "%Y%m%d%H%M%S")
+    low, high = tier_days(tier, start)
+    kept = records.filter((F.col("day") >= F.lit(low)) & (F.col("day") < F.lit(high)))
+    if _tier_span(tier) == "segment":
+        begin = start - dt.timedelta(minutes=start.minute % SEGMENT_MINUTES, seconds=start.second)
+        end = begin + dt.timedelta(minutes=SEGMENT_MINUTES)
+        edges = [F.to_timestamp(F.lit(t.strftime("%Y%m%d%H%M%S")), GKG_DATE_FORMAT) for t in (begin, end)]
+        kept = kept.filter((F.col("date") >= edges[0]) & (F.col("date") < edges[1]))
+    return kept
