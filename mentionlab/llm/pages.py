@@ -5,8 +5,8 @@ host are ordered by URL path, and each page is paired with its nearest one (the
 order with the longer common path prefix).  The lines of a pair are aligned by a longest common
 subsequence, and shared lines are deleted: what two different pages of a host have in common is
 their template.  Pages with the same lines are one in that order, so copies are not
-paired with each other; a pair that shares most of its text otherwise (near copies) says
-nothing about templates, and the neighbour on the other side is taken.
+paired with each other; a pair that shares ``NEAR_COPY`` of its text otherwise (near copies)
+says nothing about templates, and the neighbour on the other side is taken.
 
 What differencing cannot see is left to the markup.  Lines inside navigation, headers, footers,
 asides, forms and the like, or blocks whose class or id says advert, cookie, sidebar, comments
@@ -66,6 +66,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _RAW_END = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in RAW}
 
 ARTICLE, MAIN, OTHER, AROUND = 0, 1, 2, 3  # zones of a line
+NEAR_COPY = 0.85  # share of a page's text from which on the two of a pair are copies
 
 
 def _around(name: str, attrs: str, in_article: bool) -> bool:
@@ -313,7 +314,7 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in b.to_pylist():
             pairs = aligned(r["lines"], r["lines2"])
             same = sum(abs(r["sizes"][i]) for i, _ in pairs)
-            if 2 * same >= min(sum(map(abs, r["sizes"])), sum(map(abs, r["sizes2"]))):
+            if same >= NEAR_COPY * min(sum(map(abs, r["sizes"])), sum(map(abs, r["sizes2"]))):
                 continue  # near copies: what they share is no template
             near = _prefix(r["path"], r["path2"])
             out.rows.append((r["host"], r["sig"], near, 0, [i for i, _ in pairs if r["sizes"][i] > 0]))
