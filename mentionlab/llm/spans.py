@@ -1,26 +1,31 @@
-"""Substring deduplication over windows of words.
-
-Every window of ``min_words`` words has a hash (128 bits, lower case, white space folded; a
-character of a script without spaces counts as a word).  Of each ``REACH`` neighbouring
-windows the one with the least hash is an anchor, so two texts that share ``min_words + REACH
-- 1`` words share an anchor, at whatever word and whatever mark the passage starts or ends.
-Anchors are joined globally; around those at the ends of a passage all windows are hashed and
-joined in turn, which gives the passage to the word.  The first occurrence of a
-window is in the smallest document id, and there at the smallest position; words that a later
-occurrence covers are removed.  Shared passages under that length, down to ``min_words``
-words, are found if they hold an anchor.
-
-A text is shown in pieces, which end at a final mark, a comma, semicolon or colon or at a line
-break.  A piece whose words are all covered goes whole; of another one go the covered
-stretches of at least ``EDGE`` words, so that no sentence is cut for a few words.
-
-Only (hash, id) rows are aggregated, with map-side combine; the repeated hashes are written
-and joined back, so that a passage of a third of all documents is a skewed join which AQE
-can split.  A document's text stays one row.
+"""Operator 9: substring deduplication over sliding spans of sentences.
+
+A text is a sequence of sentences, which end at a final mark or a line break.  A sentence of
+more than ``SHORT`` words is shown in pieces, cut at content-defined points: after a word whose hash
+is the least among its neighbours within the sentence, and after ``LONGEST`` words at the latest.  So
+passages that start or end inside a sentence have the same pieces from a few words on.
+
+Every span of several consecutive pieces (at least two) and ``MIN_WORDS`` words that cannot be
+shorter, from each piece on and up to each piece, has a hash (128 bits, lower case, white space
+folded; a character of a script without spaces counts as a word).  Hashes are joined globally.  The
+first document of a span is the one with the smallest id; a piece is covered if a span over it has its
+first document elsewhere.  As any longer span that repeats is covered end to end by these shortest
+ones, a piece is covered exactly if any span of pieces over it, however long, stands in a smaller
+document.
+
+Neighbouring covered pieces are one passage.  A passage goes if it holds ``MIN_SENTENCES`` whole
+sentences or has ``FLOOR`` words: all its whole sentences, and of a sentence that it covers in
+part the pieces if they have ``EDGE`` words (so that no sentence is cut for a few words).
+
+Spans from each piece on are hashed for all texts, and of these only (id, hash) travels: it tells the
+documents that share anything.  Only those are read again, for the spans up to each piece and the
+places of all.  Counting hashes combines on the map side; the repeated ones are written and joined
+back, so a passage of a third of all documents is a skewed join that AQE can split.  Only
+texts that lose something are cut; the others pass as they are.
 
 Defined cases: null and empty texts have no sentences and become empty; rows of one id are
 one document and lose the same sentences; null ids come after all others and count as one
-document; repeated spans inside one document lose all but the first.
+document; what repeats inside one document only is not removed.
 """
 
 from __future__ import annotations
@@ -31,136 +36,147 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionlab.llm.common import bounded_broadcast, null_safe, written
 
+MIN_WORDS = 20
+MIN_PIECES = 2
 MIN_SENTENCES = 3
-MIN_WORDS = 36
-REACH = 15
-EDGE = 8
+FLOOR = 40
+EDGE = 12
+SHORT = 12
+REACH = 3
+LONGEST = 16
+FEW = 500_000  # ids that are broadcast, a few MB; more go through a shuffle join
 _LAST = (1 << 63) - 1
 _TOKENS = 1 << 18
-# a sentence ends before white space that follows its mark, at a line break, or at a full-width mark
-_BREAK = re.compile(r"((?<=[.!?…。！？,;:，；：])\s+|\s*\n\s*|(?<=[。！？，；：])(?!\s|\Z))")
+_ENDS = frozenset(".!?…。！？")
+_CLOSERS = "\"')]}»”’」』"
 # characters of scripts without spaces, and full-width marks
-_NO_SPACES = ("฀-໿က-႟ក-៿、-ヿ㐀-䶿一-鿿豈-﫿"
+_NO_SPACES = ("฀-໿က-႟ក-៿、-ヿ㐀-䶿一-鿿豈-﫿"
               "！-／：-＠\U00020000-\U0003ffff")
 _ALONE = re.compile(f"[{_NO_SPACES}]")
 _TOKEN = re.compile(rf"[{_NO_SPACES}]|[^\s{_NO_SPACES}]+")
 
 
-def sentences(text: str | None) -> list[str]:
-    """Sentences and the separators between them, alternating."""
-    return _BREAK.split(text) if text else []
-
-
-def runs(parts: list[str], min_sentences: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(first, last, hash) of the shortest spans of whole sentences from each sentence on and up
-    to each sentence, in numbers of sentences: the plain form, which the tests hold against the
-    windows of words."""
-    words = [s.lower().split() for s in parts[::2]]
-    # an empty sentence (a leading break) takes no part
-    place = [i for i, w in enumerate(words) if w]
-    upto = np.cumsum([0] + [len(words[i]) for i in place]).tolist()
-    marks = [xxhash.xxh3_128_digest(" ".join(words[i])) for i in place]
-    enough = lambda a, b: b - a >= min_sentences and upto[b] - upto[a] >= min_words
-    found, end, start = set(), 0, 0
-    for a in range(len(place)):
-        while end < len(place) and not enough(a, end):
-            end += 1
-        if enough(a, end):
-            found.add((a, end))
-    for b in range(len(place) + 1):
-        while enough(start + 1, b):
-            start += 1
-        if enough(start, b):
-            found.add((start, b))
-    return [(place[a], place[b - 1], xxhash.xxh3_128_digest(b"".join(marks[a:b]))) for a, b in sorted(found)]
-
-
-def tokens(text: str | None) -> list[str]:
-    """Words in lower case; ``_TOKEN`` finds as many in the text itself."""
-    if not text:
-        return []
-    return (text if text.isascii() else _ALONE.sub(r" \g<0> ", text)).lower().split()
+def ends_sentence(word: str) -> bool:
+    """Whether a word's last character is a final mark, closing quotes and brackets aside."""
+    return word[-1] in _ENDS or (word[-1] in _CLOSERS and word.rstrip(_CLOSERS)[-1:] in _ENDS)
 
 
 class _Hashes(dict):
+    """Word -> 64 bits, of which the lowest says whether a sentence ends."""
+
     def __missing__(self, word: str) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1 << 1 | ends_sentence(word)
+        self[word] = value
         return value
 
 
-def _polynomial(h: np.ndarray, base: int, k: int) -> np.ndarray:
-    """The sum of h[i + j] * base ** j over j < k for every i, mixed, in log k steps."""
-    power = lambda n: np.uint64(pow(base, n, 1 << 64))
-    total, done, block, m = None, 0, h, 1
-    while True:
-        if k & m:
-            total = block if total is None else total[:len(h) - done - m + 1] + power(done) * block[done:]
-            done += m
-        if done == k:
-            break
-        block = block[:-m] + power(m) * block[m:]
-        m *= 2
-    total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return total ^ (total >> np.uint64(32))
-
-
-class Windows:
-    """The windows of k words of some texts, laid end to end."""
-
-    def __init__(self, words: list[list[str]], k: int, hashes: _Hashes):
-        lengths = np.array([len(w) for w in words], np.int64)
-        self.begins = np.cumsum(lengths) - lengths
-        self.counts = np.maximum(lengths - k + 1, 0)
-        h = np.fromiter((hashes[x] for w in words for x in w), np.uint64, int(lengths.sum()))
-        enough = len(h) >= k
-        self.h1 = _polynomial(h, 0x9E3779B97F4A7C15, k) if enough else np.zeros(0, np.uint64)
-        self.h2 = _polynomial(h, 0xC2B2AE3D27D4EB4F, k) if enough else np.zeros(0, np.uint64)
-        self.room = (np.repeat(self.begins + self.counts, lengths) - np.arange(len(h)))[:len(self.h1)]
-
-    def anchors(self) -> np.ndarray:
-        """The last of the least among each REACH windows, or among all of a shorter text."""
-        h, found = self.h1, [np.zeros(0, np.int64)]
-        if len(h) >= REACH:
-            view = np.lib.stride_tricks.sliding_window_view(h, REACH)
-            at = np.flatnonzero(self.room[:len(view)] >= REACH)
-            for low in range(0, len(at), 1 << 16):
-                some = at[low:low + (1 << 16)]
-                found.append(some + REACH - 1 - np.argmin(view[some, ::-1], axis=1))
-        for i in np.flatnonzero((self.counts > 0) & (self.counts < REACH)):
-            b, n = self.begins[i], self.counts[i]
-            found.append(np.array([b + n - 1 - np.argmin(h[b:b + n][::-1])]))
-        return np.unique(np.concatenate(found))
-
-    def near(self, places: list[np.ndarray]) -> np.ndarray:
-        """All windows less than REACH from the given ones of each text."""
-        span = np.arange(1 - REACH, REACH)
-        found = [np.zeros(0, np.int64)]
-        for b, n, p in zip(self.begins, self.counts, places, strict=True):
-            at = np.unique((np.asarray(p, np.int64)[:, None] + span).ravel())
-            found.append(b + at[(at >= 0) & (at < n)])
-        return np.concatenate(found)
-
-    def again(self, i: int, k: int) -> np.ndarray:
-        """Windows of a text that stand in it before, and don't overlap that first one."""
-        h = self.h1[self.begins[i]:self.begins[i] + self.counts[i]]
-        values, first, which = np.unique(h, return_index=True, return_inverse=True)
-        if len(values) == len(h):
-            return np.zeros(0, np.int64)
-        return np.flatnonzero(np.arange(len(h)) - first[which] >= k)
+def line_words(text: str | None) -> list[list[str]]:
+    """The words of every line, in lower case; ``_TOKEN`` finds as many in the text itself."""
+    if not text:
+        return []
+    return [line.split() for line in (text if text.isascii() else _ALONE.sub(r" \g<0> ", text)).lower().split("\n")]
+
+
+_U = np.uint64
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def _mixed(h: np.ndarray, odd: int) -> np.ndarray:
+    h = (h ^ (h >> _U(32))) * _U(odd)
+    return h ^ (h >> _U(29))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, _U)
+    if n:
+        out[0] = 1
+    return np.cumprod(out, dtype=_U)
+
 
+class Spans:
+    """Pieces and shortest spans of some texts, laid end to end."""
 
-def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+    def __init__(self, texts: list[list[list[str]]], hashes: _Hashes):
+        lines = np.array([len(line) for text in texts for line in text], np.int64)
+        in_text = np.array([sum(map(len, text)) for text in texts], np.int64)
+        self.begins = np.cumsum(in_text) - in_text
+        n = int(in_text.sum())
+        self.hashes = h = np.fromiter((hashes[w] for text in texts for line in text for w in line), _U, n)
+        end = (h & _U(1)).astype(bool)
+        end[np.cumsum(lines)[lines > 0] - 1] = True
+        self.ends = end
+        bound = self._bounds(h, end)
+        self.starts = np.concatenate(([0], bound[:-1] + 1)) if n else np.zeros(0, np.int64)
+        self.edges = np.append(self.starts, n)  # first word of every piece, and the end
+        self.text_of = np.searchsorted(self.begins, self.starts, "right") - 1
+
+    @staticmethod
+    def _bounds(h: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Last word of every piece."""
+        if not len(h):
+            return np.zeros(0, np.int64)
+        sentence = np.cumsum(end) - end
+        cut = (np.bincount(sentence)[sentence] > SHORT) & ~end
+        g = _mixed(h, 0xD6E8FEB86659FD93)
+        for k in range(1, REACH + 1):
+            apart = sentence[:-k] != sentence[k:]
+            cut[:-k] &= apart | (g[:-k] < g[k:])
+            cut[k:] &= apart | (g[k:] < g[:-k])
+        cut |= end
+        at = np.flatnonzero(cut)
+        before = np.concatenate(([-1], at[:-1]))
+        far = np.flatnonzero(at - before > LONGEST)
+        if len(far):
+            cut[np.concatenate([np.arange(before[i] + LONGEST, at[i], LONGEST) for i in far])] = True
+            at = np.flatnonzero(cut)
+        return at
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces from a up to b, and whether it is the shortest from a on (else only up to b)."""
+        count = len(self.starts)
+        if count < MIN_PIECES:
+            none = np.zeros(0, np.int64)
+            return none, none, none.astype(bool)
+        a = np.arange(count)
+        b = np.maximum(a + MIN_PIECES, np.searchsorted(self.edges, self.starts + MIN_WORDS))
+        fits = b <= count
+        a, b = a[fits], b[fits]
+        fits = self.text_of[b - 1] == self.text_of[a]
+        a, b = a[fits], b[fits]
+        till = np.arange(1, count + 1)
+        since = np.minimum(till - MIN_PIECES, np.searchsorted(self.edges, self.edges[1:] - MIN_WORDS, "right") - 1)
+        fits = since >= 0
+        since, till = since[fits], till[fits]
+        fits = self.text_of[till - 1] == self.text_of[since]
+        since, till = since[fits], till[fits]
+        new = ~np.isin(since * (count + 1) + till, a * (count + 1) + b)
+        first = np.concatenate((np.ones(len(a), bool), np.zeros(int(new.sum()), bool)))
+        return np.concatenate((a, since[new])), np.concatenate((b, till[new])), first
+
+    def hash(self, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+        """Two 64-bit hashes of the pieces of each span: polynomials in odd bases, from prefix sums."""
+        low, high, out = self.edges[a], self.edges[b], []
+        words = self.hashes.copy()
+        words[self.edges[1:] - 1] ^= _U(0xA0761D6478BD642F)  # where pieces end
+        for base, odd in zip(_BASES, (0xD6E8FEB86659FD93, 0xA0761D6478BD642F), strict=True):
+            total = np.concatenate((np.zeros(1, _U), np.cumsum(words * _powers(base, len(words)), dtype=_U)))
+            back = _powers(pow(base, -1, 1 << 64), len(words) + 1)
+            out.append(_mixed((total[high] - total[low]) * back[low] + (high - low).astype(_U), odd))
+        return out
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, list[list[list[str]]]]]:
     """Slices of some _TOKENS words, or of one long text, with their words."""
     for batch in batches:
         low, words, size = 0, [], 0
         for n, text in enumerate(batch.column(text_at)):
-            words.append(tokens(text.as_py()))
-            size += len(words[-1])
+            words.append(line_words(text.as_py()))
+            size += sum(map(len, words[-1]))
             if size >= _TOKENS:
                 yield batch.slice(low, n + 1 - low), words
                 low, words, size = n + 1, [], 0
@@ -168,123 +184,144 @@ def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[p
             yield batch.slice(low), words
 
 
-_MARKS = "id bigint, text_hash bigint, place int, h1 bigint, h2 bigint"
+def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, hash) of the shortest span from each piece on of (id, text_hash, text) rows."""
+    hashes = _Hashes()
+    for part, words in _chunks(batches, 2):
+        if len(hashes) > 1 << 20:
+            hashes.clear()
+        s = Spans(words, hashes)
+        a, b, first = s.spans()
+        a, b = a[first], b[first]
+        h1, _ = s.hash(a, b)
+        row = s.text_of[a] if len(a) else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(h1.view(np.int64))], names=["id", "h"])
+
+
+_SPANS = "id bigint, text_hash bigint, a int, b int, h1 bigint, h2 bigint"
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of (id, text_hash, text) rows."""
+    hashes = _Hashes()
+    for part, words in _chunks(batches, 2):
+        if len(hashes) > 1 << 20:
+            hashes.clear()
+        s = Spans(words, hashes)
+        a, b, _ = s.spans()
+        h1, h2 = s.hash(a, b)
+        row = s.text_of[a] if len(a) else np.zeros(0, np.int64)
+        offset = np.searchsorted(s.starts, s.begins)[row] if len(a) else row  # the text's first piece
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
+             pa.array((a - offset).astype(np.int32)), pa.array((b - offset).astype(np.int32)),
+             pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["id", "text_hash", "a", "b", "h1", "h2"])
+
+
+def without(text: str, spans: list[dict], hashes: _Hashes, floor: int = FLOOR) -> tuple[str, int, int]:
+    """(what stays, sentences that lose words, words removed) of a text with repeated spans."""
+    s = Spans([line_words(text)], hashes)
+    step = np.zeros(len(s.starts) + 1, np.int64)
+    for one in spans:
+        step[one["a"]] += 1
+        step[one["b"]] -= 1
+    covered = np.cumsum(step)[:-1] > 0
+    sizes = np.diff(s.edges)
+    sentence = (np.cumsum(s.ends) - s.ends)[s.starts]
+    whole = np.bincount(sentence)
+    turns = np.flatnonzero(np.diff(np.concatenate(([0], covered, [0])).astype(np.int8))).reshape(-1, 2)
+    gone = np.zeros(len(covered), bool)
+    for low, high in turns.tolist():  # a passage
+        held = np.bincount(sentence[low:high], minlength=len(whole))
+        full = (held == whole) & (held > 0)
+        if full.sum() < MIN_SENTENCES and sizes[low:high].sum() < floor:
+            continue
+        part = np.bincount(sentence[low:high], weights=sizes[low:high], minlength=len(whole))
+        gone[low:high] = (full | (part >= EDGE))[sentence[low:high]]
+    if not gone.any():
+        return text, 0, 0
+    spots = [m.start() for m in _TOKEN.finditer(text)]
+    cuts = [spots[i] for i in s.starts] + [len(text)]
+    kept = text[:cuts[0]] + "".join(text[cuts[i]:cuts[i + 1]] for i in np.flatnonzero(~gone))
+    return kept.strip(), len(np.unique(sentence[gone])), int(sizes[gone].sum())
 
 
-def _marks(min_words: int):
-    """(id, text_hash, place, h1, h2) of the anchors of (id, text_hash, text) rows; with a
-    fourth column, places, of the windows near those."""
+def _cut(floor: int):
+    """Texts without their passages; rows that have none pass as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for part, words in _chunks(batches, 2):
-            if len(hashes) > 1 << 20:
-                hashes.clear()
-            windows = Windows(words, min_words, hashes)
-            at = windows.near(part.column(3).to_pylist()) if part.num_columns > 3 else windows.anchors()
-            row = np.searchsorted(windows.begins, at, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
-                 pa.array((at - windows.begins[row]).astype(np.int32)), pa.array(windows.h1[at].view(np.int64)),
-                 pa.array(windows.h2[at].view(np.int64))], names=["id", "text_hash", "place", "h1", "h2"])
-
-    return run
-
-
-def without(text: str | None, gone: np.ndarray) -> tuple[str, int, int, int]:
-    """(what stays, sentences, sentences that lose words, words removed); ``gone`` says of every
-    word whether it is covered."""
-    parts = sentences(text)
-    whole = sum(1 for s in parts[::2] if s.strip())
-    if not gone.any():
-        return text or "", whole, 0, 0
-    kept, low, lost, removed = [], 0, 0, 0
-    for i, s in enumerate(parts[::2]):
-        spots = [m.span() for m in _TOKEN.finditer(s)]
-        mine = gone[low:low + len(spots)]
-        low += len(spots)
-        if spots and mine.all():
-            lost, removed = lost + 1, removed + len(spots)
-            continue
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], mine, [0])).astype(np.int8)))
-        stretches = [(a, b) for a, b in edges.reshape(-1, 2).tolist() if b - a >= EDGE]
-        at = 0
-        for a, b in stretches:
-            kept.append(s[at:spots[a][0]])
-            at = spots[b][0] if b < len(spots) else len(s)
-            removed += b - a
-        lost += bool(stretches)
-        kept.append(s[at:] + (parts[2 * i + 1] if 2 * i + 1 < len(parts) else ""))
-    if not removed:
-        return text, whole, 0, 0
-    return "".join(kept).strip(), whole, lost, removed
-
-
-def _cut(min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, n = _Hashes(), None
-        for part, words in _chunks(batches, -2):
-            if len(hashes) > 1 << 20:
-                hashes.clear()
+        for part in batches:
             n = part.num_columns
-            windows = Windows(words, min_words, hashes)
-            rows, ids, owners = [], part.column(n - 4).to_pylist(), part.column(n - 3).to_pylist()
-            for i, (text, places) in enumerate(zip(part.column(n - 2).to_pylist(), part.column(n - 1).to_pylist(), strict=True)):
-                again = windows.again(i, min_words)
-                step = np.zeros(len(words[i]) + 1, np.int32)
-                for starts in (np.asarray(places or (), np.int64), again):
-                    np.add.at(step, starts, 1)
-                    np.add.at(step, starts + min_words, -1)
-                rows.append(without(text, np.cumsum(step)[:-1] > 0))
-                own = set(owners[i] or ()) | ({ids[i]} if len(again) else set())
-                owners[i] = sorted(own) if rows[-1][3] else []
-            text, whole, lost, removed = zip(*rows, strict=True)
+            texts, found = part.column(n - 2), part.column(n - 1)
+            at = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            owners = part.column(n - 3)
+            lost, removed = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            keep_owner = np.zeros(len(part), bool)
+            cut = []
+            for i in at.tolist():
+                if len(hashes) > 1 << 20:
+                    hashes.clear()
+                text, lost[i], removed[i] = without(texts[i].as_py(), found[i].as_py(), hashes, floor)
+                keep_owner[i] = removed[i] > 0
+                cut.append(text)
+            if len(at):
+                mask = np.zeros(len(part), bool)
+                mask[at] = True
+                texts = pa.compute.replace_with_mask(texts, pa.array(mask), pa.array(cut, texts.type))
+            none = pa.scalar([], owners.type)
+            owners = pa.compute.if_else(pa.array(keep_owner), owners, none)
+            texts = pa.compute.fill_null(texts, "")
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-4], pa.array(owners, pa.list_(pa.int64())), pa.array(text, pa.string()),
-                 pa.array(whole, pa.int64()), pa.array(lost, pa.int64()), pa.array(removed, pa.int64())],
-                names=[*part.schema.names[:-4], "owners", "_text", "_whole", "_lost", "_words"])
+                [*part.columns[:-3], owners, texts, pa.array(lost), pa.array(removed)],
+                names=[*part.schema.names[:-3], "owners", "_text", "_lost", "_words"])
 
     return run
 
 
-def _repeated(marks: DataFrame, name: str) -> DataFrame:
-    """(h1, h2, owner) of the hashes that several documents hold."""
-    return written(marks.groupBy("h1", "h2").agg(F.min("id").alias("owner"), F.max("id").alias("top"))
-                   .filter("owner <> top").select("h1", "h2", "owner"), name)
-
-
-def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated spans taken out of ``text_col`` and the columns n_sentences,
-    n_removed (sentences that lose words), words_removed and repeats_of (the ids that keep
-    them) added or replaced."""
-    ident = [F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.xxhash64(text_col).alias("text_hash")]
-    texts = docs.select(*ident, F.col(text_col).alias("text"))
-    anchors = texts.mapInArrow(_marks(min_words), _MARKS)
-    seen = written(anchors.join(_repeated(anchors, "repeated_anchors"), ["h1", "h2"]), "seen_anchors")
-    copies = seen.filter("id > owner")
-    # anchors of one passage are at most REACH words apart: only at its ends are words still open
-    order = Window.partitionBy("id", "text_hash").orderBy("place")
-    far = lambda other: F.coalesce(F.abs(F.col("place") - other) > REACH, F.lit(True))
-    ends = (copies.withColumn("end", far(F.lag("place").over(order)) | far(F.lead("place").over(order)))
-            .filter("end").select("h1", "h2").distinct())
-    around = written(seen.join(ends, ["h1", "h2"], "left_semi").groupBy("id", "text_hash")
-                     .agg(F.collect_set("place").alias("places")), "passage_ends")
-    holders = bounded_broadcast(written(around.select("id").distinct(), "passage_ids"))
-    near = written(texts.join(holders, "id", "left_semi").join(around, ["id", "text_hash"])
-                   .select("id", "text_hash", "text", "places").mapInArrow(_marks(min_words), _MARKS), "near_anchors")
-    found = near.join(_repeated(near, "repeated_spans"), ["h1", "h2"]).filter("id > owner").unionByName(copies)
-    # an anchor may have an owner of its own and, as one of the windows near it, a smaller one
-    found = (found.select("id", "text_hash", "place", "owner").repartition("id", "text_hash")
-             .groupBy("id", "text_hash", "place").agg(F.min("owner").alias("owner")))
-    covered = found.groupBy("id", "text_hash").agg(F.collect_set("place").alias("covered"),
-                                                   F.collect_set("owner").alias("owners"))
-    added = ("n_sentences", "n_removed", "words_removed", "repeats_of")
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, text_hash, a, b, owner)``: spans of pieces a to b whose first document is the smaller ``owner``."""
+    texts = docs.select(*_ident(id_col, text_col), F.col(text_col).alias("text"))
+    first = written(texts.mapInArrow(_first, "id bigint, h bigint"), "first_spans")
+    # 64 bits suffice to leave out what is unique; owners go by all 128
+    several = written(first.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("top"))
+                      .filter("low <> top").select("h"), "repeated_hashes")
+    holders = written(first.join(several, "h", "left_semi").select("id").distinct(), "holders")
+    spans = written(texts.join(bounded_broadcast(holders), "id", "left_semi").mapInArrow(_mark, _SPANS), "spans")
+    owners = written(spans.groupBy("h1", "h2").agg(F.min("id").alias("owner"), F.max("id").alias("top"))
+                     .filter("owner <> top").select("h1", "h2", "owner"), "span_owners")
+    return spans.join(owners, ["h1", "h2"]).filter("id > owner").select("id", "text_hash", "a", "b", "owner")
+
+
+def _ident(id_col: str, text_col: str):
+    return [F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.xxhash64(text_col).alias("text_hash")]
+
+
+def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", floor: int = FLOOR) -> DataFrame:
+    """``docs`` with repeated passages taken out of ``text_col`` and the columns n_removed
+    (sentences that lose words), words_removed and repeats_of (the ids that keep them) added or
+    replaced."""
+    found = repeated_spans(docs, id_col, text_col)
+    covered = written(found.groupBy("id", "text_hash").agg(
+        F.collect_set(F.struct("a", "b")).alias("spans"), F.sort_array(F.collect_set("owner")).alias("owners")), "covered")
+    added = ("n_removed", "words_removed", "repeats_of")
     names = [c for c in docs.columns if c.lower() not in added]
     rest = [c for c in names if c != text_col]
-    base = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)], F.col(text_col).alias("t"), *ident)
-    joined = base.join(covered, null_safe(base, covered, ["id", "text_hash"]), "left").select(
-        *[f"c{i}" for i in range(len(rest))], base["id"].alias("_id"), "owners", F.col("t").alias("_text"), "covered")
+    base = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)], F.col(text_col).alias("t"),
+                       *_ident(id_col, text_col))
+    kept = [f"c{i}" for i in range(len(rest))]
+    ids = written(covered.select("id").distinct(), "covered_ids")
+    few = ids.count() <= FEW
+    # where a broadcast can tell which texts lose something, the others aren't shuffled
+    some = base.join(F.broadcast(ids), "id", "left_semi") if few else base
+    joined = some.join(covered, null_safe(some, covered, ["id", "text_hash"]), "left").select(
+        *kept, "owners", F.col("t").alias("_text"), "spans")
     ddl = "".join(f"c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(rest))
-    cut = joined.mapInArrow(_cut(min_words), ddl + "owners array<bigint>, _text string, _whole bigint, _lost bigint, _words bigint")
+    cut = joined.mapInArrow(_cut(floor), ddl + "owners array<bigint>, _text string, _lost bigint, _words bigint")
+    if few:
+        zero = F.lit(0).cast("bigint")
+        cut = cut.unionByName(base.join(F.broadcast(ids), "id", "left_anti").select(
+            *kept, F.array().cast("array<bigint>").alias("owners"), F.coalesce("t", F.lit("")).alias("_text"),
+            zero.alias("_lost"), zero.alias("_words")))
     back = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(rest)} | {text_col: F.col("_text").alias(text_col)}
-    return cut.select(*[back[c] for c in names], F.col("_whole").alias("n_sentences"), F.col("_lost").alias("n_removed"),
+    return cut.select(*[back[c] for c in names], F.col("_lost").alias("n_removed"),
                       F.col("_words").alias("words_removed"), F.col("owners").alias("repeats_of"))

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -394,104 +395,174 @@ def test_decontaminate_equals_brute_force(spark, shard_bytes):
 # ---------------------------------------------------------------- spans
 
 
-def brute_spans(texts, min_sentences=spans.MIN_SENTENCES, min_words=spans.MIN_WORDS):
+def brute_pieces(text):
+    """(words, number of the sentence) of every piece, written plainly."""
+    word_hash, out, number = spans._Hashes(), [], 0
+    for line in (text or "").split("\n"):
+        sentence = []
+        words = line.lower().split()
+        for i, w in enumerate(words):
+            sentence.append(w)
+            if re.search(r"[.!?…。！？][\"')\]}»”’」』]*$", w) or i == len(words) - 1:
+                rank = [int(spans._mixed(np.array([word_hash[x]], np.uint64), 0xD6E8FEB86659FD93)[0]) for x in sentence]
+                piece = []
+                for j, x in enumerate(sentence):
+                    piece.append(x)
+                    near = [rank[k] for k in range(max(0, j - spans.REACH), min(len(rank), j + spans.REACH + 1)) if k != j]
+                    cut = len(sentence) > spans.SHORT and all(rank[j] < k for k in near)
+                    if cut or j == len(sentence) - 1 or len(piece) == spans.LONGEST:
+                        out.append((piece, number))
+                        piece = []
+                number += 1
+                sentence = []
+    return out
+
+
+def brute_spans(texts):
+    """{place in texts: (kept words, sentences that lose words, words removed)}, every run of pieces tried."""
     order = lambda i: (i is None, i or 0)
-    seen, found = {}, []
-    for i, t in texts:
-        found.append((i, spans.runs(spans.sentences(t), min_sentences, min_words)))
-        for a, b, mark in found[-1][1]:
-            seen.setdefault(mark, []).append((order(i), a))
-    out = {}
-    for i, rs in found:
-        first = {}
-        for a, b, mark in rs:
-            if min(seen[mark])[0] != order(i) or mark in first:
-                out.setdefault(i, set()).update(range(a, b + 1))
-            first.setdefault(mark, a)
+    pieces, first = [brute_pieces(t) for _, t in texts], {}
+
+    def runs(p):
+        for a in range(len(p)):
+            for b in range(a + 1, len(p)):
+                run = tuple(tuple(words) for words, _ in p[a:b + 1])
+                if sum(map(len, run)) >= spans.MIN_WORDS:
+                    yield a, b, run
+
+    for (i, _), p in zip(texts, pieces, strict=True):
+        for _, _, words in runs(p):
+            first[words] = min(first.get(words, order(i)), order(i))
+    out = []
+    for (i, _), p in zip(texts, pieces, strict=True):
+        covered = set()
+        for a, b, words in runs(p):
+            if first[words] < order(i):
+                covered.update(range(a, b + 1))
+        gone, at = set(), 0
+        while at < len(p):
+            end = at
+            while end in covered:
+                end += 1
+            inside = range(at, end)
+            by_sentence = {n: [k for k in range(len(p)) if p[k][1] == n] for n in {p[k][1] for k in inside}}
+            full = {n for n, ks in by_sentence.items() if all(k in inside for k in ks)}
+            if len(full) >= spans.MIN_SENTENCES or sum(len(p[k][0]) for k in inside) >= spans.FLOOR:
+                for n, ks in by_sentence.items():
+                    mine = [k for k in ks if k in inside]
+                    if n in full or sum(len(p[k][0]) for k in mine) >= spans.EDGE:
+                        gone.update(mine)
+            at = max(end, at + 1)
+        out.append(([w for k, (ws, _) in enumerate(p) if k not in gone for w in ws], len({p[k][1] for k in gone}),
+                    sum(len(p[k][0]) for k in gone)))
     return out
 
 
-def test_span_dedup_equals_brute_force(spark):
-    r = random.Random(6)
-    sentence = lambda: prose(r, r.randint(3, 14)).capitalize() + "."
-    passages = [[sentence() for _ in range(8)] for _ in range(3)]
+def span_texts(seed):
+    r = random.Random(seed)
+    sentence = lambda: prose(r, r.choice([2, 4, 7, 9, 11, 14, 22])).capitalize() + r.choice([".", "!", '."', ""])
+    passages = [[sentence() for _ in range(r.randint(3, 8))] for _ in range(4)]
+    long = prose(r, 120).split()
     texts = []
-    for i in range(50):
-        parts = [sentence() for _ in range(r.randint(0, 12))]
-        if r.random() < 0.6:
-            at = r.randint(0, len(parts))
-            parts[at:at] = [p.upper() if r.random() < 0.3 else p for p in r.choice(passages)]
+    for i in range(60):
+        parts = [sentence() for _ in range(r.randint(0, 8))]
+        kind = r.random()
+        if kind < 0.5:  # whole sentences
+            at, p = r.randint(0, len(parts)), r.choice(passages)
+            low = r.randint(0, len(p) - 1)
+            parts[at:at] = [x.upper() if r.random() < 0.3 else x for x in p[low:]]
+        elif kind < 0.8:  # any words of a passage, inside a sentence
+            low = r.randint(0, 60)
+            parts.insert(r.randint(0, len(parts)), " ".join([prose(r, r.randint(1, 6)), *long[low:low + r.randint(15, 60)], prose(r, 3)]) + ".")
         texts.append((i + 200, r.choice([" ", "\n", "  \n "]).join(parts)))
-    texts += [*ODD, (290, " ".join(passages[0] * 3)), (None, " ".join(passages[1]))]
+    r.shuffle(texts)
+    return texts + [*ODD, (290, " ".join(passages[0] * 3)), (None, " ".join(passages[1])), (None, " ".join(passages[1]))]
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_span_dedup_equals_brute_force(spark, seed):
+    texts = span_texts(seed)
     rows = spans.span_dedup(docs(spark, texts)).collect()
-    want = brute_spans(texts)
-    for x in rows:
-        if x.doc_id is None or x.doc_id == 4:
-            continue
-        t = dict(texts)[x.doc_id]
-        kept = [s for n, s in enumerate(spans.sentences(t)[::2]) if s.strip() and n not in want.get(x.doc_id, set())]
-        assert [s for s in spans.sentences(x.text)[::2] if s.strip()] == kept
-        assert (x.n_removed > 0) == bool(want.get(x.doc_id))
-        assert bool(x.repeats_of) == bool(want.get(x.doc_id))
     assert len(rows) == len(texts)
-    # every passage that stands in several documents is left in one only
-    left = [" ".join(x.text.lower().split()) for x in rows]
-    for p in passages:
-        assert sum(" ".join(" ".join(p).lower().split()) in t for t in left) == 1
+    got = sorted(((x.doc_id, x.text.lower().split(), x.n_removed, x.words_removed) for x in rows), key=repr)
+    want = sorted(((i, *w) for (i, _), w in zip(texts, brute_spans(texts), strict=True)), key=repr)
+    assert got == want
+    original = dict(texts)
+    for x in rows:
+        assert bool(x.repeats_of) == (x.n_removed > 0) and all(o != x.doc_id for o in x.repeats_of)
+        if not x.n_removed and x.doc_id is not None:
+            assert x.text == (original[x.doc_id] or "")
     assert spans.span_dedup(docs(spark, [])).collect() == []
 
 
-def test_span_dedup_finds_passages_inside_sentences(spark):
-    r = random.Random(9)
-    passage = ", ".join(prose(r, 7) for _ in range(9))
-    texts = [(i, f"{prose(r, 20)} {passage} {prose(r, 15)}.") for i in range(6)]
-    rows = {x.doc_id: x for x in spans.span_dedup(docs(spark, texts)).collect()}
-    assert rows[0].text == dict(texts)[0]
-    # all but the pieces that the document's own words share with the passage's ends
-    assert all(rows[i].words_removed == 49 and rows[i].repeats_of == [0] for i in range(1, 6))
+def test_span_dedup_by_shuffle_joins(spark, monkeypatch):
+    """More texts to cut than are broadcast."""
+    texts = span_texts(8)
+    want = sorted((tuple(x[:2]) + (x.n_removed,) for x in spans.span_dedup(docs(spark, texts)).collect()), key=repr)
+    monkeypatch.setattr(spans, "FEW", -1)
+    monkeypatch.setattr(spans, "bounded_broadcast", lambda df: df)
+    assert sorted((tuple(x[:2]) + (x.n_removed,) for x in spans.span_dedup(docs(spark, texts)).collect()), key=repr) == want
+
+
+def test_span_dedup_leaves_no_run_of_sentences(spark):
+    """Three sentences in a row with twenty words, owned by a smaller document, go whole."""
+    texts = span_texts(9)
+    gone, owners = {}, {}
+    plain = {}
+    for i, t in texts:
+        if i is None or i == 4:
+            continue
+        found = {}
+        for words, n in brute_pieces(t):
+            found.setdefault(n, []).extend(words)
+        plain[i] = list(found.values())
+    for i in sorted(plain):
+        for n in range(len(plain[i]) - 2):
+            run = tuple(map(tuple, plain[i][n:n + 3]))
+            if sum(map(len, run)) >= 20 and owners.setdefault(run, i) != i:
+                gone.setdefault(i, set()).update(range(n, n + 3))
+    assert len(gone) >= 5
+    for x in spans.span_dedup(docs(spark, texts)).collect():
+        if x.doc_id in gone:
+            left = [w for n, s in enumerate(plain[x.doc_id]) if n not in gone[x.doc_id] for w in s]
+            assert len(x.text.split()) <= len(left)
+            assert x.words_removed >= sum(len(plain[x.doc_id][n]) for n in gone[x.doc_id])
 
 
 def test_span_dedup_at_any_word(spark):
-    """Passages of 50 and more words at arbitrary offsets, against all windows of words."""
+    """Passages of over 50 words at arbitrary offsets in texts without marks."""
     r = random.Random(31)
-    texts, passages = [], []
-    for n in range(24):
-        words = prose(r, 90).split()
-        if n % 3 == 1:  # marks inside: the passage starts and ends within pieces
-            words = [w + r.choice(["", "", "", "", "", "", ",", "."]) for w in words]
-        low = r.randint(0, 30)
-        passage = words[low:low + r.randint(50, 60)]
-        for k, body in enumerate((words, [*prose(r, r.randint(5, 60)).split(), *passage, *prose(r, r.randint(5, 60)).split()])):
-            texts.append((2 * n + k, " ".join(body)))
-        passages.append(passage)
+    texts, held = [], {}
+    for n in range(60):
+        words = prose(r, 120).split()
+        low = r.randint(0, 50)
+        passage = words[low:low + r.randint(51, 60)]
+        other = [*prose(r, r.randint(5, 60)).split(), *passage, *prose(r, r.randint(5, 60)).split()]
+        texts += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(other))]
+        held[2 * n + 1] = passage
     signs = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
     chinese = "".join(r.choice(signs) + r.choice(["", "", "", "", "。"]) for _ in range(60))
     texts += [(900, chinese), (901, "".join(r.choices(signs, k=21)) + chinese + "".join(r.choices(signs, k=17)))]
-    texts += [(902, "one " * 500)]
     rows = {x.doc_id: x for x in spans.span_dedup(docs(spark, texts)).collect()}
-    seen = set()
-    for i, t in texts[:-3]:
-        words = t.lower().split()
-        grams = [tuple(words[j:j + spans.MIN_WORDS]) for j in range(len(words) - spans.MIN_WORDS + 1)]
-        covered = {j + d for j, g in enumerate(grams) if g in seen for d in range(spans.MIN_WORDS)}
-        seen.update(grams)
-        # edges of fewer than EDGE words may stay in their piece, nothing else may go
-        assert len(covered) - 2 * (spans.EDGE - 1) <= rows[i].words_removed <= len(covered)
-        assert bool(covered) == (i % 2 == 1)
-        assert rows[i].repeats_of == ([i - 1] if covered else [])
-        left = iter(rows[i].text.lower().split())
-        assert all(w in words for w in left)
-        if i % 6 != 3 and covered:  # one piece: to the word
-            assert rows[i].text.split() == [w for j, w in enumerate(t.split()) if j not in covered]
-    assert rows[901].repeats_of == [900] and rows[901].words_removed >= 60
-    assert rows[902].words_removed == 500 - spans.MIN_WORDS
+    assert all(rows[2 * n].n_removed == 0 for n in range(60))
+    found = [i for i in held if rows[i].n_removed]
+    assert len(found) >= 57
+    for i in found:
+        assert rows[i].repeats_of == [i - 1]
+        whole, left = dict(texts)[i].split(), rows[i].text.split()
+        outside = len(whole) - len(held[i])
+        assert len(left) - outside <= 20  # of the passage's ends a piece each stays
+        assert rows[i].words_removed == len(whole) - len(left) <= len(held[i])
+    assert rows[901].repeats_of == [900] and rows[901].words_removed >= 40
 
 
 def test_span_dedup_leaves_clean_documents_alone(spark):
     r = random.Random(8)
     line = "A short common line."
     texts = [(i, "\n".join([line, prose(r, 25) + ".", line, prose(r, 30) + "."])) for i in range(20)]
-    assert {x.doc_id: x.text for x in spans.span_dedup(docs(spark, texts)).collect()} == dict(texts)
+    texts += [(50, "one two three four five. " * 40), (51, "la " * 300)]  # repeats inside one document only
+    got = {x.doc_id: x.text for x in spans.span_dedup(docs(spark, texts)).collect()}
+    assert got == dict(texts)
 
 
 # ---------------------------------------------------------------- quality
