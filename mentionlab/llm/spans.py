@@ -44,10 +44,10 @@ from mentionlab.llm.common import bounded_broadcast, null_safe, written
 MIN_WORDS = 20
 MIN_PIECES = 2
 MIN_SENTENCES = 3
-FLOOR = 40
+FLOOR = 36
 EDGE = 12
 SHORT = 12
-REACH = 3
+REACH = 2
 LONGEST = 16
 FEW = 500_000  # ids that are broadcast, a few MB; more go through a shuffle join
 _LAST = (1 << 63) - 1
