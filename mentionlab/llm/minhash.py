@@ -5,7 +5,7 @@
 2. Signatures are cut into bands of ``ROWS`` hashes; the number of bands follows from the
    threshold and the probability ``miss`` that a link shares no band.  Classes that share a
    band are candidates.  Pairs of a bucket are never listed: first each member meets only the
-   bucket's centre (its smallest id).
+   bucket's centre (its smallest class number).
 3. Candidates are compared batch by batch of their signatures.  After each batch the posterior
    probability (uniform prior) that the similarity reaches the threshold is bounded; a pair
    under ``miss`` is pruned.  Survivors are verified exactly on their full shingle sets.
@@ -17,10 +17,11 @@
 So every pair that shares a band is either in one component, pruned or verified, however
 large a group is, and no group, link list or component is gathered in one place.
 
-Shingles are compared by 64-bit hashes.  Defined cases: rows without words (null and empty
-texts too) are linked with nothing and stay; fewer words than a shingle make one shingle of
-all of them; rows of one id are one document; rows without an id take part, come after all
-ids, and a component of such rows only has a null id and keeps them.  Ids lie below 2 ** 62.
+Classes are numbered by a hash of their key, so an id may hold any number of texts; the classes
+of one id are linked.  Shingles are compared by 64-bit hashes.  Defined cases: rows without words
+(null and empty texts too) are linked with nothing and stay; fewer words than a shingle make one
+shingle of all of them; rows of one id are one document; rows without an id take part and come
+after all ids; a component of such rows only has a null id and keeps the rows of one of its classes.
 """
 
 from __future__ import annotations
@@ -42,7 +43,6 @@ ROWS = 5
 MISS = 1e-6
 BATCH = 20
 BLOCK_SHINGLES = 200_000  # shingles in one side of a block, 1.6 MB
-NO_ID = 1 << 62
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -102,7 +102,8 @@ def signature(shingles: np.ndarray, hashes: int) -> np.ndarray:
     return best
 
 
-_SIGNED = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("sig", pa.binary())])
+_SIGNED = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.binary()), ("n", pa.int64()),
+                     ("sig", pa.binary())])
 
 
 def _sign(k: int, hashes: int):
@@ -115,7 +116,7 @@ def _sign(k: int, hashes: int):
                 keys.append(blake2b(b" ".join(words), digest_size=16).digest() if words else None)
                 counts.append(len(shingles))
                 sigs.append(signature(shingles, hashes).tobytes() if words else None)
-            yield emit(_SIGNED, [batch.column(0).to_pylist(), keys, counts, sigs])
+            yield emit(_SIGNED, [batch.column(0).to_pylist(), batch.column(2).to_pylist(), keys, counts, sigs])
 
     return run
 
@@ -274,31 +275,38 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(node, shingles) for the class nodes in ``nodes``, from the texts of their rows."""
-    wanted = bounded_broadcast(nodes)
+    keys = classes.join(nodes, "node", "left_semi")
+    wanted = bounded_broadcast(written(keys.filter(F.col("least").isNotNull()).select("least").distinct(), "wanted"))
     named = docs.filter(F.col("id").isNotNull()).join(
-        wanted, docs["id"] == wanted["node"], "left_semi").select("text")
+        wanted, docs["id"] == wanted["least"], "left_semi").select("text")
     nameless = docs.filter(F.col("id").isNull()).select("text")
     sets = named.unionByName(nameless).mapInArrow(_sets(k), "key binary, shingles binary")
-    keys = classes.join(nodes, "node", "left_semi").select("node", "key")
-    return sets.join(keys, "key").select("node", "shingles").dropDuplicates(["node"])
+    return sets.join(keys.select("node", "key"), "key").select("node", "shingles").dropDuplicates(["node"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, miss: float = MISS) -> DataFrame:
+                    percent: int = 80, miss: float = MISS, keys: bool = False) -> DataFrame:
     """Per row of ``docs``: (id, n_shingles, component_id, kept).
 
     Rows are linked if 100 * shared >= percent * united shingles; ``component_id`` is the
-    smallest id reachable, and the row with that id is kept.
+    smallest id reachable, and the row with that id is kept.  With ``keys`` come the 64-bit
+    ``text_hash`` of the row's text and the ``class_key`` of its words (null without words), for
+    decisions on rows that have no id.
     """
     bands = bands_for(percent, ROWS, miss)
     hashes = bands * ROWS
-    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    base = written(docs.mapInArrow(_sign(shingle, hashes), "id bigint, key binary, n bigint, sig binary"), "signed")
-    # a class without any id still needs a number of its own, after all ids
-    nameless = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("key"), 3)
+    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"),
+                       F.xxhash64(text_col).alias("text_hash"))
+    base = written(docs.mapInArrow(_sign(shingle, hashes), "id bigint, text_hash bigint, key binary, n bigint, sig binary"),
+                   "signed")
+    number = F.xxhash64("key").alias("node")
     classes = written(base.filter(F.col("key").isNotNull()).groupBy("key")
                       .agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-                      .select("key", F.coalesce("least", nameless).alias("node"), "n", "sig"), "classes")
+                      .select("key", number, "least", "n", "sig"), "classes")
+    # rows of one id are one document, whatever their texts
+    held = base.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).select("id", number).distinct()
+    several = held.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a <> top")
+    of_one_id = held.join(several, "id").filter("a <> node").select("a", F.col("node").alias("b"))
 
     banded = classes.select("node", "n", "sig").mapInArrow(_bands(bands), "bucket bigint, band int, node bigint, n bigint")
     shared = written(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre"))
@@ -316,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(_shingle_sets(docs, nodes, classes, shingle), "sets")
     full = (pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "set_a"}), "a")
             .join(sets.withColumnsRenamed({"node": "b", "shingles": "set_b"}), "b").select("a", "b", "set_a", "set_b"))
-    first = components(full.mapInArrow(_verify(percent), "a bigint, b bigint"))
+    first = components(full.mapInArrow(_verify(percent), "a bigint, b bigint").unionByName(of_one_id))
 
     second = components(_rest(docs, members, classes, first, shingle, percent, hashes))
     named = (classes.select("key", "node").join(first, "node", "left")
@@ -324,10 +332,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .join(second.withColumnsRenamed({"node": "mid", "comp": "end"}), "mid", "left")
              .select("key", F.coalesce("end", "mid").alias("component")))
     named = written(named, "components")
-    out = base.select("id", "key", "n").join(named, "key", "left")
-    component = F.when(F.col("component") < NO_ID, F.col("component")).when(F.col("component").isNull(), F.col("id"))
+    # the smallest id of each component, and of one without ids the class that stays
+    heads = classes.select("key", "node", "least").join(named, "key").groupBy("component").agg(
+        F.min("least").alias("least"), F.min("node").alias("head"))
+    out = base.select("id", "text_hash", "key", "n").join(named, "key", "left").join(heads, "component", "left")
+    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
+    kept = (F.when(F.col("component").isNull(), True).when(F.col("id").isNotNull(), F.col("id") == F.col("least"))
+            .otherwise(F.col("least").isNull() & (F.xxhash64("key") == F.col("head"))))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+                      kept.alias("kept"), *(["text_hash", F.col("key").alias("class_key")] if keys else []))
 
 
 def _rest(docs: DataFrame, members: DataFrame, classes: DataFrame, first: DataFrame, shingle: int, percent: int,
