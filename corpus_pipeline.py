@@ -46,12 +46,23 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """The document with the smallest id of each group of near-duplicates; of a group without ids
+    one row, the first by its JSON text."""
     def work(rows: DataFrame, name: dict[str, str]) -> DataFrame:
-        kept = written(near_duplicates(rows, name["doc_id"], name["text"]).filter("kept")
-                       .select(F.col(name["doc_id"]).alias("keep")).distinct(), "kept_ids")
-        keep = bounded_broadcast(kept)
-        return rows.join(keep, rows[name["doc_id"]].eqNullSafe(keep["keep"]), "left_semi")
+        ident = F.col(name["doc_id"])
+        found = near_duplicates(rows, name["doc_id"], name["text"], keys=True).filter("kept")
+        found = written(found.select(ident.alias("keep"), "text_hash", "class_key"), "kept_rows")
+        ids = bounded_broadcast(written(found.select("keep").filter("keep IS NOT NULL").distinct(), "kept_ids"))
+        named = rows.join(ids, ident == ids["keep"], "left_semi")
+        # rows without id go by their text
+        bare = found.filter("keep IS NULL")
+        nameless = rows.filter(ident.isNull()).withColumn("hash_", F.xxhash64(name["text"]))
+        wordless = bare.filter("class_key IS NULL").select(F.col("text_hash").alias("hash_")).distinct()
+        chosen = bare.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("text_hash").alias("hash_")).select("hash_")
+        row = F.struct(*rows.columns)
+        one = (nameless.join(chosen, "hash_", "left_semi").groupBy("hash_").agg(F.min_by(row, F.to_json(row)).alias("row"))
+               .select("row.*"))
+        return named.unionByName(nameless.join(wordless, "hash_", "left_semi").drop("hash_")).unionByName(one)
 
     return _apart(docs, work)
 
