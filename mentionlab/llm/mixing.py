@@ -93,22 +93,38 @@ def mix_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         seed: int = 7) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with ``copy`` counting from 1."""
+    """The mix itself: each document as often as it is taken, with ``copy`` counting from 1.
+
+    Rows of equal id, source and text are told apart by nothing: so many of them take one number
+    of copies and so many another (at most ``MAX_COPIES + 1`` numbers).  Where all take the same,
+    nobody has to be told apart; else these rows are numbered, spread over partitions.
+    """
     key = ["id", "source", "text_hash"]
-    # rows of equal id, source and text share their copies: the n-th of them takes the n-th share
-    taken = mix_sizes(docs, id_col, text_col, source_col, seed)
-    nth = Window.partitionBy(*key)
-    taken = taken.groupBy(*key).agg(F.sort_array(F.collect_list("copies")).alias("shares"))
+    per = mix_sizes(docs, id_col, text_col, source_col, seed).groupBy(*key, "copies").agg(F.count(F.lit(1)).alias("rows"))
+    shares = written(per.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("copies", "rows"))).alias("shares")), "shares")
     names = [c for c in docs.columns if c.lower() != "copy"]
-    base = docs.select(*names, F.col(id_col).alias("id_"), F.col(source_col).alias("source_"),
-                       F.xxhash64(text_col).alias("hash_"))
-    cond = (base["id_"].eqNullSafe(taken["id"]) & base["source_"].eqNullSafe(taken["source"])
-            & (base["hash_"] == taken["text_hash"]))
-    joined = base.join(taken, cond).select(*[base[c] for c in names], *[taken[c].alias(f"_{c}") for c in key],
-                                           taken["shares"].alias("_shares"))
-    single = joined.filter(F.size("_shares") == 1).withColumn("_n", F.lit(1))
-    nth = Window.partitionBy(*[f"_{c}" for c in key]).orderBy(F.lit(1))
-    several = joined.filter(F.size("_shares") > 1).withColumn("_n", F.row_number().over(nth))
-    share = F.element_at("_shares", F.col("_n"))
-    return (single.unionByName(several).withColumn("_share", share.cast("int")).filter(F.col("_share") > 0)
-            .select(*names, F.explode(F.sequence(F.lit(1), F.col("_share"))).alias("copy")))
+    inner = [f"c{i}" for i in range(len(names))]
+    base = docs.select(*[F.col(c).alias(n) for c, n in zip(names, inner, strict=True)], F.col(id_col).alias("id_"),
+                       F.col(source_col).alias("source_"), F.xxhash64(text_col).alias("hash_"))
+
+    def with_shares(which: Column) -> DataFrame:
+        mine = shares.filter(which)
+        return base.join(mine, base["id_"].eqNullSafe(mine["id"]) & base["source_"].eqNullSafe(mine["source"])
+                         & (base["hash_"] == mine["text_hash"])).select(*inner, "id_", "source_", "hash_", "shares")
+
+    alike = F.size("shares") == 1
+    taken = with_shares(alike).select(*inner, F.col("shares")[0]["copies"].alias("share"))
+    if not shares.filter(~alike).isEmpty():
+        several = with_shares(~alike).withColumn("row_", F.monotonically_increasing_id())
+        several = number_rows(several, ["id_", "source_", "hash_"], ["row_"], out="nth")
+        start = F.struct(F.col("nth").alias("left"), F.lit(-1).cast("bigint").alias("share"))
+
+        def step(acc: Column, s: Column) -> Column:
+            return F.when(acc["share"] >= 0, acc).when(acc["left"] < s["rows"], F.struct(
+                acc["left"].alias("left"), s["copies"].alias("share"))).otherwise(F.struct(
+                    (acc["left"] - s["rows"]).alias("left"), acc["share"].alias("share")))
+
+        taken = taken.unionByName(several.select(*inner, F.aggregate("shares", start, step)["share"].alias("share")))
+    return (taken.filter(F.col("share") > 0)
+            .select(*[F.col(n).alias(c) for c, n in zip(names, inner, strict=True)],
+                    F.explode(F.sequence(F.lit(1), F.col("share").cast("int"))).alias("copy")))
