@@ -1,7 +1,9 @@
 """WARC archives of pages: written as segmented records, read back and put together.
 
 Writing: of the records with equal payloads (by SHA-256) of at least ``min_revisit`` bytes,
-the one with the smallest page id is a response and the others are revisits that name it.  A
+the one with the smallest page id is a response and the others are revisits that refer to its
+record id.  Record ids hold the page id and a number of the row, taken from the file and place that
+the row is read from where Spark knows them, so every task gives a row the same one.  A
 response holds an HTTP message with a chunked body; a block longer than ``segment`` bytes is
 cut into a first record and continuation records.  Spark's text writer stores one record per
 row with the record end as line separator and zips each file, so archives can be anywhere
@@ -27,7 +29,8 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionlab.llm.common import emit
@@ -48,16 +51,29 @@ DATE = "2024-01-01T00:00:00Z"
 
 def record_types(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                  min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """(page_id, url, payload, digest, first): ``first`` is the page a revisit refers to."""
-    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"),
-                        F.coalesce(F.col(html_col), F.lit("")).alias("payload"))
+    """(page_id, serial, url, payload, digest, first, first_serial): ``first`` is the page a revisit
+    refers to, and ``first_serial`` the number of its record."""
+    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), _serial(pages).alias("serial"),
+                        F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "serial"))
     again = (rows.filter(F.octet_length("payload") >= min_revisit).groupBy("digest")
-             .agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n"))
+             .agg(F.min(named).alias("least"), F.count(F.lit(1)).alias("n"))
              .filter((F.col("n") > 1) & F.col("least").isNotNull()).drop("n"))
-    first = F.when(~F.col("page_id").eqNullSafe(F.col("least")), F.col("least"))
+    revisit = F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least.page_id"))
     return rows.join(again, "digest", "left").select(
-        "page_id", "url", "payload", "digest", F.when(F.col("least").isNotNull(), first).alias("first"))
+        "page_id", "serial", "url", "payload", "digest", F.when(revisit, F.col("least.page_id")).alias("first"),
+        F.when(revisit, F.col("least.serial")).alias("first_serial"))
+
+
+def _serial(pages: DataFrame) -> Column:
+    """A number that tells rows of one page id apart."""
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    try:
+        pages.select(place).schema  # noqa: B018 - analysed here: only tables read from files know it
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    return place
 
 
 def pieces(data: bytes, size: int) -> list[bytes]:
@@ -105,15 +121,19 @@ def _unuri(uri: str | None) -> str | None:
     return None if uri is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), uri)
 
 
+def _record_id(page_id: int | None, serial: int) -> str:
+    return f"<urn:page:{'null' if page_id is None else page_id}:{serial & (1 << 64) - 1:016x}>"
+
+
 def records_of(page_id: int | None, serial: int, url: str | None, payload: bytes, digest: str,
-               first: int | None, segment: int = SEGMENT) -> Iterator[str]:
+               first: int | None, first_serial: int | None = None, segment: int = SEGMENT) -> Iterator[str]:
     """The records of one page, each without its final two line ends."""
-    name = f"<urn:page:{'null' if page_id is None else page_id}:{serial}>"
+    name = _record_id(page_id, serial)
     common = [("WARC-Date", DATE), ("WARC-Target-URI", _uri(url)), ("WARC-Payload-Digest", f"sha256:{digest}")]
     if first is not None:
         block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: {len(payload)}\r\n\r\n"
         yield _header([("WARC-Type", "revisit"), ("WARC-Record-ID", name), *common,
-                       ("WARC-Refers-To", f"<urn:page:{first}>"), ("WARC-Profile", REVISIT_PROFILE),
+                       ("WARC-Refers-To", _record_id(first, first_serial)), ("WARC-Profile", REVISIT_PROFILE),
                        ("Content-Type", RESPONSE_TYPE), ("Content-Length", len(block))]) + block
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -142,8 +162,8 @@ def _records(segment: int):
 
 def write_archives(typed: DataFrame, path: str, segment: int = SEGMENT, per_file: int = PER_FILE) -> None:
     """Stores the pages of ``record_types`` as archives under ``path``."""
-    read = typed.select("page_id", F.monotonically_increasing_id().alias("serial"), "url",
-                        F.col("payload").cast("binary").alias("payload"), "digest", "first")
+    read = typed.select("page_id", "serial", "url", F.col("payload").cast("binary").alias("payload"), "digest", "first",
+                        "first_serial")
     (read.mapInArrow(_records(segment), "value string").write.option("lineSep", END)
      .option("maxRecordsPerFile", per_file).option("compression", "gzip").mode("errorifexists").text(path))
 
