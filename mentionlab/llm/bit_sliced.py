@@ -32,6 +32,7 @@ from mentionlab.llm.common import written
 
 ROWS = 16_384
 QUERIES = 128
+TURN = 64  # blocks of queries that one task takes through a part at most
 DROP = 2  # low bits that the slices leave out
 _SAFE = 1 << 24  # beyond this, products are computed with Python's integers
 
@@ -232,7 +233,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     # every block of queries goes to every part of the rows
     wanted = wanted.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "dims",
                            F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = wanted.repartition(parts * 2, "part", "q_ids").join(index, ["part", "dims"])
+    # a task takes a part and one turn of the queries; there are as many turns as fill the cluster,
+    # and a task never has more than TURN blocks of queries
+    blocks = max(1, -(-m // queries))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    turns = max(-(-blocks // TURN), min(blocks, -(-2 * cores // parts)))
+    wanted = wanted.withColumn("turn", F.pmod(F.xxhash64("q_ids"), F.lit(turns)).cast("int"))
+    index = index.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    pairs = wanted.join(index, ["part", "dims", "turn"])
     found = pairs.mapInArrow(_search(k), "query_id bigint, query binary, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
