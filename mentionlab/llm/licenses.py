@@ -99,7 +99,7 @@ NAMES = [
     ("curl", "curl", rf"curl {_LIC}", "curl", "curl se docs copyright"),
     ("freetype", "freetype", rf"freetype(?: project)? {_LIC}", "ftl", "freetype org license"),
     ("unicode", "unicode", rf"unicode {_LIC}(?: agreement)?", "unicode dfs 2016", "unicode org copyright"),
-    ("json", "json", rf"json {_LIC}", "json", "json org license"),
+    ("json", "json", r"the json licen[cs]e", "json", "json org license"),
 ]
 # the Creative Commons family: kinds by version
 CC_KINDS = {"by": "attribution", "by sa": "attribution share ?alike", "by nd": "attribution no ?deriv(?:ative)?s",
@@ -128,6 +128,183 @@ PLAIN = [
     (2, 0.80, "free-software", "redistribute", r"free software you can redistribute it and or modify"),
 ]
 
+_LATER = "(?: or later| or newer| or any later version| only)?"
+_THIS = "(?:the |this )?"
+# Rules written one by one: priority, weight, label, keyword, pattern.  First names by abbreviation
+# and version, then tags and expressions, then sentences of licence texts, then notices.
+WRITTEN = [
+    (2, 0.90, "gpl-1.0", "gplv1", rf"(?:gnu )?gplv1(?: 0)?{_LATER}"),
+    (2, 0.90, "gpl-2.0", "gplv2", rf"(?:gnu )?gplv2(?: 0)?{_LATER}"),
+    (2, 0.90, "gpl-3.0", "gplv3", rf"(?:gnu )?gplv3(?: 0)?{_LATER}"),
+    (2, 0.85, "gpl-2.0", "gpl2", rf"(?:gnu )?gpl2{_LATER}"),
+    (2, 0.85, "gpl-3.0", "gpl3", rf"(?:gnu )?gpl3{_LATER}"),
+    (2, 0.85, "gpl-1.0", "gpl", rf"(?:gnu )?gpl (?:v1|v 1|version 1|1 0|ver 1)(?: 0)?{_LATER}"),
+    (2, 0.90, "gpl-2.0", "gpl", rf"(?:gnu )?gpl (?:v2|v 2|version 2|2 0|ver 2)(?: 0)?{_LATER}"),
+    (2, 0.90, "gpl-3.0", "gpl", rf"(?:gnu )?gpl (?:v3|v 3|version 3|3 0|ver 3)(?: 0)?{_LATER}"),
+    (1, 0.50, "gpl-any", "gpl", r"(?:the |under |gnu )gpl"),
+    (2, 0.80, "gpl-any", "gpl", r"gpl (?:licen[cs]ed|licen[cs]e|compatible)"),
+    (2, 0.90, "lgpl-2.0", "lgplv2", rf"(?:gnu )?lgplv2(?: 0)?{_LATER}"),
+    (3, 0.90, "lgpl-2.1", "lgplv2", rf"(?:gnu )?lgplv2 1{_LATER}"),
+    (2, 0.90, "lgpl-3.0", "lgplv3", rf"(?:gnu )?lgplv3(?: 0)?{_LATER}"),
+    (2, 0.85, "lgpl-2.1", "lgpl21", rf"lgpl21{_LATER}"),
+    (2, 0.85, "lgpl-3.0", "lgpl3", rf"lgpl3{_LATER}"),
+    (2, 0.90, "lgpl-2.0", "lgpl", rf"(?:gnu )?lgpl (?:v2|v 2|version 2|2 0)(?: 0)?{_LATER}"),
+    (3, 0.90, "lgpl-2.1", "lgpl", rf"(?:gnu )?lgpl (?:v2 1|v 2 1|version 2 1|2 1){_LATER}"),
+    (2, 0.90, "lgpl-3.0", "lgpl", rf"(?:gnu )?lgpl (?:v3|v 3|version 3|3 0)(?: 0)?{_LATER}"),
+    (1, 0.60, "lgpl", "lgpl", r"(?:gnu )?lgpl(?: licen[cs]ed?)?"),
+    (2, 0.90, "agpl-3.0", "agplv3", rf"(?:gnu )?agplv3(?: 0)?{_LATER}"),
+    (2, 0.85, "agpl-3.0", "agpl3", rf"agpl3{_LATER}"),
+    (2, 0.90, "agpl-3.0", "agpl", rf"(?:gnu )?agpl (?:v3|v 3|version 3|3 0)(?: 0)?{_LATER}"),
+    (2, 0.85, "agpl-1.0", "agpl", rf"agpl (?:v1|version 1|1 0){_LATER}"),
+    (1, 0.60, "agpl-any", "agpl", r"(?:gnu )?agpl(?: licen[cs]ed?)?"),
+    (2, 0.85, "gfdl-1.1", "gfdl", r"gfdl (?:v1 1|version 1 1|1 1)"),
+    (2, 0.85, "gfdl-1.2", "gfdl", r"gfdl (?:v1 2|version 1 2|1 2)"),
+    (2, 0.85, "gfdl-1.3", "gfdl", r"gfdl (?:v1 3|version 1 3|1 3)"),
+    (1, 0.60, "gfdl-1.3", "gfdl", r"(?:gnu )?gfdl"),
+    (2, 0.90, "apache-2.0", "apache", r"apache (?:v2|version 2|2)(?: 0)?(?: licen[cs]ed| licen[cs]e)?"),
+    (2, 0.85, "apache-1.1", "apache", r"apache (?:v1 1|version 1 1|1 1)(?: licen[cs]ed| licen[cs]e)?"),
+    (2, 0.85, "apache-1.0", "apache", r"apache (?:v1|version 1|1 0)(?: licen[cs]ed| licen[cs]e)?"),
+    (2, 0.80, "apache-2.0", "asl", r"asl (?:v2|version 2|2)(?: 0)?"),
+    (2, 0.80, "apache-2.0", "apache2", r"apache2(?: 0)?(?: licen[cs]ed?)?"),
+    (2, 0.85, "apache", "apache", r"apache licen[cs]ed"),
+    (2, 0.85, "mit", "mit", r"mit licen[cs]ed"),
+    (2, 0.80, "mit", "mit", r"mit style licen[cs]e"),
+    (2, 0.80, "mit", "expat", r"expat licen[cs]ed?"),
+    (2, 0.85, "mit-0", "mit", r"mit (?:0|no attribution)(?: licen[cs]e)?"),
+    (2, 0.80, "isc", "isc", r"isc licen[cs]ed"),
+    (2, 0.80, "bsd", "bsd", r"bsd licen[cs]ed"),
+    (2, 0.85, "bsd-2-clause", "bsd2", r"bsd2(?: clause)?"),
+    (2, 0.85, "bsd-3-clause", "bsd3", r"bsd3(?: clause)?"),
+    (2, 0.85, "bsd-2-clause", "freebsd", r"freebsd licen[cs]e"),
+    (2, 0.85, "bsd-3-clause", "bsd", r"revised bsd(?: licen[cs]e)?"),
+    (2, 0.85, "bsd-1-clause", "bsd", r"(?:bsd 1 clause|1 clause bsd)(?: licen[cs]e)?"),
+    (2, 0.85, "mpl-1.0", "mpl", r"mpl (?:v1|version 1|1)(?: 0)?"),
+    (3, 0.85, "mpl-1.1", "mpl", r"mpl (?:v1 1|version 1 1|1 1)"),
+    (2, 0.90, "mpl-2.0", "mpl", r"mpl (?:v2|version 2|2)(?: 0)?"),
+    (2, 0.85, "mpl-2.0", "mplv2", r"mplv2(?: 0)?"),
+    (2, 0.85, "epl-1.0", "epl", r"epl (?:v1|version 1|1)(?: 0)?"),
+    (2, 0.85, "epl-2.0", "epl", r"epl (?:v2|version 2|2)(?: 0)?"),
+    (2, 0.85, "edl-1.0", "eclipse", r"eclipse distribution licen[cs]e(?: v1 0| version 1 0| 1 0)?"),
+    (2, 0.85, "eupl-1.1", "eupl", r"eupl (?:v1 1|version 1 1|v 1 1|1 1)"),
+    (2, 0.85, "eupl-1.2", "eupl", r"eupl (?:v1 2|version 1 2|v 1 2|1 2)"),
+    (2, 0.85, "cddl-1.1", "cddl", r"cddl (?:v1 1|version 1 1|1 1)"),
+    (2, 0.85, "osl-3.0", "open", r"open software licen[cs]e(?: v3 0| version 3 0| 3 0)?"),
+    (2, 0.85, "afl-3.0", "academic", r"academic free licen[cs]e(?: v3 0| version 3 0| 3 0)?"),
+    (2, 0.80, "cc0-1.0", "zero", r"creative commons (?:cc )?zero(?: v1 0| 1 0)?"),
+    (2, 0.85, "cc-by", "creative", r"creative commons attribution(?: licen[cs]e)?"),
+    (1, 0.50, "cc", "creative", r"creative commons(?: licen[cs]e)?"),
+    (2, 0.85, "ofl-1.1", "ofl", r"(?:sil )?ofl(?: v1 1| version 1 1| 1 1)?"),
+    (2, 0.85, "blueoak-1.0.0", "oak", r"blue oak model licen[cs]e(?: 1 0 0)?"),
+    (2, 0.85, "hippocratic", "hippocratic", r"hippocratic licen[cs]e"),
+    (2, 0.85, "polyform", "polyform", r"polyform (?:noncommercial|strict|shield|small business|free trial|perimeter)(?: licen[cs]e)?"),
+    (2, 0.85, "commons-clause", "clause", r"commons clause(?: licen[cs]e)?(?: condition)?"),
+    (2, 0.85, "openrail", "openrail", r"(?:creativeml )?openrail(?: m)?(?: licen[cs]e)?"),
+    (2, 0.85, "llama", "llama", r"llama (?:2 |3 )?community licen[cs]e(?: agreement)?"),
+    # tags and expressions
+    (1, 0.95, "spdx-expression", "or", r"spdx licen[cs]e identifier [a-z0-9 ]{2,40}? or [a-z0-9]+(?: \d)*"),
+    (1, 0.95, "spdx-expression", "and", r"spdx licen[cs]e identifier [a-z0-9 ]{2,40}? and [a-z0-9]+(?: \d)*"),
+    (4, 0.95, "spdx-exception", "exception", r"with (?:classpath|gcc|llvm|autoconf|bison|openssl|linux syscall|font) (?:[a-z0-9]+ ){0,2}exception(?: \d(?: \d)?)?"),
+    (3, 0.90, "mit", "mit", r"licen[cs]e (?:is )?mit"),
+    (3, 0.90, "apache-2.0", "apache", r"licen[cs]e (?:is )?apache 2(?: 0)?"),
+    (3, 0.90, "bsd-2-clause", "bsd", r"licen[cs]e (?:is )?bsd 2 clause"),
+    (3, 0.90, "bsd-3-clause", "bsd", r"licen[cs]e (?:is )?bsd 3 clause"),
+    (3, 0.85, "bsd", "bsd", r"licen[cs]e (?:is )?bsd"),
+    (3, 0.90, "gpl-2.0", "gpl", rf"licen[cs]e (?:is )?gpl 2(?: 0)?{_LATER}"),
+    (3, 0.90, "gpl-3.0", "gpl", rf"licen[cs]e (?:is )?gpl 3(?: 0)?{_LATER}"),
+    (3, 0.85, "gpl-any", "gpl", r"licen[cs]e (?:is )?gpl"),
+    (3, 0.90, "lgpl-2.1", "lgpl", rf"licen[cs]e (?:is )?lgpl 2 1{_LATER}"),
+    (3, 0.90, "lgpl-3.0", "lgpl", rf"licen[cs]e (?:is )?lgpl 3(?: 0)?{_LATER}"),
+    (3, 0.90, "agpl-3.0", "agpl", rf"licen[cs]e (?:is )?agpl 3(?: 0)?{_LATER}"),
+    (3, 0.90, "mpl-2.0", "mpl", r"licen[cs]e (?:is )?mpl 2(?: 0)?"),
+    (3, 0.90, "isc", "isc", r"licen[cs]e (?:is )?isc"),
+    (3, 0.90, "cc0-1.0", "cc0", r"licen[cs]e (?:is )?cc0(?: 1 0)?"),
+    (3, 0.90, "unlicense", "unlicense", r"licen[cs]e (?:is )?unlicense"),
+    (3, 0.90, "unlicensed", "unlicensed", r"licen[cs]e (?:is )?unlicensed"),
+    (3, 0.90, "proprietary", "proprietary", r"licen[cs]e (?:is )?proprietary"),
+    (3, 0.90, "dual-license", "dual", r"dual licen[cs]ed"),
+    (3, 0.85, "dual-license", "tri", r"tri licen[cs]ed"),
+    (3, 0.90, "mit", "mit", r"under mit(?: licen[cs]e)?"),
+    (3, 0.90, "apache-2.0", "apache", r"(?:under|or|and) apache 2(?: 0)?"),
+    (3, 0.85, "bsd", "bsd", r"under (?:a |the )?bsd(?: style)?"),
+    (3, 0.80, "see-license", "file", r"see (?:the )?(?:accompanying )?licen[cs]e (?:txt |md )?file(?: for (?:more )?(?:details|information|terms))?"),
+    (3, 0.80, "see-license", "copying", r"see (?:the )?(?:file )?copying(?: lesser)?(?: for (?:more )?(?:details|information|terms))?"),
+    (3, 0.80, "see-license", "licensed", r"licensed (?:as specified|as described|as stated) in"),
+    (2, 0.70, "classifier-osi", "osi", r"osi approved"),
+    # sentences of licence texts
+    (4, 0.95, "mit", "merge", r"to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    (4, 0.90, "mit", "permit", r"to permit persons to whom the software is furnished to do so"),
+    (3, 0.85, "mit", "substantial", r"shall be included in all copies or substantial portions of the software"),
+    (3, 0.85, "mit", "noninfringement", r"fitness for a particular purpose and noninfringement"),
+    (4, 0.90, "isc", "hereby", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    (4, 0.90, "isc", "disclaims", r"the author disclaims all warranties with regard to this software"),
+    (3, 0.85, "bsd", "retain", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    (3, 0.85, "bsd", "reproduce", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    (4, 0.90, "bsd-3-clause", "endorse", r"may be used to endorse or promote products derived from this software"),
+    (4, 0.90, "bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display"),
+    (3, 0.85, "bsd", "contributors", r"this software is provided by the (?:copyright holders|regents|author|authors) and contributors"),
+    (4, 0.95, "apache-2.0", "compliance", r"you may not use this file except in compliance with the license"),
+    (4, 0.90, "apache-2.0", "distributed", r"software distributed under the license is distributed on an as is basis"),
+    (4, 0.90, "apache-2.0", "limitations", r"language governing permissions and limitations under the license"),
+    (4, 0.90, "apache-2.0", "irrevocable", r"perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    (4, 0.95, "gpl-any", "redistribute", r"redistribute it and or modify it under the terms of the gnu general public license"),
+    (4, 0.90, "gpl-any", "useful", r"distributed in the hope that it will be useful but without any warranty"),
+    (3, 0.85, "gpl-any", "received", r"you should have received a copy of the gnu general public license"),
+    (4, 0.90, "lgpl", "received", r"you should have received a copy of the gnu (?:lesser|library) general public license"),
+    (4, 0.90, "agpl-3.0", "received", r"you should have received a copy of the gnu affero general public license"),
+    (4, 0.90, "lgpl", "redistribute", r"redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    (4, 0.90, "gpl-any", "freedom", r"designed to take away your freedom to share and change"),
+    (4, 0.90, "gpl-3.0", "copyleft", r"free copyleft license for software and other kinds of works"),
+    (3, 0.85, "gpl-any", "verbatim", r"everyone is permitted to copy and distribute verbatim copies of this license document"),
+    (4, 0.90, "mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    (4, 0.90, "mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public license version 1 1"),
+    (3, 0.85, "mpl-2.0", "obtain", r"if a copy of the mpl was not distributed with this file you can obtain one"),
+    (4, 0.90, "epl-2.0", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    (4, 0.90, "zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
+    (4, 0.90, "zlib", "altered", r"altered source versions must be plainly marked as such"),
+    (4, 0.90, "zlib", "implied", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    (4, 0.90, "bsl-1.0", "boost", r"distributed under the boost software license"),
+    (4, 0.90, "bsl-1.0", "executable", r"machine executable object code generated by a source language processor"),
+    (4, 0.90, "unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
+    (4, 0.90, "unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    (4, 0.90, "wtfpl", "fuck", r"do what the fuck you want to"),
+    (4, 0.90, "cc0-1.0", "waived", r"waived all copyright and related or neighboring rights"),
+    (4, 0.90, "cc0-1.0", "dedicated", r"(?:has |have )?dedicated (?:the work|this work|all copyright) to the public domain"),
+    (3, 0.85, "cc-by", "credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    (3, 0.85, "cc-by-sa", "remix", r"if you remix transform or build upon the material you must distribute your contributions under the same license"),
+    (3, 0.85, "cc-by-nc", "purposes", r"you may not use the material for commercial purposes"),
+    (4, 0.90, "ofl-1.1", "fonts", r"the fonts and derivatives however cannot be released under any other type of license"),
+    (4, 0.90, "artistic-2.0", "package", r"copyright holder intends that the package"),
+    (4, 0.90, "php-3.01", "php", r"this product includes php software freely available from"),
+    (4, 0.90, "openssl", "openssl", r"this product includes software developed by the openssl project"),
+    (3, 0.85, "postgresql", "documentation", r"permission to use copy modify and distribute this software and its documentation for any purpose"),
+    (4, 0.90, "ncsa", "illinois", r"neither the names of (?:[a-z0-9]+ ){0,6}illinois"),
+    (4, 0.85, "sspl-1.0", "service", r"offering the program as a service"),
+    (4, 0.85, "busl-1.1", "change", r"change date (?:[a-z0-9]+ ){1,4}change license"),
+    # notices
+    (2, 0.70, "warranty", "provided", rf"{_THIS}(?:software |program |work |code |material )?(?:is )?provided as is"),
+    (2, 0.70, "warranty", "as", r"on an as is basis"),
+    (2, 0.70, "warranty", "merchantability", r"warrant(?:y|ies) of merchantability"),
+    (2, 0.60, "liability", "liable", r"in no event shall (?:[a-z0-9]+ ){1,12}be liable"),
+    (2, 0.80, "copyright", "c", r"c (?:19|20)\d\d(?: (?:19|20)\d\d| present)?(?: by)?(?: [a-z0-9]+){1,3}"),
+    (2, 0.80, "copyright", "©", r"©(?: copyright)?(?: (?:19|20)\d\d)?(?: (?:19|20)\d\d| present)?(?: by)?(?: [a-z0-9]+){0,3}"),
+    (2, 0.75, "copyright", "copr", r"copr (?:19|20)\d\d"),
+    (2, 0.75, "copyright", "copyrighted", r"copyrighted (?:by|material|work)"),
+    (2, 0.75, "proprietary", "trade", r"trade secrets? of [a-z0-9]+"),
+    (2, 0.75, "proprietary", "unauthorized", r"unauthorized (?:copying|use|reproduction|distribution)(?: or (?:copying|use|reproduction|distribution))? (?:[a-z0-9]+ ){0,4}(?:is |are )?(?:strictly )?prohibited"),
+    (2, 0.70, "proprietary", "permission", r"without (?:the )?(?:prior |express |written ){1,3}permission"),
+    (2, 0.70, "proprietary", "confidential", r"(?:company|strictly|highly) confidential"),
+    (2, 0.70, "non-commercial", "commercial", r"(?:for )?non commercial (?:use|purposes) only"),
+    (2, 0.70, "non-commercial", "noncommercial", r"(?:for )?noncommercial (?:use|purposes) only"),
+    (2, 0.70, "non-commercial", "personal", r"for personal use only"),
+    (2, 0.70, "research-only", "research", r"for (?:academic |scientific )?research (?:use|purposes) only"),
+    (2, 0.70, "redistribution-allowed", "freely", r"(?:may|can) be (?:used |copied |modified |redistributed |distributed |and ){1,6}freely"),
+    (2, 0.70, "eula", "eula", r"eula"),
+    (2, 0.70, "eula", "user", r"end user licen[cs]e agreement"),
+    (2, 0.60, "terms", "terms", r"subject to the (?:following )?terms and conditions"),
+    (2, 0.70, "patent-grant", "patent", r"patent licen[cs]e to make have made use offer to sell sell import"),
+    (2, 0.70, "attribution", "attribution", r"attribution (?:is )?required"),
+]
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -145,7 +322,7 @@ def _whole_words(pattern: str) -> re.Pattern:
 
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
-    """All rules in order: every name in every context, then the plain ones."""
+    """All rules in order: every name in every context, those written one by one, the plain ones."""
     names = list(NAMES)
     for kind, words in CC_KINDS.items():
         for v in CC_VERSIONS:
@@ -162,7 +339,7 @@ def rules() -> tuple[Rule, ...]:
                 keys = ["cc", "creative"] if label.startswith("cc-") else keyword.split()
             regex = _whole_words(context.format(name=f"(?:{name})", spdx=spdx, url=url))
             out += [Rule(priority, weight, label, key, regex) for key in keys]
-    out += [Rule(p, w, label, key, _whole_words(pattern)) for p, w, label, key, pattern in PLAIN]
+    out += [Rule(p, w, label, key, _whole_words(pattern)) for p, w, label, key, pattern in WRITTEN + PLAIN]
     return tuple(out)
 
 
