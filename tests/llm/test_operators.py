@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import itertools
+import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -122,6 +125,20 @@ def test_near_duplicates_of_rows_without_id(spark):
     assert minhash.near_duplicates(docs(spark, [])).collect() == []
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    """An id's texts are one document: links of each of them count."""
+    r = random.Random(41)
+    one, two, other = prose(r, 60), prose(r, 60), prose(r, 60)
+    texts = [(5, one), (5, two), (7, one), (9, two + " end"), (11, other), (11, one + " last"), (12, other), (20, prose(r, 60)),
+             (None, two), (30, ""), (30, other.replace("alpha", "ALPHA"))]
+    rows = minhash.near_duplicates(docs(spark, texts), shingle=3, percent=85, keys=True).collect()
+    got = sorted(((x.doc_id, x.component_id, x.kept) for x in rows), key=repr)
+    want = [(5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False), (11, 5, False), (11, 5, False), (12, 5, False),
+            (20, 20, True), (None, 5, False), (30, 30, True), (30, 5, False)]
+    assert got == sorted(want, key=repr)
+    assert all((x.class_key is None) == (x.n_shingles == 0) for x in rows)
+
+
 def test_bayes_bounds():
     table = minhash.least_matches(85, 120)
     assert [n for n, _ in table] == [20, 40, 60, 80, 100, 120]
@@ -134,10 +151,73 @@ def test_bayes_bounds():
 
 def test_there_are_hundreds_of_rules_and_keywords_gate_them():
     found = licenses.rules()
-    assert len(found) > 300
+    assert len(found) > 550
     assert all(rule.keyword in rule.regex.pattern for rule in found)
 
 
+def sampled(pattern, r):
+    """A text that a rule's pattern matches, by a random way through it."""
+    from re import _constants as C
+    from re import _parser
+
+    def walk(tree):
+        out = ""
+        for op, arg in tree:
+            if op is C.LITERAL:
+                out += chr(arg)
+            elif op is C.IN:
+                picks = [chr(r.randint(a[0], a[1])) if o is C.RANGE else r.choice("0123456789") if o is C.CATEGORY else chr(a)
+                         for o, a in arg]
+                out += r.choice(picks)
+            elif op in (C.MAX_REPEAT, C.MIN_REPEAT):
+                low, high, inner = arg
+                out += "".join(walk(inner) for _ in range(r.randint(low, min(high, low + 3))))
+            elif op is C.BRANCH:
+                out += walk(r.choice(arg[1]))
+            elif op is C.SUBPATTERN:
+                out += walk(arg[3])
+            elif op not in (C.ASSERT, C.ASSERT_NOT, C.AT):
+                raise AssertionError(op)
+        return out
+
+    return walk(_parser.parse(pattern))
+
+
+def test_every_way_of_a_rule_holds_its_keyword():
+    r = random.Random(2)
+    several = {}  # a name with two keywords has a rule for each
+    for rule in licenses.rules():
+        several.setdefault((rule.priority, rule.label, rule.regex.pattern), []).append(rule.keyword)
+    for (_, label, pattern), keywords in several.items():
+        inner = pattern.removeprefix(r"(?<!\S)").removesuffix(r"(?!\S)")
+        for _ in range(40):
+            text = sampled(inner, r)
+            if not re.compile(pattern, re.ASCII).fullmatch(text):
+                continue  # a class picked something that goes on elsewhere
+            assert any(k in text.split() for k in keywords), (label, text)
+
+
+def test_written_rules():
+    assert len(licenses.WRITTEN) > 150 and len({p for *_, p in licenses.WRITTEN}) == len(licenses.WRITTEN)
+
+    def labels(text):
+        return licenses.report(text.encode())[5].split(",")
+
+    for text, label in {
+            "Licensed under GPLv3": "gpl-3.0", "GPL version 2 or later": "gpl-2.0", "LGPL-2.1+": "lgpl-2.1", "AGPLv3": "agpl-3.0",
+            "License: Apache-2.0": "apache-2.0", "Apache 2.0 licensed": "apache-2.0", "license: mit": "mit", "MPL 2.0": "mpl-2.0",
+            "EUPL v1.2": "eupl-1.2", "(c) 2020 Foo Inc.": "copyright", "© 2021 Foo": "copyright", "©": "copyright",
+            'THE SOFTWARE IS PROVIDED "AS IS"': "warranty", "SPDX-License-Identifier: MIT OR Apache-2.0": "spdx-expression",
+            "SPDX-License-Identifier: (GPL-2.0+ AND MIT)": "spdx-expression"}.items():
+        assert label in labels(text), (text, labels(text))
+    assert {"dual-license", "mit", "apache-2.0"} <= set(labels("dual licensed under MIT or Apache-2.0"))
+    assert labels("json licenses are many") == [""]
+    assert labels("vitamin c is good; we saw a gplv in the lab") == [""]
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software to use, copy, modify, "
+           "merge, publish, distribute, sublicense, and/or sell copies of the Software")
+    assert {"mit", "permission-grant"} <= set(labels(mit))
+
+
 def test_license_detections():
     def labels(text):
         return licenses.report(text.encode())[5]
@@ -185,6 +265,23 @@ def test_license_detections_of_long_texts():
     assert (n_words, n_base, first, last) == (240_000, 20_000, 5, 239_993)
 
 
+def test_license_base_figures_equal_plain_search(spark):
+    """All documents of a table, phrase by phrase over lists of words."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {}
+    for x in table.collect():
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        found = [(i, label) for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+                 for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
+        places = [i for i, _ in found]
+        want[x.doc_id] = (len(words), len(found), min(places, default=None), max(places, default=None), ",".join(sorted({b for _, b in found})))
+    rows = licenses.license_scan(table).collect()
+    assert {x.doc_id: (x.n_words, x.n_base, x.first_word, x.last_word, x.base_labels) for x in rows} == want
+    assert any(n for _, n, *_ in want.values())
+    assert all(set(filter(None, x.base_labels.split(","))) <= set(x.labels.split(",")) and 0 <= x.score <= 1 for x in rows)
+
+
 def test_license_base_figures(spark):
     texts = [(7, "CC BY here; all rights\nreserved. cc-by"), (8, "general public licenses"), *ODD]
     got = {(x.doc_id, x.n_words): x for x in licenses.license_scan(docs(spark, texts)).collect()}
@@ -201,8 +298,6 @@ def test_license_base_figures(spark):
 
 
 def brute_top(rows, k, every):
-    import math
-
     data = {(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows
             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
     out = []
@@ -299,6 +394,23 @@ def test_mix_waterfills(spark):
     assert got == {"a": 30.0, "b": 30.0, "e": 0.0, None: 15.0, "c": 50.0}
 
 
+def test_mix_of_many_equal_rows_without_id(spark):
+    """Rows that nothing tells apart share the copies of all: none is lost, and no list holds them."""
+    rows = [(None, "x y")] * 400 + [(None, None)] * 300 + [(i, prose(random.Random(i), 9)) for i in range(60)]
+    source = {i: "b" for i in range(0, 60, 2)}
+    data = docs(spark, rows, source).withColumnRenamed("extra", "nth")
+    sizes = mixing.mix_sizes(data).collect()
+    out = mixing.mix(data).collect()
+    want, got = {}, {}
+    for x in sizes:
+        want[x.id, x["size"]] = want.get((x.id, x["size"]), 0) + x.copies
+    for x in out:
+        at = (x.doc_id, len((x.text or "").split()))
+        got[at] = got.get(at, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert len({x.copies for x in sizes if x.id is None and x["size"] == 2}) == 2  # some of the equal rows take one more
+
+
 def test_mix_of_repeated_rows_and_no_rows(spark):
     rows = [(1, "w w w")] * 40 + [(None, "x")] * 9 + [(2, None)]
     data = docs(spark, rows)
@@ -335,6 +447,24 @@ def test_warc_round_trip(spark, workdir):
     assert max(x.segments for x in got) > 5
 
 
+def test_warc_references_name_records(spark, workdir):
+    long = "payload " * 40
+    rows = [(n, f"http://a/{n}", long if n % 3 == 0 else long + "x" if n % 3 == 1 else f"own {n}") for n in range(40)]
+    rows += [(0, "http://a/0", long), (None, "http://a/x", long)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    pages.write.parquet(f"{workdir}/pages")
+    for n, table in enumerate((pages, spark.read.parquet(f"{workdir}/pages"))):  # rows with and without a file to name
+        warc.write_archives(warc.record_types(table), f"{workdir}/warc{n}")
+        ids, refers = [], []
+        for x in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{workdir}/warc{n}").collect():
+            for f, _ in warc.parse(gzip.decompress(x.content)):
+                ids.append(f["warc-record-id"])
+                refers += [f["warc-refers-to"]] if "warc-refers-to" in f else []
+        assert len(set(ids)) == len(ids) == len(rows) and len(refers) == 26 and set(refers) <= set(ids)
+        back = {(x.page_id, x.refers_to) for x in warc.read_archives(spark, f"{workdir}/warc{n}").collect() if x.record_type == "revisit"}
+        assert back == {(n, n % 3) for n in range(2, 40) if n % 3 < 2} | {(None, 0)}
+
+
 def test_warc_faults_are_reported():
     part = lambda n, block, total=None: {"segment": n, "total": total, "kind": "response", "url": "u", "digest": "d",
                                          "refers": None, "block": block}
@@ -392,6 +522,31 @@ def test_decontaminate_equals_brute_force(spark, shard_bytes):
     assert all(x.n_hit == 0 for x in decontaminate.decontaminate(docs(spark, texts), bench.limit(0)).collect())
 
 
+def test_decontaminate_tables_equal_plain_search_and_stay_small():
+    for seed in range(200):
+        r = random.Random(seed)
+        items = [(r.choice([None, 1, 2, i]), " ".join(r.choice("abc") for _ in range(r.randint(0, 16))).encode()) for i in range(5)]
+        words = [r.choice("abcd").encode() for _ in range(r.randint(0, 40))]
+        window = r.choice([1, 2, 3, 4, 10])
+        places, found = set(), set()
+        for i, t in items:
+            own = t.split()
+            size = min(window, len(own))
+            for a, b in itertools.product(range(len(own) - size + 1), range(len(words) - size + 1)):
+                if size and own[a:a + size] == words[b:b + size]:
+                    places.update(range(b, b + size))
+                    found |= {str(i)} - {"None"}
+        assert decontaminate.Searches(items, window).hits(words) == (sorted(places), sorted(found))
+    r = random.Random(1)
+    items = [(i, " ".join(f"w{r.randrange(50_000)}" for _ in range(90)).encode()) for i in range(2000)]
+    size = sum(len(t) + 16 for _, t in items)
+    tracemalloc.start()
+    kept = decontaminate.Searches(items)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept.tables and held < 25 * size and peak < 75 * size  # 8 MB of items: 0.2 GB, and 0.6 GB while they are built
+
+
 # ---------------------------------------------------------------- spans
 
 
@@ -619,6 +774,36 @@ def test_quality_sample_is_filled_up(spark):
         quality.fit_quality(data, labels, row_bytes=1)
 
 
+def test_network_equals_a_plain_forward_pass():
+    """Chunk by chunk with loops: embedding, repeat flag, filters, maximum, hidden layer."""
+    net = quality.Network(seed=3)
+    r = random.Random(3)
+    texts = [b"", b"a", b"some words " * 30, bytes(r.randrange(1, 256) for _ in range(1000)), b"abc" * quality.HALF, b"x\x00y" * 40]
+    half, got = quality.HALF, net.score(texts)
+    for text, score in zip(texts, got, strict=True):
+        count = max(1, -(-len(text) // half))
+        data = text + b"\0" * ((count + 1) * half - len(text))
+        rows = []
+        for i, byte in enumerate(data):
+            flag = 0.0
+            for lag in range(1, quality.LAGS + 1):
+                run = [j for j in range(i - quality.RUN + 1, i + 1)]
+                if byte and all(j - lag >= 0 and data[j] == data[j - lag] for j in run):
+                    flag = 1.0
+                    break
+            rows.append([*net.p["emb"][byte].astype(float), flag])
+        best = [-math.inf] * quality.FILTERS
+        for c in range(count):
+            x = [v for row in rows[c * half:(c + 2) * half] for v in row]
+            w = net.p["w"].reshape(-1, quality.FILTERS).astype(float)
+            for f, v in enumerate((np.array(x) @ w).tolist()):
+                best[f] = max(best[f], v)
+        a = [max(v + float(b), 0.0) for v, b in zip(best, net.p["b"], strict=True)]
+        h = [math.tanh(sum(v * float(w) for v, w in zip(a, net.p["v"][:, k], strict=True)) + float(net.p["c"][k])) for k in range(quality.HIDDEN)]
+        z = sum(v * float(w) for v, w in zip(h, net.p["u"], strict=True)) + float(net.p["d"][0])
+        assert abs(score - 1 / (1 + math.exp(-z))) < 1e-4, text[:20]
+
+
 def test_network_gradients():
     import numpy as np
 

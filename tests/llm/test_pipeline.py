@@ -63,6 +63,21 @@ def test_pipeline_equals_brute_force(spark, workdir):
         assert abs(taken[s] - min(3 * size[s], total * w / 8)) <= 3 * 110
 
 
+def test_near_stage_keeps_one_of_each_group_without_id(spark, workdir):
+    r = random.Random(3)
+    a, b, c = (prose(r, 50, ("alpha", "beta", "gamma", "delta")) for _ in range(3))
+    rows = [(1, a), (None, a.upper()), (None, b), (None, b), (None, b.title()), (2, c), (None, c + " end"), (None, None), (None, "  ")]
+    rows = [(i, t, "en", f"s{n}", 1, 1, None) for n, (i, t) in enumerate(rows)]
+    tables(spark, workdir, rows, [], [])
+    docs = spark.read.parquet(f"{workdir}/documents.parquet")
+    out = corpus_pipeline.near_stage(spark, docs, workdir)
+    assert out.columns == docs.columns
+    got = sorted(((x.doc_id, x.text) for x in out.collect()), key=repr)
+    assert len(got) == 5 and (1, a) in got and (2, c) in got and (None, None) in got and (None, "  ") in got
+    (rest,) = [t for i, t in got if i is None and t and t.strip()]
+    assert rest.lower() == b.lower()
+
+
 def test_stages_keep_columns_and_take_odd_tables(spark, workdir):
     odd = [(1, None, None, None, None, None, None), (None, "no id", "en", None, 5, 2, "x"), (None, None, None, "s", 0, 0, ""),
            (2, "", "en", "s", 0, 0, ""), (3, "same words here", "en", "s", 15, 0, ""), (3, "same words here", "en", "s", 15, 0, "")]
