@@ -90,11 +90,6 @@ def values_in_both(df: DataFrame, col: str, first: Column, second: Column) -> Da
             .filter("_a AND _b").select(col))
 
 
-def common_values(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
-    """``intersection`` (distinct on both sides)."""
-    return a.select(col).intersect(b.select(col))
-
-
 def reshuffle(df: DataFrame, n: int | None = None, keys: Sequence[str] = (), then_coalesce: int | None = None) -> DataFrame:
     """``repartition`` (by keys when given) and ``coalesce``; the row set is unchanged.
 

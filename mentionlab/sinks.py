@@ -1,4 +1,4 @@
-"""Sinks: run-stamped JSON (K1), daily documents (K2), keyed stream output (K3, K4), preview (K7)."""
+"""Sinks: run-stamped JSON (K1), daily documents (K2), keyed stream output (K3, K4)."""
 
 from __future__ import annotations
 
@@ -35,11 +35,6 @@ def keyed_records(df: DataFrame, key_col: str, ts_col: str | None = None) -> Dat
     return df.select(*cols)
 
 
-def preview(df: DataFrame, n: int = 10) -> dict:
-    """K7 for interactive use: count and first rows (the catalogue form is ``dataset_profile``)."""
-    return {"rows": df.count(), "schema": df.schema.simpleString(), "head": df.take(n)}
-
-
 def publish_updates(updates: DataFrame, batch_id: int, path: str | None = None, kafka: str | None = None,
                     topic: str = "histogram") -> None:
     """K4: the last update of each name of a batch (W8), keyed by name, JSON
