@@ -5,7 +5,7 @@
 2. Signatures are cut into bands of ``ROWS`` hashes; the number of bands follows from the
    threshold and the probability ``miss`` that a link shares no band.  Classes that share a
    band are candidates.  Pairs of a bucket are never listed: first each member meets only the
-   bucket's centre (its smallest class number).
+   bucket's centre (its smallest class number, the smallest id of its texts).
 3. Candidates are compared batch by batch of their signatures.  After each batch the posterior
    probability (uniform prior) that the similarity reaches the threshold is bounded; a pair
    under ``miss`` is pruned.  Survivors are verified exactly on their full shingle sets.
@@ -17,11 +17,13 @@
 So every pair that shares a band is either in one component, pruned or verified, however
 large a group is, and no group, link list or component is gathered in one place.
 
-Classes are numbered by a hash of their key, so an id may hold any number of texts; the classes
+A class is numbered by its smallest id; of classes that share it, all but one by a hash
+of their key, as are those without id.  So an id may hold any number of texts; the classes
 of one id are linked.  Shingles are compared by 64-bit hashes.  Defined cases: rows without words
 (null and empty texts too) are linked with nothing and stay; fewer words than a shingle make one
 shingle of all of them; rows of one id are one document; rows without an id take part and come
 after all ids; a component of such rows only has a null id and keeps the rows of one of its classes.
+Ids lie below 2 ** 62.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ ROWS = 5
 MISS = 1e-6
 BATCH = 20
 BLOCK_SHINGLES = 200_000  # shingles in one side of a block, 1.6 MB
+NO_ID = 1 << 62
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -299,14 +302,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.xxhash64(text_col).alias("text_hash"))
     base = written(docs.mapInArrow(_sign(shingle, hashes), "id bigint, text_hash bigint, key binary, n bigint, sig binary"),
                    "signed")
-    number = F.xxhash64("key").alias("node")
-    classes = written(base.filter(F.col("key").isNotNull()).groupBy("key")
-                      .agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-                      .select("key", number, "least", "n", "sig"), "classes")
+    found = written(base.filter(F.col("key").isNotNull()).groupBy("key")
+                    .agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    # usually none: ids that are the smallest of several classes
+    shared_ids = bounded_broadcast(written(
+        found.filter(F.col("least").isNotNull()).groupBy("least").agg(F.min("key").alias("owner"), F.count(F.lit(1)).alias("c"))
+        .filter("c > 1").select(F.col("least").alias("shared"), "owner"), "shared_ids"))
+    other = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("key"), 3)
+    own = F.col("least").isNotNull() & (F.col("owner").isNull() | (F.col("owner") == F.col("key")))
+    classes = found.join(shared_ids, found["least"] == shared_ids["shared"], "left").select(
+        "key", F.when(own, F.col("least")).otherwise(other).alias("node"), "least", "n", "sig")
     # rows of one id are one document, whatever their texts
-    held = base.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).select("id", number).distinct()
-    several = held.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a <> top")
-    of_one_id = held.join(several, "id").filter("a <> node").select("a", F.col("node").alias("b"))
+    held = base.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).select("id", "key").distinct()
+    several = written(held.groupBy("id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("id"), "several_texts")
+    mine = written(held.join(bounded_broadcast(several), "id").join(classes.select("key", "node"), "key")
+                   .select("id", "node"), "classes_of_one_id")
+    of_one_id = (mine.join(mine.groupBy("id").agg(F.min("node").alias("a")), "id").filter("a <> node")
+                 .select("a", F.col("node").alias("b")))
 
     banded = classes.select("node", "n", "sig").mapInArrow(_bands(bands), "bucket bigint, band int, node bigint, n bigint")
     shared = written(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre"))
@@ -328,17 +340,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     second = components(_rest(docs, members, classes, first, shingle, percent, hashes))
     named = (classes.select("key", "node").join(first, "node", "left")
-             .select("key", F.coalesce("comp", "node").alias("mid"))
+             .select("key", F.col("node").alias("number"), F.coalesce("comp", "node").alias("mid"))
              .join(second.withColumnsRenamed({"node": "mid", "comp": "end"}), "mid", "left")
-             .select("key", F.coalesce("end", "mid").alias("component")))
+             .select("key", "number", F.coalesce("end", "mid").alias("component")))
     named = written(named, "components")
     # the smallest id of each component, and of one without ids the class that stays
-    heads = classes.select("key", "node", "least").join(named, "key").groupBy("component").agg(
-        F.min("least").alias("least"), F.min("node").alias("head"))
+    heads = found.select("key", "least").join(named, "key").groupBy("component").agg(
+        F.min("least").alias("least"), F.min("number").alias("head"))
     out = base.select("id", "text_hash", "key", "n").join(named, "key", "left").join(heads, "component", "left")
     component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
     kept = (F.when(F.col("component").isNull(), True).when(F.col("id").isNotNull(), F.col("id") == F.col("least"))
-            .otherwise(F.col("least").isNull() & (F.xxhash64("key") == F.col("head"))))
+            .otherwise(F.col("least").isNull() & (F.col("number") == F.col("head"))))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       kept.alias("kept"), *(["text_hash", F.col("key").alias("class_key")] if keys else []))
 

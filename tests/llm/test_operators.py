@@ -355,6 +355,25 @@ def test_line_dedup_equals_brute_force(spark):
     assert line_dedup.line_dedup(docs(spark, [])).collect() == []
 
 
+def test_added_columns_replace_clashing_ones(spark):
+    line = "a line that two documents hold"
+    texts = [(1, f"{line}\nown"), (2, f"{line}\nother"), (None, None)]
+    clash = docs(spark, texts).withColumnsRenamed({"n_words": "n_lines", "Score": "N_Dropped"})
+    rows = {x.doc_id: x for x in line_dedup.line_dedup(clash).collect()}
+    assert (rows[1].text, rows[1].n_lines, rows[1].n_dropped) == (f"{line}\nown", 2, 0)
+    assert (rows[2].text, rows[2].n_lines, rows[2].n_dropped) == ("other", 2, 1)
+    assert (rows[None].text, rows[None].n_lines) == ("", 1)
+    passage = prose(random.Random(1), 60) + "."
+    clash = docs(spark, [(1, passage), (2, f"{passage}\nown"), (None, None)]).withColumnsRenamed(
+        {"n_words": "n_removed", "Score": "Words_Removed", "source": "repeats_of"})
+    out = spans.span_dedup(clash)
+    assert sorted(out.columns) == sorted(["doc_id", "text", "extra", "n_removed", "words_removed", "repeats_of"])
+    rows = {x.doc_id: x for x in out.collect()}
+    assert (rows[1].text, rows[1].n_removed, rows[1].repeats_of) == (passage, 0, [])
+    assert (rows[2].text, rows[2].n_removed, rows[2].words_removed, rows[2].repeats_of) == ("own", 1, 60, [1])
+    assert rows[2].extra == {"a": 1} and rows[None].text == ""
+
+
 def test_line_dedup_threshold(spark):
     texts = [(1, "the same long line"), (2, "the same long line"), (3, "other long line!!")]
     got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, texts), min_docs=3).collect()}
