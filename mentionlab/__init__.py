@@ -18,12 +18,13 @@ from mentionlab.operators.topk import article_counts, daily_topk, daily_topk_art
 from mentionlab.session import build_session, checkpoint_root, scratch_path
 from mentionlab.sources.gkg import convert_to_parquet, read_gkg_csv, read_gkg_parquet, read_gkg_text
 from mentionlab.streaming.mentions import stream_mentions
-from mentionlab.streaming.trailing import trailing_hour_stream
+from mentionlab.streaming.split_state import SplitHistogram, split_parts
+from mentionlab.streaming.trailing_batches import TrailingHourBatches
 
 __all__ = [
     "build_session", "checkpoint_root", "scratch_path",
     "read_gkg_csv", "read_gkg_text", "read_gkg_parquet", "convert_to_parquet",
     "mentions_from_gkg", "mentions_from_text", "mentions_from_events",
     "mention_counts", "article_counts", "daily_topk", "daily_topk_articles", "trailing_counts",
-    "stream_mentions", "trailing_hour_stream",
+    "stream_mentions", "split_parts", "SplitHistogram", "TrailingHourBatches",
 ]

@@ -28,6 +28,11 @@ def millis(ts: Column) -> Column:
     return F.unix_millis(as_instant(ts))
 
 
+def admitted(ts: Column, now: Column, window_seconds: int = 3600) -> Column:
+    """A mention counts only while younger than the window (whole seconds, as the reference)."""
+    return F.floor((millis(now) - millis(ts)) / 1000) < F.lit(window_seconds)
+
+
 def day_of(ts: Column) -> Column:
     """Day of a timestamp as DATE (no zone offset in the result)."""
     return F.to_date(ts)

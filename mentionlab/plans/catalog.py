@@ -476,10 +476,9 @@ def q_sliding_hour_histogram(spark, d):
 @query("late_data_policy", """SELECT event_id, (epoch_us((SELECT max(ts) FROM events)) // 1000 - epoch_us(ts) // 1000) // 1000 < 3600 AS admitted
 FROM events""")
 def q_late_data_policy(spark, d):
-    from mentionlab.streaming.trailing import admitted
     ev = _events(spark, d)
     now = ev.select(F.max("ts")).scalar()
-    return ev.select("event_id", admitted(F.col("ts"), now).alias("admitted"))
+    return ev.select("event_id", TM.admitted(F.col("ts"), now).alias("admitted"))
 
 
 # ------------------------------------------------------------------ change logs

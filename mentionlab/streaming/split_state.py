@@ -44,6 +44,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from mentionlab.functions.times import micros
 from mentionlab.operators.histogram import HOUR_US, MINUTE_US
 from mentionlab.session import use_rocksdb_state
+from mentionlab.streaming.deltas import delete
 
 DAY_MS = 86_400_000
 EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
@@ -283,6 +284,8 @@ class SplitHistogram:
             .write.mode("overwrite").parquet(self._path("late", batch_id))
         if self.then:
             self.then(spark.read.schema(UPDATE_SCHEMA).parquet(self._path("updates", batch_id)), batch_id)
+        if batch_id > 1:  # the answers are in the updates; those of the last two batches stay for a replay
+            delete(spark, self._path("parts", batch_id - 2))
 
 
 def read_updates(spark: SparkSession, base: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Stream cases for the trailing-hour state: order, ties, window edges, lateness, expiry, restart."""
+"""Stream cases of the micro-batch form: order, ties, window edges, lateness, expiry, messages."""
 
 import json
 
@@ -14,7 +14,7 @@ from mentionlab.plans.catalog_io import run_to_end
 from mentionlab.streaming.deltas import DeltaTable
 from mentionlab.streaming.sources import file_stream
 from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages
-from mentionlab.streaming.trailing import trailing_hour_stream
+from mentionlab.streaming.split_state import split_parts
 from mentionlab.streaming.trailing_batches import TrailingHourBatches, read_updates
 
 SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
@@ -33,13 +33,6 @@ def write_batch(path, idx, rows):
     os.utime(f, (1_700_000_000 + idx * 10, 1_700_000_000 + idx * 10))
 
 
-def run(spark, src, out, ckpt):
-    s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
-    q = trailing_hour_stream(s).writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out)
-    run_to_end(q)
-    return spark.read.parquet(out)
-
-
 def brute_force(batches, dropped=(), width=3600.0):
     """Count of the same name with time in (t - 1 h, t] over the rows seen up to the row's batch."""
     out, seen = {}, []
@@ -62,41 +55,6 @@ BATCHES = [
 ]
 
 
-def test_late_rows_are_counted_as_dropped(spark, workdir):
-    from mentionlab.streaming.trailing import rows_dropped_by_watermark
-    src, out, ckpt = workdir + "/in", workdir + "/out", workdir + "/ckpt"
-    write_batch(src, 0, [(1, 10000.0, "a")])
-    write_batch(src, 1, [(2, 100.0, "a"), (3, 10001.0, "a")])  # late, still delivered: not counted
-    write_batch(src, 2, [(4, 200.0, "a")])  # older than the previous batch's watermark: dropped
-    s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
-    q = trailing_hour_stream(s).writeStream.format("parquet").option("checkpointLocation", ckpt) \
-        .option("path", out).trigger(availableNow=True).start()
-    q.awaitTermination()
-    res = spark.read.parquet(out)
-    assert rows_dropped_by_watermark(q, res) == 1
-    kinds = {r.event_id: (r.kind, r["count"]) for r in res.filter("event_id IS NOT NULL").collect()}
-    assert kinds == {1: ("arrival", 1), 2: ("late", 2), 3: ("arrival", 2)}
-
-
-def test_trailing_hour_cases_and_restart(spark, workdir):
-    src, out, ckpt = workdir + "/in", workdir + "/out", workdir + "/ckpt"
-    for i, b in enumerate(BATCHES[:3]):
-        write_batch(src, i, b)
-    first = run(spark, src, out, ckpt)
-    assert first.filter("kind = 'arrival'").count() == 7
-    for i, b in enumerate(BATCHES[3:], start=3):  # restart from the checkpoint with new files
-        write_batch(src, i, b)
-    res = run(spark, src, out, ckpt)
-    arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
-    expected = brute_force(BATCHES, dropped={10})
-    assert 10 not in arrivals
-    assert arrivals == expected
-    assert expected[5] == 4 and expected[6] == 4 and expected[7] == 5 and expected[8] == 4 and expected[9] == 6
-    expiries = res.filter("kind = 'expire'").collect()
-    assert any(r.name == "b" and r["count"] == 0 for r in expiries)
-    assert all(r["count"] >= 0 for r in res.collect())
-
-
 def top_run(spark, src, base, ckpt, n=100):
     s = file_stream(spark, src, SCHEMA, max_files_per_trigger=1)
     sink = TrailingHourBatches(base + "/trailing", then=Top100Writer(base, n))
@@ -175,7 +133,7 @@ def test_stream_sets_rocksdb_on_a_plain_session(spark, workdir):
     key = "spark.sql.streaming.stateStore.providerClass"
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
     write_batch(workdir + "/in", 0, [(1, 0.0, "a")])
-    trailing_hour_stream(file_stream(spark, workdir + "/in", SCHEMA))
+    split_parts(file_stream(spark, workdir + "/in", SCHEMA))
     assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
 
 
@@ -190,19 +148,6 @@ def test_top100_keeps_few_folders(spark, workdir):
     assert {e["name"]: e["count"] for e in snap} == {"n0": 1, "n1": 1, "n2": 1, "n3": 1, "x": 4}
 
 
-def test_resolution_rounds_times_up(spark, workdir):
-    src, out, ckpt = workdir + "/in", workdir + "/out", workdir + "/ckpt"
-    # with a 10 s grid, 0.5 s and 9 s share the 10 s slot; 3609 s rounds to 3610 s, which
-    # excludes the 10 s slot: (3610 - 3600, 3610]
-    write_batch(src, 0, [(1, 0.5, "a"), (2, 9.0, "a"), (3, 3609.0, "a"), (4, 3611.0, "a")])
-    s = file_stream(spark, src, SCHEMA)
-    q = trailing_hour_stream(s, resolution_us=10_000_000).writeStream.format("parquet") \
-        .option("checkpointLocation", ckpt).option("path", out)
-    run_to_end(q)
-    got = {r.event_id: r["count"] for r in spark.read.parquet(out).filter("kind = 'arrival'").collect()}
-    assert got == {1: 2, 2: 2, 3: 1, 4: 2}
-
-
 def test_microbatch_form_matches_brute_force(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/mb", workdir + "/ckpt"
     for i, b in enumerate(BATCHES):
@@ -242,28 +187,6 @@ STEPS = st.lists(st.lists(st.tuples(st.sampled_from(["a", "a", "b"]), st.integer
                  min_size=1, max_size=4)
 
 
-@settings(max_examples=3, deadline=None)
-@given(STEPS)
-def test_keyed_stream_matches_brute_force(spark, steps):
-    import random
-    import tempfile
-    work = tempfile.mkdtemp(prefix="mentionlab-prop-")
-    batches, t0, eid = [], 0.0, 0
-    for step in steps:  # batch k covers [t0, t0 + 2400 s): in order across batches
-        rows = []
-        for name, off in step:
-            eid += 1
-            rows.append((eid, t0 + off, name))
-        random.Random(eid).shuffle(rows)
-        batches.append(rows)
-        t0 += 2400.0
-    for i, b in enumerate(batches):
-        write_batch(work + "/in", i, b)
-    res = run(spark, work + "/in", work + "/out", work + "/ckpt")
-    arrivals = {r.event_id: r["count"] for r in res.filter("kind = 'arrival'").collect()}
-    assert arrivals == brute_force(batches)
-
-
 @settings(max_examples=2, deadline=None)
 @given(STEPS)
 def test_microbatch_stream_matches_brute_force(spark, steps):
