@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from mentionlab.plans.catalog_io import run_to_end
 from mentionlab.streaming.sources import file_stream
-from mentionlab.streaming.split_state import DAY_MS, DroppedRows, SplitHistogram, read_late, read_updates, split_parts
+from mentionlab.streaming.split_state import DAY_MS, LANES, DroppedRows, SplitHistogram, read_late, read_updates, split_parts
 from mentionlab.streaming.top100 import Top100Writer, latest_snapshot, messages
 from tests.test_streaming import BATCHES, SCHEMA, T0, brute_force, live_at, write_batch
 
@@ -68,6 +68,40 @@ def test_no_task_sees_a_hot_name_whole(spark, workdir):
     assert got == {i: i + 1 for i in range(4000)}
 
 
+class _StateRows(DroppedRows):
+    """The most state rows that an operator held after a batch."""
+
+    def __init__(self):
+        super().__init__()
+        self.most = 0
+
+    def onQueryProgress(self, event) -> None:
+        self.most = max([self.most, *(int(op.numRowsTotal) for op in event.progress.stateOperators)])
+
+
+def test_state_is_kept_by_lane_and_ids_stay_whole(spark, workdir):
+    """A batch over many minutes costs a state access a lane of a name, not one a minute."""
+    src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
+    minutes, big = 5 * LANES, 2 ** 53
+    write_batch(src, 0, [(big + i, i * 60.0, "a") for i in range(1, minutes)] + [(None, 5.0, "a")])
+    listener = _StateRows()
+    spark.streams.addListener(listener)
+    try:
+        run(spark, src, base, ckpt)
+        for _ in range(50):
+            if listener.finished:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert 0 < listener.most <= LANES
+    rows = [r for r in read_updates(spark, base).collect() if r.kind == "arrival"]
+    # the mention without id has come at 5 s; that of minute 60 is 3595 s later, that of minute 61 3655 s
+    assert {r.event_id: r["count"] for r in rows} == {None: 1} | {
+        big + i: i + 1 if i < 60 else 61 if i == 60 else 60 for i in range(1, minutes)}
+    assert len(rows) == minutes
+
+
 def test_rows_beyond_the_horizon_are_counted_as_dropped(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
     write_batch(src, 0, [(1, 10000.0, "a")])
