@@ -68,33 +68,39 @@ def test_no_task_sees_a_hot_name_whole(spark, workdir):
     assert got == {i: i + 1 for i in range(4000)}
 
 
-class _StateRows(DroppedRows):
-    """The most state rows that an operator held after a batch."""
+class _StateUse(DroppedRows):
+    """The most state rows that an operator held after a batch, and the timers that were set."""
 
     def __init__(self):
         super().__init__()
-        self.most = 0
+        self.most = self.timers = 0
 
     def onQueryProgress(self, event) -> None:
-        self.most = max([self.most, *(int(op.numRowsTotal) for op in event.progress.stateOperators)])
+        for op in event.progress.stateOperators:
+            self.most = max(self.most, int(op.numRowsTotal))
+            self.timers += int(op.customMetrics["numRegisteredTimers"])
 
 
-def test_state_is_kept_by_lane_and_ids_stay_whole(spark, workdir):
-    """A batch over many minutes costs a state access a lane of a name, not one a minute."""
-    src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
-    minutes, big = 5 * LANES, 2 ** 53
-    write_batch(src, 0, [(big + i, i * 60.0, "a") for i in range(1, minutes)] + [(None, 5.0, "a")])
-    listener = _StateRows()
+def watched_run(spark, src, base, ckpt):
+    listener = _StateUse()
     spark.streams.addListener(listener)
     try:
         run(spark, src, base, ckpt)
-        for _ in range(50):
+        for _ in range(50):  # events come a little after the query's end
             if listener.finished:
                 break
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-    assert 0 < listener.most <= LANES
+    return listener
+
+
+def test_state_is_kept_by_lane_and_ids_stay_whole(spark, workdir):
+    """A batch over many minutes costs a state access a lane of a name, not one a minute."""
+    src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
+    minutes, big = 5 * LANES, 2 ** 53
+    write_batch(src, 0, [(big + i, i * 60.0, "a") for i in range(1, minutes)] + [(None, 5.0, "a")])
+    assert 0 < watched_run(spark, src, base, ckpt).most <= LANES
     rows = [r for r in read_updates(spark, base).collect() if r.kind == "arrival"]
     # the mention without id has come at 5 s; that of minute 60 is 3595 s later, that of minute 61 3655 s
     assert {r.event_id: r["count"] for r in rows} == {None: 1} | {
@@ -102,6 +108,19 @@ def test_state_is_kept_by_lane_and_ids_stay_whole(spark, workdir):
     assert len(rows) == minutes
 
 
+def test_late_rows_of_many_minutes(spark, workdir):
+    """Late and timely mentions of one name over many minutes: each gets its lag and the name's count, and state stays by lane."""
+    src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
+    minutes = 3 * LANES
+    write_batch(src, 0, [(i, i * 60.0, "a") for i in range(minutes)])
+    write_batch(src, 1, [(minutes + i, i * 60.0, "a") for i in range(minutes)])
+    assert 0 < watched_run(spark, src, base, ckpt).most <= 2 * LANES  # a lane's list has an entry a batch
+    late = {i: (minutes - 1 - i) * 60_000_000 for i in range(minutes - 60)}  # an hour or more behind
+    assert {r.event_id - minutes: r.lag_us for r in read_late(spark, base).collect()} == late
+    rows = [r for r in read_updates(spark, base).collect() if r.kind == "late"]
+    assert len(rows) == len(late) and {r["count"] for r in rows} == {120}
+
+
 def test_rows_beyond_the_horizon_are_counted_as_dropped(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
     write_batch(src, 0, [(1, 10000.0, "a")])
