@@ -108,6 +108,18 @@ def test_state_is_kept_by_lane_and_ids_stay_whole(spark, workdir):
     assert len(rows) == minutes
 
 
+def test_expiry_over_many_minutes_sets_few_timers(spark, workdir):
+    """Mentions of many minutes leave the hour at once: their lanes' timers say so, not one a minute."""
+    src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
+    minutes = 5 * LANES
+    write_batch(src, 0, [(i, i * 60.0, "a") for i in range(minutes)])
+    write_batch(src, 1, [(minutes, minutes * 60 + 2400.0, "b")])
+    assert 0 < watched_run(spark, src, base, ckpt).timers <= 4 * (LANES + 1)
+    closing = [(r.name, r["count"], r.us) for r in read_updates(spark, base).filter("kind = 'expire'").collect()]
+    # the hour's last mentions; of them, those of the last 20 minutes are still within it 41 minutes later
+    assert sorted(closing) == [("a", 19, T0_US + (minutes * 60 + 2400) * 1_000_000), ("a", 60, T0_US + (minutes - 1) * 60_000_000)]
+
+
 def test_late_rows_of_many_minutes(spark, workdir):
     """Late and timely mentions of one name over many minutes: each gets its lag and the name's count, and state stays by lane."""
     src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
