@@ -13,6 +13,7 @@ distinct topics each.  Null and empty phrases match nothing; null topics are kep
 from __future__ import annotations
 
 import math
+import uuid
 from collections import deque
 from collections.abc import Iterable, Iterator
 
@@ -74,7 +75,7 @@ class Automaton:
         return False
 
 
-_built: dict[int, Automaton] = {}
+_built: dict[str, Automaton] = {}
 
 
 def _automaton(shipped) -> Automaton:
@@ -87,7 +88,8 @@ def _automaton(shipped) -> Automaton:
 
 class _Shipped:
     def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, id(broadcast)
+        # an address comes again when an earlier broadcast is gone, a worker's automaton stays
+        self.broadcast, self.id = broadcast, uuid.uuid4().hex
 
     @property
     def value(self) -> list[str]:

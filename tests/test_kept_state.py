@@ -101,6 +101,10 @@ def test_automaton_equals_plain_search(phrases, texts):
         assert automaton.found_in(t) == any(p in t for p in phrases)
 
 
+def test_no_block_is_taken_for_an_earlier_one():
+    assert len({stoplist._Shipped(object()).id for _ in range(100)}) == 100
+
+
 @pytest.mark.parametrize("ignore_case,block", [(False, 200_000), (True, 200_000), (False, 7)])
 def test_thousands_of_patterns_in_one_pass(spark, ignore_case, block):
     r = random.Random(5)
