@@ -7,7 +7,7 @@ stream over it to completion with ``availableNow``) and returns the result frame
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionlab.functions import times as TM
@@ -26,6 +26,7 @@ from mentionlab.sources.gkg import (TIER_NAMES, convert_to_parquet, gkg_line, re
                                     read_gkg_text)
 from mentionlab.sources.quarantine import read_gkg_judged, split_records
 from mentionlab.sources.sensor import read_sensor_csv
+from mentionlab.streaming.deltas import move
 from mentionlab.streaming.increments import CurrentTable, running_totals
 from mentionlab.streaming.mentions import stream_mentions
 from mentionlab.streaming.sliding import sliding_counts_stream
@@ -128,20 +129,42 @@ EVENT_STREAM_SCHEMA = "event_id LONG, ts TIMESTAMP, name STRING"
 SLICES = 4
 
 
-def _run_slices(spark: SparkSession, ev: DataFrame, schema: str, writer, delay: str = "0") -> None:
-    """Feeds ``ev`` (with ``_us``) to a stream in time order: each of four equal time slices is
-    one run from the checkpoint, and thus a micro-batch of as many files as it needs.  Rows come
-    ``delay`` slices after their own, if there is such a slice; rows without time come first."""
-    src, ckpt = scratch_path(spark, "slices"), scratch_path(spark, "ckpt")
+def _slice_number(ev: DataFrame, delay: str = "0") -> Column:
+    """Which of four equal time slices a row (with ``_us``) comes with: ``delay`` slices after its
+    own, if there is such a slice; rows without time come first."""
     lo, hi = ev.agg(F.min("_us"), F.max("_us")).first()
     number = F.expr(f"(_us - {lo or 0}L) * {SLICES} div {(hi or 0) - (lo or 0) + 1}L")
     later = number + F.coalesce(F.expr(delay), F.lit(0))
-    number = F.coalesce(F.when(later < SLICES, later).otherwise(number), F.lit(0))
+    return F.coalesce(F.when(later < SLICES, later).otherwise(number), F.lit(0))
+
+
+def _run_slices(spark: SparkSession, ev: DataFrame, schema: str, writer) -> None:
+    """Feeds ``ev`` (with ``_us``) to a stream in time order: each slice is one run from the
+    checkpoint, and thus a micro-batch of as many files as it needs."""
+    src, ckpt = scratch_path(spark, "slices"), scratch_path(spark, "ckpt")
+    number = _slice_number(ev)
     for k in range(SLICES):
         ev.filter(number == k).drop("_us").write.mode("append").parquet(src)
         run_to_end(writer(file_stream(spark, src, schema)).option("checkpointLocation", ckpt))
 
 
+def _run_moved_slices(spark: SparkSession, ev: DataFrame, schema: str, writer, delay: str = "0") -> None:
+    """As :func:`_run_slices`, but in one run: all slices are written at once, and each one's folder is
+    moved under the stream's path when the batches before, also those without rows, are through.
+    Spark plans a Python state operator by starting a worker in the driver, at every start of a
+    query.  Streaming checkpoints, in the same file system, need renames to be atomic as well."""
+    ready, src = scratch_path(spark, "ready"), scratch_path(spark, "slices")
+    ev.withColumn("_slice", _slice_number(ev, delay)).drop("_us").write.partitionBy("_slice").parquet(ready)
+    q = writer(file_stream(spark, f"{src}/*", schema)).option("checkpointLocation", scratch_path(spark, "ckpt")).start()
+    try:
+        for k in range(SLICES):
+            if not move(spark, f"{ready}/_slice={k}", f"{src}/{k}"):  # a slice without rows is a batch too
+                move(spark, _written(spark.createDataFrame([], schema), f"{ready}/none={k}"), f"{src}/{k}")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+
+
 def _event_mentions(spark: SparkSession, d: str) -> DataFrame:
     ev = D.table(spark, d, "events")
     return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"),
@@ -151,8 +174,8 @@ def _event_mentions(spark: SparkSession, d: str) -> DataFrame:
 def _split_run(spark: SparkSession, d: str, horizon_ms: int = DAY_MS, delay: str = "0") -> str:
     base = scratch_path(spark, "split")
     sink = SplitHistogram(base)
-    _run_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
-                lambda s: split_parts(s, horizon_ms=horizon_ms).writeStream.foreachBatch(sink), delay)
+    _run_moved_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
+                      lambda s: split_parts(s, horizon_ms=horizon_ms).writeStream.foreachBatch(sink), delay)
     return base
 
 

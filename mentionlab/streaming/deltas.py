@@ -60,6 +60,18 @@ def write_json(spark: SparkSession, path: str, content: dict) -> None:
         raise RuntimeError(f"could not commit {path}")
 
 
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Gives a file or folder another name in one step; False if there is none."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    _, target = _hadoop(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise RuntimeError(f"could not move {path} to {to}")
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)

@@ -1,5 +1,6 @@
 """The split-state histogram: counts, expiry, late rows and restarts against brute force."""
 
+import datetime as dt
 import json
 import random
 import tempfile
@@ -8,7 +9,9 @@ import time
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.streaming import StreamingQueryListener
 
+from mentionlab.plans.catalog import catalog
 from mentionlab.plans.catalog_io import run_to_end
 from mentionlab.streaming.sources import file_stream
 from mentionlab.streaming.split_state import DAY_MS, LANES, DroppedRows, SplitHistogram, read_late, read_updates, split_parts
@@ -133,6 +136,53 @@ def test_late_rows_of_many_minutes(spark, workdir):
     assert len(rows) == len(late) and {r["count"] for r in rows} == {120}
 
 
+class _Runs(StreamingQueryListener):
+    """The queries started, and the rows of their batches."""
+
+    def __init__(self):
+        self.started, self.finished, self.batches = 0, 0, {}
+
+    def onQueryStarted(self, event) -> None:
+        self.started += 1
+
+    def onQueryProgress(self, event) -> None:
+        self.batches[event.progress.batchId] = event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.finished += 1
+
+
+def query_run(spark, workdir, name, rows):
+    """Rows of a registered query over ``rows`` (id, seconds, name) as its table of events, and what its stream did."""
+    at = [(i, None if s is None else T0.tz_localize(None).to_pydatetime() + dt.timedelta(seconds=s), n) for i, s, n in rows]
+    spark.createDataFrame(at, "event_id LONG, ts TIMESTAMP_NTZ, event_type STRING").write.parquet(workdir + "/events.parquet")
+    runs = _Runs()
+    spark.streams.addListener(runs)
+    try:
+        got = [tuple(r) for r in catalog()[name][0](spark, workdir).collect()]
+        for _ in range(50):
+            if runs.finished and runs.finished == runs.started:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(runs)
+    return got, runs
+
+
+def test_late_rows_query_starts_its_stream_once(spark, workdir):
+    """Slices of two hours, a late mention and one without time: four batches of one run."""
+    rows = [(1, 0.0, "a"), (11, 600.0, "a"), (2, 7300.0, "a"), (3, 7400.0, None), (4, 28799.0, "a"), (5, None, "a")]
+    got, runs = query_run(spark, workdir, "late_rows", rows)
+    assert runs.started == 1
+    assert [n for _, n in sorted(runs.batches.items()) if n] == [2, 2, 1, 1]
+    # 11 comes two slices late, when stream time is 7400 s: no mention is within the hour but that at 7300 s
+    assert sorted(got) == [(1, "a", False, None, None), (2, "a", False, None, None), (3, None, False, None, None),
+                           (4, "a", False, None, None), (11, "a", True, 6_800_000_000, 1)]
+
+
 def test_rows_beyond_the_horizon_are_counted_as_dropped(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
     write_batch(src, 0, [(1, 10000.0, "a")])
