@@ -183,6 +183,17 @@ def test_late_rows_query_starts_its_stream_once(spark, workdir):
                            (4, "a", False, None, None), (11, "a", True, 6_800_000_000, 1)]
 
 
+def test_split_changelog_query_starts_its_stream_once(spark, workdir):
+    """The third of four slices has no rows: every mention and every loss is told, and the slices stay batches of their own."""
+    rows = [(1, 0.0, "a"), (2, 7300.0, "a"), (3, 28799.0, "b")]
+    got, runs = query_run(spark, workdir, "split_histogram_changelog", rows)
+    assert runs.started == 1
+    assert [n for _, n in sorted(runs.batches.items()) if n] == [1, 1, 1]
+    assert sorted((k, n, c, (us - T0_US) / 1e6, i) for i, n, c, us, k in got) == [
+        ("arrival", "a", 1, 0.0, 1), ("arrival", "a", 1, 7300.0, 2), ("arrival", "b", 1, 28799.0, 3),
+        ("expire", "a", 0, 28799.0, None), ("expire", "a", 1, 7300.0, None)]
+
+
 def test_rows_beyond_the_horizon_are_counted_as_dropped(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
     write_batch(src, 0, [(1, 10000.0, "a")])
