@@ -7,7 +7,7 @@ stream over it to completion with ``availableNow``) and returns the result frame
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mentionlab.functions import times as TM
@@ -152,14 +152,37 @@ def _run_moved_slices(spark: SparkSession, ev: DataFrame, schema: str, writer, d
     """As :func:`_run_slices`, but in one run: all slices are written at once, and each one's folder is
     moved under the stream's path when the batches before, also those without rows, are through.
     Spark plans a Python state operator by starting a worker in the driver, at every start of a
-    query.  Streaming checkpoints, in the same file system, need renames to be atomic as well."""
+    query.  Streaming checkpoints, in the same file system, need renames to be atomic as well.
+
+    A slice all of whose rows are later than stream time is moved as soon as the slice before is written:
+    Spark then fires the timers that are due in that slice's batch, at the same stream time as in
+    one without rows, and rows later than stream time don't count in closing updates.  ``writer`` gets the
+    stream and what it has to call with each batch it has written."""
     ready, src = scratch_path(spark, "ready"), scratch_path(spark, "slices")
-    ev.withColumn("_slice", _slice_number(ev, delay)).drop("_us").write.partitionBy("_slice").parquet(ready)
-    q = writer(file_stream(spark, f"{src}/*", schema)).option("checkpointLocation", scratch_path(spark, "ckpt")).start()
+    spans = Observation()
+    of = [F.when(F.col("_slice") == k, F.col("_us")) for k in range(SLICES)]
+    ev.withColumn("_slice", _slice_number(ev, delay)).observe(
+        spans, *[F.min(us).alias(f"first{k}") for k, us in enumerate(of)], *[F.max(us).alias(f"last{k}") for k, us in enumerate(of)]) \
+        .drop("_us").write.partitionBy("_slice").parquet(ready)
+    span = spans.get
+    waiting = list(range(SLICES))
+
+    def put() -> None:
+        k = waiting.pop(0)
+        if not move(spark, f"{ready}/_slice={k}", f"{src}/{k}"):  # a slice without rows is a batch too
+            move(spark, _written(spark.createDataFrame([], schema), f"{ready}/none={k}"), f"{src}/{k}")
+
+    def put_if_later(updates: DataFrame, batch_id: int) -> None:
+        if waiting and (first := span[f"first{waiting[0]}"]) is not None:
+            now = max((t for k in range(waiting[0]) if (t := span[f"last{k}"]) is not None), default=None)
+            if now is not None and first > -(-now // 1000) * 1000:  # stream time is in whole milliseconds, rounded up
+                put()
+
+    q = writer(file_stream(spark, f"{src}/*", schema), put_if_later) \
+        .option("checkpointLocation", scratch_path(spark, "ckpt")).start()
     try:
-        for k in range(SLICES):
-            if not move(spark, f"{ready}/_slice={k}", f"{src}/{k}"):  # a slice without rows is a batch too
-                move(spark, _written(spark.createDataFrame([], schema), f"{ready}/none={k}"), f"{src}/{k}")
+        while waiting:
+            put()
             q.processAllAvailable()
     finally:
         q.stop()
@@ -173,9 +196,8 @@ def _event_mentions(spark: SparkSession, d: str) -> DataFrame:
 
 def _split_run(spark: SparkSession, d: str, horizon_ms: int = DAY_MS, delay: str = "0") -> str:
     base = scratch_path(spark, "split")
-    sink = SplitHistogram(base)
-    _run_moved_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA,
-                      lambda s: split_parts(s, horizon_ms=horizon_ms).writeStream.foreachBatch(sink), delay)
+    _run_moved_slices(spark, _event_mentions(spark, d), EVENT_STREAM_SCHEMA, lambda s, then: split_parts(
+        s, horizon_ms=horizon_ms).writeStream.foreachBatch(SplitHistogram(base, then)), delay)
     return base
 
 

@@ -39,7 +39,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
@@ -300,8 +300,11 @@ class SplitHistogram:
 
     def __call__(self, parts: DataFrame, batch_id: int) -> None:
         spark = parts.sparkSession
+        seen = Observation()
         # the stateful plan runs once a batch
-        parts.write.mode("overwrite").parquet(self._path("parts", batch_id))
+        parts.observe(seen, F.count_if(F.col("role") == OWN).alias("own"), F.count_if(F.col("role") == LATE).alias("late")) \
+            .write.mode("overwrite").parquet(self._path("parts", batch_id))
+        rows = seen.get
         p = spark.read.schema(PART_SCHEMA).parquet(self._path("parts", batch_id)) \
             .withColumn("event_id", F.expr("if(no_id, null, event_id)"))
 
@@ -321,7 +324,10 @@ class SplitHistogram:
         here = of(HERE, "name", "n").withColumnRenamed("n", "count")
         lates = late.join(here, "name").select("event_id", "name", "count", "us", F.lit("late").alias("kind"))
         name = F.expr("if(name = 'n', null, substring(name, 2))")
-        counted.unionByName(closing).unionByName(lates).withColumn("name", name) \
+        updates = closing
+        for some, of_kind in ((rows["own"], counted), (rows["late"], lates)):
+            updates = updates.unionByName(of_kind) if some else updates  # no join for what didn't come
+        updates.withColumn("name", name) \
             .write.mode("overwrite").parquet(self._path("updates", batch_id))
         late.select("event_id", name.alias("name"), "us", F.col("n").alias("lag_us")) \
             .write.mode("overwrite").parquet(self._path("late", batch_id))

@@ -194,6 +194,27 @@ def test_split_changelog_query_starts_its_stream_once(spark, workdir):
         ("expire", "a", 0, 28799.0, None), ("expire", "a", 1, 7300.0, None)]
 
 
+def test_split_changelog_closes_a_slice_with_the_next(spark, workdir):
+    """Slices in order of time: what leaves the hour is told in the next slice's batch, and only the last needs one without rows."""
+    rows = [(1, 0.0, "a"), (2, 7300.0, "a"), (3, 14500.0, "b"), (4, 28799.0, "a")]
+    got, runs = query_run(spark, workdir, "split_histogram_changelog", rows)
+    assert [n for _, n in sorted(runs.batches.items())] == [1, 1, 1, 1, 0]
+    assert sorted((k, n, c, (us - T0_US) / 1e6, i) for i, n, c, us, k in got if k != "arrival") == [
+        ("expire", "a", 0, 14500.0, None), ("expire", "a", 1, 7300.0, None), ("expire", "b", 0, 28799.0, None)]
+
+
+def test_a_slice_not_later_than_stream_time_waits_for_the_closing_updates(spark, workdir):
+    """The second slice begins in the millisecond to which stream time was rounded up: it isn't in the first one's closing count."""
+    rows = [(1, 0.0, "a"), (2, 7199.7505, "a"), (3, 7199.750501, "a"), (4, 28799.002, "b")]
+    got, runs = query_run(spark, workdir, "split_histogram_changelog", rows)
+    assert [n for _, n in sorted(runs.batches.items()) if n] == [2, 1, 1]
+    assert [n for _, n in sorted(runs.batches.items())][:3] == [2, 0, 1]
+    assert sorted((k, n, c, us - T0_US, i) for i, n, c, us, k in got) == [
+        ("arrival", "a", 1, 0, 1), ("arrival", "a", 1, 7_199_750_500, 2), ("arrival", "a", 2, 7_199_750_501, 3),
+        ("arrival", "b", 1, 28_799_002_000, 4), ("expire", "a", 0, 28_799_002_000, None),
+        ("expire", "a", 1, 7_199_751_000, None), ("level", "a", 2, 7_199_751_000, None)]
+
+
 def test_rows_beyond_the_horizon_are_counted_as_dropped(spark, workdir):
     src, base, ckpt = workdir + "/in", workdir + "/split", workdir + "/ckpt"
     write_batch(src, 0, [(1, 10000.0, "a")])
